@@ -2,21 +2,53 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sessionlens.llm import decontam, line_dedup
 from sessionlens.llm.common import table
+from sessionlens.llm.decontam import contamination
+from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.sharding import shard_documents
 
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def with_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it; clusters without a shared install use --py-files."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding,)}
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("t")
+
+
+def _packaged(f: Query) -> Query:
+    @wraps(f)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with_package(spark)
+        return f(spark, sf_dir)
+
+    return query
+
+
+def queries() -> dict[str, Query]:
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op8_line_dedup, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}

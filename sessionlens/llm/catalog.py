@@ -9,10 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontam, line_dedup
+from sessionlens.llm import decontam, line_dedup, topk
 from sessionlens.llm.common import table
 from sessionlens.llm.decontam import contamination
 from sessionlens.llm.line_dedup import dedup_lines
+from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,14 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
@@ -47,8 +56,8 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op8_line_dedup, op9_decontamination)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op7_topk, op8_line_dedup, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}
+    return {"op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}

@@ -15,6 +15,7 @@ from sessionlens.llm.decontam import contamination
 from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
+from sessionlens.llm.toxicity import toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +47,10 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("t")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def _packaged(f: Query) -> Query:
     @wraps(f)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +61,7 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op7_topk, op8_line_dedup, op9_decontamination)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sessionlens.llm import decontam, line_dedup, topk
 from sessionlens.llm.common import table
 from sessionlens.llm.decontam import contamination
+from sessionlens.llm.kneser_ney import score_documents
 from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
@@ -35,6 +36,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
@@ -61,7 +66,7 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op5_lm_scoring, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

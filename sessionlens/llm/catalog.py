@@ -17,6 +17,7 @@ from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
 from sessionlens.llm.toxicity import toxicity
+from sessionlens.llm.url_filter import filter_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,10 @@ def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
@@ -66,7 +71,7 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op5_lm_scoring, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -16,6 +16,7 @@ from sessionlens.llm.kneser_ney import score_documents
 from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
+from sessionlens.llm.span_dedup import dedup_spans
 from sessionlens.llm.toxicity import toxicity
 from sessionlens.llm.url_filter import filter_urls
 
@@ -33,6 +34,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_spans(table(spark, sf_dir, "documents"), span=200)
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
@@ -71,7 +76,7 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontam, line_dedup, topk
+from sessionlens.llm import decontam, line_dedup, near_dup, topk
 from sessionlens.llm.common import table
 from sessionlens.llm.decontam import contamination
 from sessionlens.llm.kneser_ney import score_documents
@@ -34,6 +34,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents")).drop("t", "class_t")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_spans(table(spark, sf_dir, "documents"), span=200)
 
@@ -76,8 +80,8 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}
+    return {"op2_jaccard_join": near_dup.SQL, "op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}

@@ -33,7 +33,7 @@ from sessionlens.llm.common import own_columns
 #: Order of the chain: quality problems first, as they explain some labels, then the category that decides.
 CATEGORIES = ("quality", "toxic")
 BITS = 44
-MAX_TRAIN = 10_000
+MAX_TRAIN = 8000
 MIN_G = 25.0
 COPY_KEYS = 8
 FOLDS = 3

@@ -70,6 +70,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline  # at the repository's top: it imports this module
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def _packaged(f: Query) -> Query:
     @wraps(f)
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +86,7 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.llm.common import SPACED_WORD, own_columns, partitions, written
@@ -190,12 +190,16 @@ def sample_extra(units: DataFrame) -> DataFrame:
     return out.unionByName(last.mapInArrow(_land, kind).drop("run"))
 
 
+def _text_hash(text: Column) -> list[Column]:
+    data = F.coalesce(text, F.lit("\x00"))
+    return [F.xxhash64(data).alias("t1"), F.xxhash64(F.lit(1), data).alias("t2")]
+
+
 def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
-    """doc_id, size, source_size, target, copies (int: times the document is taken), t (the text's hash) of every document."""
+    """doc_id, size, source_size, target, copies (int: times the document is taken), source and t1, t2 (the text's hash) of every document."""
     docs = own_columns(documents, "doc_id", "text", "source")
     size = F.coalesce(F.regexp_count("text", F.lit(SPACED_WORD)), F.lit(0)).cast("long")
-    text = F.coalesce("text", F.lit("\x00"))
-    rows = docs.select("doc_id", "source", size.alias("size"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
+    rows = docs.select("doc_id", "source", size.alias("size"), *_text_hash(F.col("text")))
     rows = written(rows, "sizes")
     targets = source_targets(rows, weights, mix_share, max_repeat)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -207,10 +211,26 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: flo
     units = near.select("t.s", "r.size", "r.doc_id", "r.t1", "r.t2", "t.p")
     taken = sample_extra(units)
     out = taken.withColumnRenamed("p", "extra").join(targets, "s")
-    return out.select("doc_id", "size", "source_size", "target", (F.col("sure") + F.col("extra")).cast("int").alias("copies"), "t1", "t2")
+    return out.select("doc_id", "size", "source_size", "target", (F.col("sure") + F.col("extra")).cast("int").alias("copies"), "source", "t1", "t2")
 
 
 def mix_documents(documents: DataFrame) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of every document."""
     mixed = mix(documents)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+
+
+def mixed_rows(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
+    """The documents' rows, all columns, each as often as the mix takes it."""
+    names = ["__doc_id", "__source", "t1", "t2"]
+    mixed = mix(documents, weights, mix_share, max_repeat)
+    taken = mixed.groupBy(F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), "t1", "t2").agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("copies"))
+    taken = written(taken.where("copies > 0"), "taken")
+    own = documents.select(F.struct(*documents.columns).alias("row"), documents["doc_id"].alias("__doc_id"), documents["source"].alias("__source"), *_text_hash(documents["text"]))
+    a, b = own.alias("a"), taken.alias("b")
+    met = a.join(b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]).select("row", *[F.col(f"a.{c}") for c in names], "rows", "copies")
+    # Rows of one doc_id, source and text share what the mix takes of them; only these are numbered.
+    single = met.where("rows = 1").select("row", F.col("copies").alias("times"))
+    number = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("row")))
+    shared = met.where("rows > 1").withColumn("number", number).select("row", (F.expr("copies div rows") + (F.col("number") <= F.col("copies") % F.col("rows")).cast("long")).alias("times"))
+    return single.unionByName(shared).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

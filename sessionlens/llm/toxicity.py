@@ -186,7 +186,7 @@ def _score(chain: list[Link]) -> Callable:
                 part = batch.slice(lo, n)
                 p = 1.0 / (1.0 + np.exp(-earlier))
                 others = [part.column(c) for c in part.schema.names]
-                yield pa.RecordBatch.from_arrays([*others, *(pa.array(p[:, k]) for k in range(len(chain)))], [*part.schema.names, *(f"p_{x.category}" for x in chain)])
+                yield pa.RecordBatch.from_arrays([*others, *(pa.array(p[:, k]) for k in range(len(chain)))], [*part.schema.names, *(f"p{k}" for k in range(len(chain)))])
 
     return run
 
@@ -205,11 +205,24 @@ def train(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...] =
     return fit_chain(text.take(pa.array(keep)), {c: got.column(c).to_numpy()[keep] for c in categories}, got.column("fold").to_numpy()[keep])
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The carried columns, p_<category> of each category and toxic (boolean: the last category's p reaches threshold)."""
+def scored(documents: DataFrame, chain: list[Link]) -> DataFrame:
+    """The documents' columns as c0, c1, ... (whatever they are called), text, and p0, p1, ..., one a category."""
+    text = documents.columns.index("text")
+    docs = documents.select(*[documents[c].alias("text" if i == text else f"c{i}") for i, c in enumerate(documents.columns)])
+    schema = ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in docs.schema] + [f"p{k} double" for k in range(len(chain))])
+    return docs.mapInArrow(_score(chain), schema)
+
+
+def non_toxic(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents, as they are, whose last category's probability is below the threshold."""
+    chain = train(documents, labels)
+    kept = scored(documents, chain).where(F.col(f"p{len(chain) - 1}") < threshold)
+    return kept.select(*[F.col("text" if c == "text" else f"c{i}").alias(c) for i, c in enumerate(documents.columns)])
+
+
+def toxicity(documents: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, p_<category> of each category and toxic (boolean: the last category's p reaches threshold)."""
     chain = train(documents, labels)
-    docs = own_columns(documents, *dict.fromkeys((*carry, "text")))
-    names = [f"p_{x.category}" for x in chain]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema] + [f"{n} double" for n in names])
-    out = docs.mapInArrow(_score(chain), schema)
-    return out.select(*carry, *names, (F.col(names[-1]) >= threshold).alias("toxic"))
+    out = scored(own_columns(documents, "doc_id", "text"), chain)
+    names = [F.col(f"p{k}").alias(f"p_{x.category}") for k, x in enumerate(chain)]
+    return out.select(F.col("c0").alias("doc_id"), *names, (F.col(f"p{len(chain) - 1}") >= threshold).alias("toxic"))

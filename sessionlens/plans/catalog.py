@@ -1,19 +1,228 @@
-"""Every query of the package by name, with the SQL that gives the same rows."""
+"""Every query of the package by name, over the driver's tables, with the SQL that gives the same rows.
+
+Times are epoch seconds and rates decimals, so that values compare alike in both engines.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sessionlens.functions.columns import epoch, tac_of
+from sessionlens.operators import conflict, dedup, late, lookups, report, serve, validate
+from sessionlens.plans import oracle
+from sessionlens.plans import pipeline as chain
+from sessionlens.sources import generate, projection, sinks
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def _as_of() -> Column:
+    return F.timestamp_seconds(F.lit(oracle.AS_OF))
+
+
+def _annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = validate.normalised(projection.accounting(spark, sf_dir))
+    return late.mark_late(validate.annotate(records, projection.dims(spark, sf_dir)))
+
+
+def _valid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.valid(_annotated(spark, sf_dir))
+
+
+def _outputs(spark: SparkSession, sf_dir: str) -> chain.Outputs:
+    raw, dims = projection.accounting(spark, sf_dir), projection.dims(spark, sf_dir)
+    return chain.process(raw, dims, projection.sim_history(spark, sf_dir), projection.device_history(spark, sf_dir))
+
+
+def _swaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _outputs(spark, sf_dir).swaps
+
+
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    phone = F.when(k % 29 == 0, "12345").otherwise(F.concat(F.lit(" "), projection.msisdn_of(k)))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("request_id"), phone.alias("phone_number"), F.when(k % 17 != 0, (k % 40).cast("int")).alias("max_age"))
+
+
+def val_first_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _annotated(spark, sf_dir).select("seq", F.coalesce("error_code", F.lit("OK")).alias("error_code"))
+
+
+def val_error_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.error_counts(_annotated(spark, sf_dir))
+
+
+def e164_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = projection.dims(spark, sf_dir)
+    numbers = projection.accounting(spark, sf_dir).select("msisdn").distinct()
+    return lookups.number_plan(numbers, "msisdn", dims.countries, dims.prefixes).select("msisdn", "plan_valid", "plan_error", "country_code", "subscriber_number", "operator")
+
+
+def late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _annotated(spark, sf_dir).where("error_code = 'ERR_LATE_ARRIVAL'").select("seq", late.delay().alias("delay"), F.col("error_details").alias("details"))
+
+
+def late_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late.delay_buckets(_annotated(spark, sf_dir))
+
+
+def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.mark_ttl(_valid(spark, sf_dir)).select("seq", "is_duplicate")
+
+
+def dedup_long_term(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = dedup.mark_long_term(_valid(spark, sf_dir)).where("NOT is_duplicate")
+    return kept.select("seq", F.col("acct_session_id").alias("sess"), F.col("acct_status_type").alias("status"))
+
+
+def dup_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.duplicate_log(dedup.mark_long_term(_valid(spark, sf_dir)), epoch(F.col("event_ts")))
+
+
+def _conflict(flag: str, *columns: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _outputs(spark, sf_dir).marked.where(flag).select("seq", *[F.col(c).alias("sess" if c == "acct_session_id" else c) for c in columns])
+
+    return query
+
+
+def conflict_log_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _outputs(spark, sf_dir).conflicts
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    return orders.select("o_custkey", "o_orderkey", epoch(F.col("o_orderdate").cast("timestamp")).alias("at"))
+
+
+def identity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.identity_history(_orders(spark, sf_dir), "o_custkey", "o_orderkey", "at")
+
+
+def msisdn_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.number_history(_orders(spark, sf_dir), "o_custkey", "o_orderkey", "at", from_date=F.lit(820454400), limit=3)
+
+
+def latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.last_per_key(_orders(spark, sf_dir), "o_custkey", ["at", "o_orderkey"])
+
+
+def swap_verified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    swaps = _swaps(spark, sf_dir)
+    return swaps.withColumn("detected_at", epoch(F.col("detected_at"))).withColumn("confirmed_at", epoch(F.col("confirmed_at")))
+
+
+def _swap_query(kind: str, date: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = serve.swap_check(_requests(spark, sf_dir), _swaps(spark, sf_dir), kind, _as_of())
+        answer = epoch(F.col("latest_change")).alias("latest_change") if date else F.col("swapped")
+        return out.select("request_id", "phone", "max_age", "request_error", answer)
+
+    return query
+
+
+def active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = dedup.drop_ttl(_valid(spark, sf_dir))
+    return serve.active_sessions(sessions, _as_of()).select("seq", "msisdn", F.col("acct_session_id").alias("sess"), epoch(F.col("event_ts")).alias("ev"))
+
+
+def number_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sessions = dedup.drop_ttl(_valid(spark, sf_dir))
+    return serve.number_verify(_requests(spark, sf_dir), sessions, _as_of()).select("request_id", "phone", "request_error", "verified")
+
+
+def rpt_imei(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _outputs(spark, sf_dir)
+    return report.with_rate(report.imei_section(validate.invalid(out.annotated)), out.clean)
+
+
+def rpt_duplicates_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = dedup.duplicate_log(dedup.mark_long_term(_valid(spark, sf_dir)), F.col("event_ts"))
+    return report.duplicates_hourly(log)
+
+
+def rpt_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _outputs(spark, sf_dir)
+    return report.with_rate(report.conflict_section(out.conflicts), out.clean)
+
+
+def rpt_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _outputs(spark, sf_dir)
+    return report.with_rate(report.code_section(out.annotated, "ERR_LATE_ARRIVAL"), out.clean)
+
+
+def rpt_missing_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.missing_top(validate.invalid_log(_annotated(spark, sf_dir), F.col("ingest_ts")))
+
+
+def tac_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.page(projection.tac_registry(spark, sf_dir), ["tac_code"], 2, 10, {"manufacturer": "BRAND#12"}).select("tac_code", "manufacturer", "device_type", "total", "pages")
+
+
+def _tac_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection.accounting(spark, sf_dir).select(tac_of(F.col("imei")).alias("tac_code"))
+
+
+def tac_batch_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tac = projection.tac_registry(spark, sf_dir).withColumnRenamed("tac_code", "code")
+    return lookups.batch_lookup(_tac_requests(spark, sf_dir), "tac_code", tac, "code").select("tac_code", "manufacturer", "device_type", "found")
+
+
+def tac_lookup_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = _tac_requests(spark, sf_dir)
+    tac = projection.tac_registry(spark, sf_dir).withColumnRenamed("tac_code", "code")
+    return lookups.lookup_totals(lookups.batch_lookup(requests, "tac_code", tac, "code"), requests, "tac_code")
+
+
+def clean_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["acct_status_type", "acct_session_id", "acct_session_time", "event_timestamp", "ingest_timestamp", "msisdn", "imsi", "imei", "framed_ip", "late_arrival"]
+    out = sinks.clean_projection(_outputs(spark, sf_dir).clean, "seq").select("seq", *columns)
+    return out.withColumn("event_timestamp", epoch(F.col("event_timestamp"))).withColumn("ingest_timestamp", epoch(F.col("ingest_timestamp")))
+
+
+def clean_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages written and parsed again."""
+    clean = _outputs(spark, sf_dir).clean.select("seq", "msisdn", "acct_session_id", "imei")
+    read = sinks.to_messages(clean, "msisdn").select(F.col("key").alias("message_key"), F.from_json("value", "seq long, acct_session_id string, imei string").alias("d"))
+    return read.select("d.seq", "message_key", "d.acct_session_id", "d.imei")
+
+
+def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.counts(_outputs(spark, sf_dir))
+
+
+def gen_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Starts and stops of generated sessions without faults."""
+    config = generate.Config(records=20_000, subscribers=500, days=90, duplicate_rate=0, late_rate=0, invalid_imei_rate=0, missing_field_rate=0, conflict_rate=0)
+    rows = validate.normalised(generate.sessions(spark, config))
+    session = F.substring("acct_session_id", 6, 10).cast("long")
+    at = lambda status: F.max(F.when(F.col("acct_status_type") == status, epoch(F.col("event_ts"))))
+    return rows.groupBy(session.alias("session"), "msisdn", "imsi").agg(at("Start").alias("start_at"), at("Stop").alias("stop_at")).select("session", "start_at", "stop_at", "msisdn", "imsi")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return pipeline_counts(spark, sf_dir)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+def queries() -> dict[str, Query]:
+    own = (
+        val_first_error, val_error_counts, e164_plan, late_split, late_buckets, dedup_ttl, dedup_long_term, dup_log, conflict_log_rows, identity_history, msisdn_history, latest_profile, swap_verified,
+        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
+    )
+    return {f.__name__: f for f in own} | {
+        "conflict_a": _conflict("is_a", "acct_session_id", "imsi", "msisdn"),
+        "conflict_b": _conflict("is_b", "acct_session_id", "imsi"),
+        "conflict_c": _conflict("is_c", "msisdn", "previous_imsi", "imsi"),
+        "conflict_d": _conflict("is_d", "msisdn", "previous_imei", "imei"),
+        "sim_swap_check": _swap_query("SIM_SWAP", False),
+        "sim_swap_retrieve_date": _swap_query("SIM_SWAP", True),
+        "device_swap_check": _swap_query("DEVICE_SWAP", False),
+        "device_swap_retrieve_date": _swap_query("DEVICE_SWAP", True),
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.QUERIES)

@@ -7,11 +7,12 @@ THRESHOLD or more.
 1. Texts of one shingle set are one class: a node of the join. Classes come from 128 bits of hash of the set, so copies,
    however many, are grouped by a count and never paired.
 2. bands() picks bands and rows a band for the wanted recall at THRESHOLD; nodes meet by band hash.
-3. Buckets of up to CROWD nodes give all their pairs. A bucket with more nodes gives every node's pairs with LEADERS of its
-   nodes (the smallest by fixed hashes, found by aggregation); of the nodes that are similar to no leader, more leaders are
-   taken in the next round and paired with the whole bucket, until every node is a leader or linked to one. So a group of
-   near copies costs a few pairs a text and not the square of its size; its texts are linked through leaders, and links
-   between two followers of such a bucket are not listed one by one.
+3. Buckets of up to CROWD nodes give all their pairs. A bucket with more nodes gives every node's pairs with its LEADERS most
+   central nodes: those with the most other nodes in all their buckets. Near copies of one text differ from it by edits of
+   their own, so a copy that is similar to any other is similar to the least edited ones, which are the central ones; and
+   copies that share edits as well meet in the buckets of these edits, which are small. So a group of near copies costs a
+   few pairs a text, not the square of its size. Its texts get one class; links between two followers of a crowded bucket
+   that meet in no smaller one follow from the class and are not listed.
 4. Pairs are verified on the full sets, which only nodes with candidates send.
 5. Linked nodes get the smallest node of their component by min-label propagation, in logarithmically many rounds in
    practice: each round also takes the label of one's label.
@@ -32,7 +33,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.llm import textvec as tv
@@ -57,7 +58,10 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 CROWD = 64
-LEADERS = 4
+LEADERS = 6
+#: Parts of a bucket that are ranked apart.
+SALTS = 32
+FILTER_BITS = 26
 U = np.uint64
 _BITS = 44
 
@@ -164,6 +168,13 @@ def shingle_table(documents: DataFrame, nodes: DataFrame, wanted: DataFrame, k:
     """nid, shingles of the wanted nodes; each from one text of its class."""
     want = written(nodes.join(wanted, "nid", "left_semi").select("nid", "t"), "wanted")
     docs = own_columns(documents, "text").withColumn("t", hash128(F.col("text")))
+    # A bitmap of the wanted hashes keeps most other texts out of the shuffle. It has FILTER_BITS bits, so 2**20 rows at most,
+    # however many are wanted: small enough to broadcast, by construction. What it lets through by chance, the join drops.
+    at = F.xxhash64("t").bitwiseAND((1 << FILTER_BITS) - 1)
+    word, bit = F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    bitmap = want.select(word.alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    own = docs.withColumn("__word", word).withColumn("__bit", bit)
+    docs = own.join(F.broadcast(bitmap), (F.col("__word") == F.col("word")) & (F.col("bits").bitwiseAND(F.col("__bit")) != 0), "left_semi").drop("__word", "__bit")
     texts = docs.join(want, "t").groupBy("nid").agg(F.first("text").alias("text"))
     return written(texts.mapInArrow(_sets(k), "nid long, shingles array<long>"), "sets")
 
@@ -185,24 +196,14 @@ def links_of(documents: DataFrame, nodes: DataFrame, k: int = WORDS, threshold:
     members = buckets_of(nodes)
     sets = shingle_table(documents, nodes, members.select("nid").distinct(), k)
     found = [verified(written(all_pairs(members.where(F.col("m") <= crowd)), "pairs"), sets, threshold)]
-    crowded = members.where(F.col("m") > crowd).select("b", "nid")
-    left, round_ = crowded, 0
-    while left.limit(1).count():
-        # The smallest nodes by some fixed hashes lead; where few are left, all do.
-        picks = [F.min(F.struct(F.xxhash64("nid", F.lit(i)).alias("h"), "nid"))["nid"].alias(f"l{i}") for i in range(leaders)]
-        stats = left.groupBy("b").agg(F.count(F.lit(1)).alias("m"), *picks)
-        stats = written(stats, "leaders")
-        few = written(stats.where(F.col("m") <= crowd).select("b"), "few")
-        some = stats.where(F.col("m") > crowd).select("b", F.explode(F.array_distinct(F.array(*[f"l{i}" for i in range(leaders)]))).alias("leader"))
-        lead = written(some.unionByName(left.join(few, "b", "left_semi").select("b", F.col("nid").alias("leader"))), "lead")
-        met = written(crowded.join(lead, "b").where("nid <> leader").select("b", "nid", "leader"), "met")
-        new = verified(written(met.select(*_ordered(F.col("nid"), F.col("leader"))).distinct(), "pairs"), sets, threshold)
-        found.append(new)
-        either = new.select(F.col("a").alias("nid"), F.col("b").alias("leader")).unionByName(new.select(F.col("b").alias("nid"), F.col("a").alias("leader")))
-        followers = met.join(written(either, "either"), ["nid", "leader"], "left_semi").select("b", "nid")
-        settled = written(followers.unionByName(lead.select("b", F.col("leader").alias("nid"))).distinct(), "settled")
-        left = written(left.join(settled, ["b", "nid"], "left_anti"), f"left-{round_}")
-        round_ += 1
+    central = members.groupBy("nid").agg(F.sum("m").alias("score"))
+    crowded = written(members.where(F.col("m") > crowd).select("b", "nid").join(central, "nid"), "crowded")
+    # The best of each part of a bucket first, so that no task ranks a whole one.
+    best = lambda *part: F.row_number().over(Window.partitionBy(*part).orderBy(F.desc("score"), F.xxhash64("nid")))
+    parts = crowded.withColumn("part", F.pmod(F.xxhash64("nid"), F.lit(SALTS))).withColumn("place", best("b", "part")).where(F.col("place") <= leaders)
+    lead = written(parts.withColumn("place", best("b")).where(F.col("place") <= leaders).select("b", F.col("nid").alias("leader")), "leaders")
+    met = crowded.join(lead, "b").where("nid <> leader").select(*_ordered(F.col("nid"), F.col("leader"))).distinct()
+    found.append(verified(written(met, "pairs"), sets, threshold))
     return written(reduce(DataFrame.unionByName, found).distinct(), "all-links")
 
 

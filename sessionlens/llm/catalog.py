@@ -23,8 +23,16 @@ from sessionlens.llm.url_filter import filter_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+#: Texts that a Python worker gets at a time. Whole texts vary too much for a number of rows to bound its memory.
+BATCH_BYTES = 16 << 20
+
+
 def with_package(spark: SparkSession) -> None:
-    """Lets Python workers import this package from where the driver has it; clusters without a shared install use --py-files."""
+    """Settings that the Python side needs: batches of bounded size, and the package's path.
+
+    Workers import the package from where the driver has it; clusters without a shared install use --py-files.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)

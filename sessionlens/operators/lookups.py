@@ -51,9 +51,9 @@ def last_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 def batch_lookup(requests: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
     """LKP-2, LKP-11, JOIN-5, JOIN-6: one row a distinct requested key, with found and the table's columns."""
     keys = requests.select(F.col(key)).distinct()
-    marked = table.withColumn("__found", F.lit(True))
-    out = keys.join(marked, keys[key] == marked[table_key], "left").withColumn("found", F.coalesce("__found", F.lit(False)))
-    return out.drop("__found") if key == table_key else out.drop("__found", table_key)
+    marked = table.withColumnRenamed(table_key, "__key").withColumn("__found", F.lit(True))
+    out = keys.join(marked, keys[key] == marked["__key"], "left").withColumn("found", F.coalesce("__found", F.lit(False)))
+    return out.drop("__found", "__key")
 
 
 def lookup_totals(looked_up: DataFrame, requests: DataFrame, key: str) -> DataFrame:

@@ -33,7 +33,9 @@ from sessionlens.llm.common import own_columns
 #: Order of the chain: quality problems first, as they explain some labels, then the category that decides.
 CATEGORIES = ("quality", "toxic")
 BITS = 44
-MAX_TRAIN = 8000
+MAX_TRAIN = 6000
+#: Words of fewer training texts get no weight.
+MIN_DOCS = 5
 MIN_G = 25.0
 COPY_KEYS = 8
 FOLDS = 3
@@ -146,9 +148,19 @@ def fit(rows: np.ndarray, cols: np.ndarray, d: int, dense: np.ndarray, y: np.nda
 def fit_chain(texts: pa.Array, labels: dict[str, np.ndarray], folds: np.ndarray) -> list[Link]:
     """One Link a category, in the labels' order."""
     n = len(texts)
-    parts = [(r + lo, c) for lo, _, r, c in word_columns(texts, BITS)]
-    rows = np.concatenate([r for r, _ in parts]) if parts else np.zeros(0, np.int64)
-    words, cols = np.unique(np.concatenate([c for _, c in parts]) if parts else np.zeros(0, np.int64), return_inverse=True)
+    parts = [((r + lo).astype(np.int32), c) for lo, _, r, c in word_columns(texts, BITS)]
+    rows = np.concatenate([r for r, _ in parts]) if parts else np.zeros(0, np.int32)
+    cols = np.concatenate([c for _, c in parts]) if parts else np.zeros(0, np.int64)
+    del parts
+    words, count = np.unique(cols, return_counts=True)
+    words = words[count >= MIN_DOCS]
+    if len(words):
+        at = np.minimum(np.searchsorted(words, cols), len(words) - 1)
+        some = words[at] == cols
+        rows, cols = rows[some], at[some].astype(np.int32)
+        del at, some
+    else:
+        rows, cols = rows[:0], cols[:0]
     d, earlier, chain = len(words), np.zeros((n, 0)), []
     for category, y in labels.items():
         y = y.astype(float)

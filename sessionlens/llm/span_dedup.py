@@ -5,10 +5,12 @@ neighbours in it. suffix_array.py sorts by linear grouping. What makes this a Sp
 
 1. Equal texts are one text with a number of copies. Each window of SPAN bytes chooses, of the hashes of the KEY-byte strings
    in it, the smallest (of equal ones the last). Equal windows choose alike, so they meet under the same key. Consecutive
-   windows with one choice are a place: about one every 70 bytes, a text of up to 2 * SPAN bytes, known by 128 bits of hash.
+   windows with one choice are a place: about one every 85 bytes, a text of up to 2 * SPAN bytes, known by 128 bits of hash.
 2. A count by key leaves the keys with more than one place. Where all places of a key are equal, they are repeats as they
-   stand. The different places of the other keys are cut from the texts and dealt out by key; suffix arrays over whole keys'
-   places mark their windows. A place that stands more than once is a repeat, and counts for the others.
+   stand. The different places of the other keys are cut from the texts. Equal windows have equal cores: by where the key
+   string lies in the window (to a CORES-th of the rest), the bytes around it that all such windows hold. Places that share
+   no core with another place are done; the others are dealt out by key, and suffix arrays over whole keys' places mark
+   their windows. A place that stands more than once is a repeat, and counts for the others.
 3. A key with more than CROWD different places (a passage that very many texts share, with other text around it) doesn't go
    to one task: the windows of its places are counted by 128 bits of hash, spread over all tasks.
 4. Each text gets its runs of marked windows, and the bytes they cover are removed at once.
@@ -36,11 +38,12 @@ from sessionlens.llm.suffix_array import suffix_array
 
 SPAN = 200
 #: Bytes of a key string: a power of two, at most SPAN / 2.
-KEY = 64
+KEY = 32
+CORES = 6
 #: Most different places of a key that one suffix array takes.
 CROWD = 1024
-#: Places are sorted in suffix arrays of about this many bytes, whole keys each.
-ARRAY_BYTES = 1 << 18
+#: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
+ARRAY_BYTES = 1 << 14
 
 U = np.uint64
 _POSITION_BITS = 28
@@ -73,8 +76,8 @@ def string_hashes(data: np.ndarray, size: int) -> np.ndarray:
 
 
 def places(data: np.ndarray, offsets: np.ndarray, span: int, key: int, powers: Powers) -> dict[str, np.ndarray]:
-    """Places of one slice of texts: doc, key, c1, c2 (hash of the place), first (window in its text) and windows."""
-    none = {"doc": np.zeros(0, np.int64), "key": np.zeros(0, U), "c1": np.zeros(0, U), "c2": np.zeros(0, U), "first": np.zeros(0, np.int64), "windows": np.zeros(0, np.int64)}
+    """Places of one slice of texts: doc, key, c1, c2 (hash of the place), first (window in its text), windows and at (of the key string)."""
+    none = {"doc": np.zeros(0, np.int64), "key": np.zeros(0, U), "c1": np.zeros(0, U), "c2": np.zeros(0, U), "first": np.zeros(0, np.int64), "windows": np.zeros(0, np.int64), "at": np.zeros(0, np.int64)}
     n = len(data)
     if n < span:
         return none
@@ -102,7 +105,7 @@ def places(data: np.ndarray, offsets: np.ndarray, span: int, key: int, powers: P
     for j in (1, 2):
         total = np.concatenate([np.zeros(1, U), np.cumsum(_BYTE[j][data] * powers.up[j - 1][:n])])
         hashes.append(tv.mix((total[upto] - total[start]) * powers.down[j - 1][start] + (end - start).astype(U)))
-    return {"doc": doc, "key": h[at], "c1": hashes[0], "c2": hashes[1], "first": start - offsets[doc], "windows": end - start}
+    return {"doc": doc, "key": h[at], "c1": hashes[0], "c2": hashes[1], "first": start - offsets[doc], "windows": end - start, "at": at - start}
 
 
 def _position(low: np.ndarray, mask: np.uint64, first: np.ndarray) -> np.ndarray:
@@ -143,7 +146,7 @@ def _runs(marks: np.ndarray) -> list[int]:
 
 
 def _find_places(span: int, key: int) -> Callable:
-    """tid, copies, text -> tid, copies, key, c1, c2, first, windows."""
+    """tid, copies, text -> tid, copies, key, c1, c2, first, shape (windows, and where the key string is: 16 bits each)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -153,18 +156,18 @@ def _find_places(span: int, key: int) -> Callable:
                 rows = pa.array(p["doc"])
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [own.column("tid").take(rows), own.column("copies").take(rows), *(pa.array(tv.signed(p[c])) for c in ("key", "c1", "c2")), pa.array(p["first"].astype(np.int32)), pa.array(p["windows"].astype(np.int32))],
-                    ["tid", "copies", "key", "c1", "c2", "first", "windows"],
+                    [own.column("tid").take(rows), own.column("copies").take(rows), *(pa.array(tv.signed(p[c])) for c in ("key", "c1", "c2")), pa.array(p["first"].astype(np.int32)), pa.array((p["windows"] << 16 | p["at"]).astype(np.int32))],
+                    ["tid", "copies", "key", "c1", "c2", "first", "shape"],
                 )
 
     return run
 
 
 def _cut(span: int) -> Callable:
-    """text, cuts (structs of key, c1, c2, first, windows, total) -> key, c1, c2, windows, total, cut (bytes)."""
+    """text, cuts (structs of key, c1, c2, first, shape, total) -> key, c1, c2, shape, total, cut (bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "c1", "c2", "windows", "total")
+        names = ("key", "c1", "c2", "shape", "total")
         for batch in batches:
             cols: dict[str, list] = {c: [] for c in (*names, "cut")}
             for text, cuts in zip(batch.column("text"), batch.column("cuts"), strict=True):
@@ -172,8 +175,8 @@ def _cut(span: int) -> Callable:
                 for x in cuts.as_py():
                     for c in names:
                         cols[c].append(x[c])
-                    cols["cut"].append(data[x["first"] : x["first"] + x["windows"] - 1 + span])
-            kinds = {"windows": pa.int32(), "cut": pa.binary()}
+                    cols["cut"].append(data[x["first"] : x["first"] + (x["shape"] >> 16) - 1 + span])
+            kinds = {"shape": pa.int32(), "cut": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(c, pa.int64())) for c, v in cols.items()], list(cols))
 
     return run
@@ -187,8 +190,12 @@ def _sort_places(span: int, array_bytes: int) -> Callable:
         size, last = 0, None
 
         def out() -> pa.RecordBatch:
-            marks = repeated_windows([r[5] for r in held], [r[3] for r in held], span)
-            rows = [(*r[:3], [0, r[3] - 1] if r[4] > 1 else _runs(m)) for r, m in zip(held, marks, strict=True)]
+            # Where every place of a key stands more than once, nothing is left to find.
+            open_keys = {r[0] for r in held if r[4] == 1}
+            rows = [(*r[:3], [0, r[3] - 1]) for r in held if r[4] > 1]
+            left = [r for r in held if r[0] in open_keys]
+            marks = repeated_windows([r[5] for r in left], [r[3] for r in left], span) if left else []
+            rows += [(*r[:3], _runs(m)) for r, m in zip(left, marks, strict=True) if r[4] == 1]
             return _marked([r for r in rows if r[3]])
 
         for batch in batches:
@@ -285,20 +292,22 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, key: int = KEY, crowd: in
     spark = texts.sparkSession
     n = partitions(spark)
     place = ["key", "c1", "c2"]
-    found = "tid long, copies long, key long, c1 long, c2 long, first int, windows int"
+    found = "tid long, copies long, key long, c1 long, c2 long, first int, shape int"
+    windows = F.shiftright("shape", 16)
     everywhere = written(texts.where(F.octet_length("text") >= span).select("tid", "copies", "text").mapInArrow(_find_places(span, key), found), "places")
     keys = everywhere.groupBy("key").agg(F.sum("copies").alias("n"), F.min("c1").alias("low"), F.max("c1").alias("high"))
     keys = written(keys.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
     met = written(everywhere.join(keys, "key"), "met")
     cover = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), (hi + span).cast("int").alias("hi"))
-    alike = met.where("NOT mixed").select("tid", cover(F.col("first"), F.col("first") + F.col("windows") - 1).alias("span"))
+    alike = met.where("NOT mixed").select("tid", cover(F.col("first"), F.col("first") + windows - 1).alias("span"))
 
-    one = F.struct("tid", "first", "windows")
+    one = F.struct("tid", "first", "shape")
     different = written(met.where("mixed").groupBy(*place).agg(F.sum("copies").alias("total"), F.min(one).alias("one")), "different")
-    crowded = written(different.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
-    cuts = different.groupBy("one.tid").agg(F.collect_list(F.struct(*place, "one.first", "one.windows", "total")).alias("cuts"))
-    cut = texts.select("tid", "text").join(cuts, "tid").select("text", "cuts").mapInArrow(_cut(span), "key long, c1 long, c2 long, windows int, total long, cut binary")
-    cut = written(cut, "cut")
+    cuts = different.groupBy("one.tid").agg(F.collect_list(F.struct(*place, "one.first", "one.shape", "total")).alias("cuts"))
+    cut = texts.select("tid", "text").join(cuts, "tid").select("text", "cuts").mapInArrow(_cut(span), "key long, c1 long, c2 long, shape int, total long, cut binary")
+    cut = written(cut.withColumn("windows", windows), "cut")
+    cut = written(cut.join(_sharing(cut, span, key), place, "left_semi").drop("shape"), "sharing")
+    crowded = written(cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
     marked = "key long, c1 long, c2 long, runs array<int>"
     sorted_places = cut.join(crowded, "key", "left_anti").repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_places(span, ARRAY_BYTES), marked)
     many = written(cut.join(crowded, "key", "left_semi").mapInArrow(_explode_windows(span), "key long, c1 long, c2 long, total long, w int, h1 long, h2 long"), "windows")
@@ -310,6 +319,21 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, key: int = KEY, crowd: in
     return written(alike.unionByName(apart).groupBy("tid").agg(F.collect_list("span").alias("spans")), "spans")
 
 
+def _sharing(cut: DataFrame, span: int, key: int) -> DataFrame:
+    """key, c1, c2 of the places that share a core of their windows with another place."""
+    place, at, last = ["key", "c1", "c2"], F.col("shape").bitwiseAND(0xFFFF), F.col("windows") - 1
+    rest = span - key
+    step, cores = rest // CORES, []
+    for g in range(CORES):
+        # The key string lies from `low` to `high` bytes into these windows.
+        low, high = g * step, rest if g == CORES - 1 else (g + 1) * step
+        some = (at >= low) & (at - last <= high)
+        cores.append(F.when(some, F.xxhash64(F.lit(g), F.col("cut").substr(at - low + 1, F.lit(low + key + rest - high)))))
+    sides = written(cut.select(*place, "total", F.explode(F.array(*cores)).alias("side")).where("side IS NOT NULL"), "sides")
+    again = written(sides.groupBy("key", "side").agg(F.sum("total").alias("n")).where("n > 1").select("key", "side"), "sides-again")
+    return written(sides.join(again, ["key", "side"], "left_semi").select(*place).distinct(), "sharing-places")
+
+
 def dedup_spans(documents: DataFrame, span: int = SPAN, key: int = KEY, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     docs = own_columns(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("t", hash128(F.col("text")))

@@ -19,11 +19,8 @@ from collections.abc import Sequence
 def suffix_array(text: Sequence[int]) -> list[int]:
     """Start positions of the suffixes of text in ascending order; a suffix that ends sorts before one that goes on."""
     n = len(text)
-    group_of, order, length = lyndon_groups(text)
+    group_of, order, length, size = lyndon_groups(text)
     # Places: groups in ascending order, as many as they have members.
-    size = [0] * len(length)
-    for g in group_of:
-        size[g] += 1
     place, at = [0] * len(length), 0
     for g in order:
         place[g] = at
@@ -49,8 +46,8 @@ def suffix_array(text: Sequence[int]) -> list[int]:
         taken += 1
 
 
-def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int]]:
-    """The group of each position, the groups that have members in ascending order, and each group's Lyndon prefix length."""
+def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """The group of each position, the groups in ascending order, and each group's Lyndon prefix length and number of members."""
     n = len(text)
     symbols = sorted(set(text))
     number = {c: g for g, c in enumerate(symbols)}
@@ -62,23 +59,31 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int]]
     length = [1] * len(symbols)
     below, above = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
     smaller = [-1] * n  # of finished positions: the nearest position to the left in a smaller group
-    finished = bytearray(n)
+    finished = bytearray(n + 1)  # the last one stands for position -1, where every search ends
     g = len(symbols) - 1
     ascending: list[int] = []
     while g >= 0:
-        own = [i for i in members[g] if group_of[i] == g]
-        members[g] = own
+        own = members[g]
+        if len(own) != size[g]:  # some have moved on to other groups
+            own = [i for i in own if group_of[i] == g]
         for i in own:
             finished[i] = 1
-        count: dict[int, int] = {}
-        for i in own:
+        if len(own) == 1:  # most groups, in the end
+            i = own[0]
             p = i - 1
-            while p >= 0 and finished[p]:
+            while finished[p]:
                 p = smaller[p]
             smaller[i] = p
-            if p >= 0:
+            moves = [(group_of[p], 1, [p])] if p >= 0 else []
+        else:
+            count: dict[int, int] = {}
+            for i in own:
+                p = i - 1
+                while finished[p]:
+                    p = smaller[p]
+                smaller[i] = p
                 count[p] = count.get(p, 0) + 1
-        if count:
+            count.pop(-1, None)
             moved: dict[tuple[int, int], list[int]] = {}
             for p, k in count.items():
                 key = (group_of[p], k)
@@ -87,26 +92,24 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int]]
                 else:
                     moved[key] = [p]
             # Greater counts go higher, so they are put above the old group last to first.
-            for (h, k), positions in sorted(moved.items(), reverse=True) if len(moved) > 1 else moved.items():
-                positions.sort()
-                new = len(size)
-                for p in positions:
-                    group_of[p] = new
-                members.append(positions)
-                size.append(len(positions))
-                length.append(length[h] + k * length[g])
-                size[h] -= len(positions)
-                up = above[h]
-                below.append(h)
-                above.append(up)
-                above[h] = new
-                below[up] = new
-                if not size[h]:
-                    down = below[h]
-                    below[new] = down
-                    if down >= 0:
-                        above[down] = new
+            moves = [(h, k, sorted(positions)) for (h, k), positions in (sorted(moved.items(), reverse=True) if len(moved) > 1 else moved.items())]
+        for h, k, positions in moves:
+            if len(positions) == size[h]:  # nobody stays behind: the group keeps its place
+                length[h] += k * length[g]
+                continue
+            new = len(size)
+            for p in positions:
+                group_of[p] = new
+            members.append(positions)
+            size.append(len(positions))
+            length.append(length[h] + k * length[g])
+            size[h] -= len(positions)
+            up = above[h]
+            below.append(h)
+            above.append(up)
+            above[h] = new
+            below[up] = new
         ascending.append(g)
         g = below[g]
     ascending.reverse()
-    return group_of, [g for g in ascending if members[g]], length
+    return group_of, ascending, length, size

@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from sessionlens.operators.fold import ordered_fold
 
+#: The texts of the conflict log.
+DETAILS_A = "Session %s: IMSI/MSISDN thay đổi sau Start"
+DETAILS_B = "IMSI %s: 2+ Start chưa Stop"
+
 
 def mark_a(records: DataFrame, seq: str = "seq") -> DataFrame:
     """records plus is_a."""
@@ -61,5 +65,5 @@ def clean(marked: DataFrame) -> DataFrame:
 def conflict_log(marked: DataFrame) -> DataFrame:
     """SNK-5's rows, A before B. PRJ-8, PRJ-9."""
     kind = F.when(F.col("is_a"), "A").otherwise("B")
-    text = F.when(F.col("is_a"), F.format_string("Session %s: IMSI/MSISDN changed after Start", "acct_session_id")).otherwise(F.format_string("IMSI %s: 2+ Start without Stop", "imsi"))
+    text = F.when(F.col("is_a"), F.format_string(DETAILS_A, "acct_session_id")).otherwise(F.format_string(DETAILS_B, "imsi"))
     return marked.where(F.col("is_a") | F.col("is_b")).select(F.col("acct_session_id").alias("session_id"), kind.alias("conflict_type"), text.alias("details"), F.concat(F.lit("CONFLICT_"), kind).alias("error_code"))

@@ -116,7 +116,7 @@ QUERIES = {
     "conflict_b": CHAIN + "SELECT seq, sess, imsi FROM cm WHERE is_b",
     "conflict_c": CHAIN + "SELECT seq, msisdn, previous_imsi, imsi FROM cm WHERE is_c",
     "conflict_d": CHAIN + "SELECT seq, msisdn, previous_imei, imei FROM cm WHERE is_d",
-    "conflict_log_rows": CHAIN + "SELECT sess AS session_id, CASE WHEN is_a THEN 'A' ELSE 'B' END AS conflict_type, CASE WHEN is_a THEN 'Session ' || sess || ': IMSI/MSISDN changed after Start' ELSE 'IMSI ' || imsi || ': 2+ Start without Stop' END AS details, CASE WHEN is_a THEN 'CONFLICT_A' ELSE 'CONFLICT_B' END AS error_code FROM cm WHERE is_a OR is_b",
+    "conflict_log_rows": CHAIN + "SELECT sess AS session_id, CASE WHEN is_a THEN 'A' ELSE 'B' END AS conflict_type, CASE WHEN is_a THEN 'Session ' || sess || ': IMSI/MSISDN thay đổi sau Start' ELSE 'IMSI ' || imsi || ': 2+ Start chưa Stop' END AS details, CASE WHEN is_a THEN 'CONFLICT_A' ELSE 'CONFLICT_B' END AS error_code FROM cm WHERE is_a OR is_b",
     "identity_history": f"WITH {HISTORY_ORDERS} SELECT o_custkey, o_orderkey, \"at\", lead(\"at\") OVER w AS unassigned_at, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) = 1 AS is_current, CASE WHEN row_number() OVER w = 1 THEN 'initial_activation' ELSE 'customer_request' END AS swap_reason, count(*) OVER (PARTITION BY o_custkey) - 1 AS swap_count, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN max(\"at\") OVER (PARTITION BY o_custkey) END AS latest_swap_at FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY \"at\", o_orderkey)",
     "msisdn_history": f"WITH {HISTORY_ORDERS}, x AS (SELECT o_custkey, o_orderkey, \"at\", lag(\"at\") OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS unassigned_at FROM h), y AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS position FROM x WHERE \"at\" >= 820454400) SELECT o_custkey, o_orderkey, \"at\", unassigned_at, CAST(position AS INTEGER) AS position FROM y WHERE position <= 3",
     "latest_profile": f"WITH {HISTORY_ORDERS} SELECT o_custkey, o_orderkey, \"at\" FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS r FROM h) WHERE r = 1",

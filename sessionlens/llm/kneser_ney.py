@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.llm import textvec as tv
-from sessionlens.llm.common import local_path, own_columns, partitions, scratch
+from sessionlens.llm.common import local_path, own_columns, partitions, release_shuffles, scratch
 
 U = np.uint64
 START, END = U(0x7C0FFEE5A1B2C3D4), U(0x1D872B41A5F3E690)
@@ -170,7 +170,7 @@ def _write_counts(folder: str, bits: int) -> Callable:
                 own = (keys & U(1)) == U(order - 1)
                 k, c = keys[own], counts[own]
                 path = f"{folder}/{order}-{uuid.uuid4().hex}"
-                store(path, hash=k, c=c.astype(np.uint32) if len(c) and c.max() < 1 << 32 else c)
+                store(path, hash=k, c=c.astype(np.min_scalar_type(c.max())) if len(c) else c)
                 for shard, lo, hi in _edges(k, bits):
                     x = c[lo:hi]
                     rows.append((order, shard, path, lo, hi, int(x.sum()), hi - lo, *(int((x == j).sum()) for j in range(1, 5))))
@@ -297,6 +297,7 @@ def train(texts: DataFrame) -> Model:
     texts = own_columns(texts, "text")
     shard = lambda c: F.shiftrightunsigned(c, 64 - bits)
     counted = texts.mapInArrow(_count(), "g long, c int").repartition(n, shard("g")).mapInArrow(_write_counts(folder, bits), _COUNTS).collect()
+    release_shuffles(spark)
     pairs = [r for r in counted if r.order == 2]
     d2 = discounts(*(sum(r[f"n{j}"] for r in pairs) for j in range(1, 5)))
     ranges = lambda rows: [Range(r.order, r.shard, r.path, r.lo, r.hi) for r in rows]

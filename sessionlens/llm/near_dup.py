@@ -7,18 +7,16 @@ THRESHOLD or more.
 1. Texts of one shingle set are one class: a node of the join. Classes come from 128 bits of hash of the set, so copies,
    however many, are grouped by a count and never paired.
 2. bands() picks bands and rows a band for the wanted recall at THRESHOLD; nodes meet by band hash.
-3. Buckets of up to CROWD nodes give all their pairs. A bucket with more nodes gives every node's pairs with its LEADERS most
-   central nodes: those with the most other nodes in all their buckets. Near copies of one text differ from it by edits of
-   their own, so a copy that is similar to any other is similar to the least edited ones, which are the central ones; and
-   copies that share edits as well meet in the buckets of these edits, which are small. So a group of near copies costs a
-   few pairs a text, not the square of its size. Its texts get one class; links between two followers of a crowded bucket
-   that meet in no smaller one follow from the class and are not listed.
-4. Pairs are verified on the full sets, which only nodes with candidates send.
+3. Buckets of up to CROWD nodes list their pairs, which are verified on the full sets.
+4. A bucket with more nodes is split by hash into blocks of about BLOCK nodes and BLOCK_SHINGLES shingles. Each two blocks meet
+   in one task that verifies their pairs on the full sets and lists none of them: it returns each node's number of links and
+   links that span each of its linked groups. A pair that meets in several buckets is left to the list of pairs if one of
+   these is small, else to the first of them. So every pair that meets is verified once, and every link counts.
 5. Linked nodes get the smallest node of their component by min-label propagation, in logarithmically many rounds in
    practice: each round also takes the label of one's label.
 
 The result has one row a document: class_id (smallest doc_id of its component), set_id (smallest doc_id of the documents with
-its shingle set) and n_links (listed links of its shingle set to other sets).
+its shingle set) and n_links (links of its shingle set to other sets).
 
 Nulls: a null text counts as empty. Texts of no words are copies if they are equal, and have no links. A null doc_id names
 a class only if the class has no other. Repeated rows are copies. An empty table gives an empty result.
@@ -29,17 +27,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.llm import textvec as tv
 from sessionlens.llm.common import hash128, own_columns, written
 
-#: DuckDB SQL for the query's rows; links are exact there, and listed one by one up to CROWD texts in a bucket.
+#: DuckDB SQL for the query's rows; links are exact there.
 SQL = r"""
 WITH RECURSIVE d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -58,9 +56,8 @@ WORDS = 5
 THRESHOLD = 0.8
 RECALL = 0.9999
 CROWD = 64
-LEADERS = 6
-#: Parts of a bucket that are ranked apart.
-SALTS = 32
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 FILTER_BITS = 26
 U = np.uint64
 _BITS = 44
@@ -147,14 +144,10 @@ def nodes_of(documents: DataFrame, k: int = WORDS, threshold: float = THRESHOLD,
 
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
-    """b (band hash), nid, m (nodes in the bucket) of the buckets with two nodes or more."""
-    met = nodes.select("nid", F.explode("bands").alias("b"))
-    stats = written(met.groupBy("b").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "buckets")
-    return written(met.join(stats, "b"), "members")
-
-
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    """b (band hash), nid, m (nodes in the bucket), w (their shingles) of the buckets with two nodes or more."""
+    met = nodes.select("nid", "n", F.explode("bands").alias("b"))
+    stats = written(met.groupBy("b").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("w")).where("m > 1"), "buckets")
+    return written(met.drop("n").join(stats, "b"), "members")
 
 
 def all_pairs(members: DataFrame) -> DataFrame:
@@ -191,20 +184,82 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return written(both.where(similar).select("a", "b"), "links")
 
 
-def links_of(documents: DataFrame, nodes: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, crowd: int = CROWD, leaders: int = LEADERS) -> DataFrame:
-    """a < b: verified links between nodes."""
+def _block_links(threshold: float) -> Callable:
+    """One pair of blocks of one bucket: rows (a, b, n), either a link a < b of a spanning forest, or b null and n links of a."""
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        nid, left, right = (group.column(c).to_numpy() for c in ("nid", "i", "side"))
+        flat = lambda c: pc.list_flatten(group.column(c)).to_numpy()
+        bands_of = flat("bands").reshape(len(nid), -1)
+        crowded = np.isin(bands_of, np.unique(flat("crowds")))
+        here = int(np.flatnonzero(bands_of[0] == group.column("b")[0].as_py())[0])
+        vocabulary, code = np.unique(flat("shingles"), return_inverse=True)
+        size = pc.list_value_length(group.column("shingles")).to_numpy().astype(np.int64)
+        start = np.cumsum(size) - size
+        # Pairs of one block with itself are taken once, in the order of rows; those of two blocks from the first to the second.
+        same = group.column("i")[0].as_py() == group.column("j")[0].as_py()
+        first, second = np.flatnonzero(right == left), np.flatnonzero(right != left)
+        mark = np.zeros(len(vocabulary), bool)
+        degree, label = np.zeros(len(nid), np.int64), np.arange(len(nid))
+        links: list[tuple[int, int]] = []
+        for place, x in enumerate(first.tolist()):
+            others = first[place + 1 :] if same else second
+            others = others[np.minimum(size[others], size[x]) >= threshold * np.maximum(size[others], size[x])]
+            met = bands_of[others] == bands_of[x]
+            # Met first here, and in no small bucket, where pairs are listed.
+            others = others[met[:, here] & ~met[:, :here].any(axis=1) & ~(met & ~crowded[x]).any(axis=1)]
+            if not len(others):
+                continue
+            own = code[start[x] : start[x] + size[x]]
+            mark[own] = True
+            ends = np.cumsum(size[others])
+            at = np.arange(int(ends[-1])) + np.repeat(start[others] - (ends - size[others]), size[others])
+            shared = np.add.reduceat(mark[code[at]], ends - size[others], dtype=np.int64)
+            mark[own] = False
+            linked = others[shared >= threshold * (size[others] + size[x] - shared)]
+            degree[x] += len(linked)
+            degree[linked] += 1
+            apart, one = np.unique(label[linked], return_index=True)
+            new = apart != label[x]
+            links += [(x, int(y)) for y in linked[one[new]]]
+            if new.any():
+                label[np.isin(label, apart[new])] = label[x]
+        some = np.flatnonzero(degree)
+        ends_of = nid[np.array(links, np.int64).reshape(-1, 2)]
+        return pa.table(
+            {
+                "a": pa.array(np.concatenate([nid[some], ends_of.min(axis=1)])),
+                "b": pa.array(np.concatenate([np.zeros(len(some), np.int64), ends_of.max(axis=1)]), mask=np.arange(len(some) + len(links)) < len(some)),
+                "n": pa.array(np.concatenate([degree[some], np.zeros(len(links), np.int64)])),
+            }
+        )
+
+    return run
+
+
+def crowd_links(members: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float, crowd: int, block: int) -> DataFrame:
+    """Rows (a, b, n) of _block_links for the pairs that meet in buckets of more than crowd nodes only."""
+    crowded = members.where(F.col("m") > crowd)
+    crowds = crowded.groupBy("nid").agg(F.collect_list("b").alias("crowds"))
+    info = nodes.select("nid", "bands").join(crowds, "nid").join(sets, "nid")
+    blocks = F.greatest(F.ceil(F.col("m") / block), F.ceil(F.col("w") / BLOCK_SHINGLES)).cast("int")
+    own = crowded.withColumn("blocks", blocks).withColumn("side", F.pmod(F.xxhash64("nid", "b"), F.col("blocks")).cast("int"))
+    meets = own.select("b", "nid", "side", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    meets = meets.select("b", "nid", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
+    return written(meets.join(info, "nid").groupBy("b", "i", "j").applyInArrow(_block_links(threshold), "a long, b long, n long"), "crowd-links")
+
+
+def links_of(documents: DataFrame, nodes: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, crowd: int = CROWD, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """(a < b: verified links that connect all linked nodes; nid, n_links: the number of all links of every linked node)."""
     members = buckets_of(nodes)
     sets = shingle_table(documents, nodes, members.select("nid").distinct(), k)
-    found = [verified(written(all_pairs(members.where(F.col("m") <= crowd)), "pairs"), sets, threshold)]
-    central = members.groupBy("nid").agg(F.sum("m").alias("score"))
-    crowded = written(members.where(F.col("m") > crowd).select("b", "nid").join(central, "nid"), "crowded")
-    # The best of each part of a bucket first, so that no task ranks a whole one.
-    best = lambda *part: F.row_number().over(Window.partitionBy(*part).orderBy(F.desc("score"), F.xxhash64("nid")))
-    parts = crowded.withColumn("part", F.pmod(F.xxhash64("nid"), F.lit(SALTS))).withColumn("place", best("b", "part")).where(F.col("place") <= leaders)
-    lead = written(parts.withColumn("place", best("b")).where(F.col("place") <= leaders).select("b", F.col("nid").alias("leader")), "leaders")
-    met = crowded.join(lead, "b").where("nid <> leader").select(*_ordered(F.col("nid"), F.col("leader"))).distinct()
-    found.append(verified(written(met, "pairs"), sets, threshold))
-    return written(reduce(DataFrame.unionByName, found).distinct(), "all-links")
+    listed = verified(written(all_pairs(members.where(F.col("m") <= crowd)), "pairs"), sets, threshold)
+    dense = crowd_links(members, nodes, sets, threshold, crowd, block)
+    spanning = listed.unionByName(dense.where("b IS NOT NULL").select("a", "b")).distinct()
+    one = F.lit(1).cast("long").alias("n")
+    counts = listed.select(F.col("a").alias("nid"), one).unionByName(listed.select(F.col("b").alias("nid"), one)).unionByName(dense.where("b IS NULL").select(F.col("a").alias("nid"), "n"))
+    return written(spanning, "all-links"), written(counts.groupBy("nid").agg(F.sum("n").alias("n_links")), "degrees")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -221,13 +276,11 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("u").alias("nid"), F.col("l").alias("label"))
 
 
-def near_duplicates(documents: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, crowd: int = CROWD) -> DataFrame:
+def near_duplicates(documents: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id, set_id, n_links of every document; and t (the text's hash), class_t (the text that stands for the class)."""
     signed, nodes = nodes_of(documents, k, threshold, recall)
-    links = links_of(documents, nodes, k, threshold, crowd)
+    links, degree = links_of(documents, nodes, k, threshold, crowd, block)
     label = components(links)
-    ends = links.select(F.col("a").alias("nid")).unionByName(links.select(F.col("b").alias("nid")))
-    degree = ends.groupBy("nid").agg(F.count(F.lit(1)).alias("n_links"))
     named = written(label.join(degree, "nid"), "named")
     key = ["n", "s1", "s2"]
     ids = signed.groupBy(*key).agg(F.min("doc_id").alias("set_id"))

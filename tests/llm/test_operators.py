@@ -134,20 +134,20 @@ def cloud(rng, n, edits):
     return out
 
 
-@pytest.mark.parametrize("crowd", [64, 6])
-def test_near_duplicates(spark, crowd):
+@pytest.mark.parametrize("crowd, block", [(64, 512), (6, 512), (6, 8), (1, 8)])
+def test_near_duplicates(spark, crowd, block):
     rng = random.Random(4)
     texts = cloud(rng, 60, 4) + cloud(rng, 10, 2) + [letters(rng, 200) for _ in range(30)] + ["one two", "One, two!", "three", "!!", "!!", "??", "", None, "x y z u v"]
     rows = [(i, t) for i, t in enumerate(texts)] + [(500, texts[3])]
-    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), crowd=crowd).collect()
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), crowd=crowd, block=block).collect()
     assert {r.doc_id: r.class_id for r in got} == classes(rows)
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
     assert by[500].set_id == 3 and by[500].n_links == by[3].n_links
-    if crowd == 64:
-        exact = {frozenset(shingles(t)) for t in texts}
-        x = shingles(texts[3])
-        assert by[3].n_links == sum(y != x and bool(y) and len(x & y) >= 0.8 * len(x | y) for y in exact)
+    exact = {frozenset(shingles(t)) for t in texts}
+    for i, t in rows:
+        x = shingles(t)
+        assert by[i].n_links == sum(y != x and bool(y) and len(x & y) >= 0.8 * len(x | y) for y in exact)
 
 
 def test_band_recall():

@@ -10,8 +10,10 @@ the rule's path; the longest rule wins. Urls without a rule get the method's ver
   all pages: those whose host holds one of a few seed words that name what to block, against the others, without those
   that a rule blocks (rules block for reasons of their own). So it learns what else such hosts are named.
 
-The dictionary keeps the DICTIONARY most frequent words of 2 to MAX_WORD letters, the model the FEATURES most frequent
-words: both bounds of what reaches the driver and the tasks. Counts run over all pages.
+Both tables of counts stay on Spark and are whole. Words of 2 to MAX_WORD letters enter the dictionary; a run of letters is
+joined by its substrings to the words that it holds, so a task's search needs no dictionary but each run's own. Odds are
+joined to the pages' words and added up by page. The joins' left sides repeat common runs and words: plain sort-merge joins
+with one row a key on the right, which AQE may split. Only sums and class counts reach the driver.
 
 Nulls: a null url, or one without `://`, has an empty host and path, fits no rule and is judged by the prior alone. Repeated
 rows are judged and counted each. Without training rows of a class the prior is even, and a tie means allow. An empty table
@@ -23,7 +25,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,9 @@ from sessionlens.llm.common import ascii_lower, own_columns, written
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
 #: Words in a host name that mark a page as one to learn blocking from.
 SEEDS = ("ads", "adult", "bets", "casino", "pills", "porn", "spam", "xxx")
-DICTIONARY, FEATURES, MAX_WORD = 100_000, 200_000, 20
+MAX_WORD = 20
+#: Rows that leave a task at a time.
+ROWS = 50_000
 _LETTERS = np.zeros(256, bool)
 _LETTERS[97:123] = True
 
@@ -82,12 +85,9 @@ def _word_counts() -> Callable:
     return run
 
 
-def dictionary(texts: DataFrame, size: int = DICTIONARY) -> dict[str, float]:
-    """log probabilities of the most frequent words of the table's column text."""
-    counts = texts.mapInArrow(_word_counts(), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    rows = counts.orderBy(F.desc("n"), "word").limit(size).collect()  # at most `size` words
-    total = sum(r.n for r in rows)
-    return {r.word: math.log(r.n / total) for r in rows} | {"": math.log(0.1 / max(total, 1))}
+def dictionary(texts: DataFrame) -> DataFrame:
+    """word, n of all words of the table's column text."""
+    return texts.mapInArrow(_word_counts(), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def segment(run: str, log_p: dict[str, float], max_word: int = MAX_WORD) -> list[str]:
@@ -110,59 +110,108 @@ def segment(run: str, log_p: dict[str, float], max_word: int = MAX_WORD) -> list
     return out[::-1]
 
 
-def _segmented(log_p: dict[str, float]) -> Callable:
-    """Adds words: host words as h:<word>, path words as p:<word>, numbers as their digits' count."""
+def _parts() -> Callable:
+    """Adds parts: host runs as h:<run>, path runs as p:<run>; numbers as # and their digits' count."""
     runs = re.compile(r"[a-z]+|[0-9]+")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @lru_cache(100_000)
-        def words(name: str) -> tuple[str, ...]:
-            return (f"#{len(name)}",) if name[0] <= "9" else tuple(segment(name, log_p))
-
         for batch in batches:
             out = []
             for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True):
-                parts = [("h:", x) for x in runs.findall(host)] + [("p:", x) for x in runs.findall(path.lower())]
-                out.append([kind + w for kind, x in parts for w in words(x)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.string()))], [*batch.schema.names, "words"])
+                found = [("h:", x) for x in runs.findall(host)] + [("p:", x) for x in runs.findall(path.lower())]
+                out.append([kind + (f"#{len(x)}" if x[0] <= "9" else x) for kind, x in found])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.list_(pa.string()))], [*batch.schema.names, "parts"])
+
+    return run
+
+
+def _substrings() -> Callable:
+    """rid, run -> rid, word: its substrings of 2 to MAX_WORD letters, repeats included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rid: list[int] = []
+        words: list[str] = []
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(rid, pa.int64()), pa.array(words, pa.string())], ["rid", "word"])
+        for batch in batches:
+            for own, name in zip(batch.column("rid").to_pylist(), batch.column("run").to_pylist(), strict=True):
+                for i in range(len(name) - 1):
+                    ends = range(i + 2, min(i + MAX_WORD, len(name)) + 1)
+                    rid += [own] * len(ends)
+                    words += [name[i:j] for j in ends]
+                    if len(words) >= ROWS:
+                        yield out()
+                        rid, words = [], []
+        yield out()
 
     return run
 
 
-def naive_bayes(labelled: DataFrame, size: int = FEATURES) -> tuple[dict[str, float], float]:
-    """Log odds (block against allow) of words, and of the classes, from columns words and label."""
+def _segmented(total: int) -> Callable:
+    """run, own (its words in the dictionary and their counts) -> run, words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unknown = math.log(0.1 / max(total, 1))
+        for batch in batches:
+            names = batch.column("run").to_pylist()
+            words = [segment(x, {w["word"]: math.log(w["n"] / total) for w in own or ()} | {"": unknown}) for x, own in zip(names, batch.column("own").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("run"), pa.array(words, pa.list_(pa.string()))], ["run", "words"])
+
+    return run
+
+
+def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
+    """run, words of distinct runs of letters, by all words of counts (word, n)."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    runs = written(runs.withColumn("rid", F.monotonically_increasing_id()), "runs")
+    found = runs.select("rid", "run").mapInArrow(_substrings(), "rid long, word string").join(counts, "word")
+    own = runs.join(found.groupBy("rid").agg(F.collect_set(F.struct("word", "n")).alias("own")), "rid", "left").select("run", "own")
+    return own.mapInArrow(_segmented(total), "run string, words array<string>")
+
+
+def with_words(names: DataFrame, counts: DataFrame) -> DataFrame:
+    """names (a unique nid, and parts) with words in place of parts: every run split, in order, each word after its h: or p:."""
+    part = F.col("part")
+    each = names.select("nid", F.posexplode("parts").alias("at", "part")).select("nid", "at", F.substring(part, 1, 2).alias("kind"), F.substring(part, 3, 1 << 30).alias("run"))
+    split = segmented(each.select("run").where("run NOT LIKE '#%'").distinct(), counts)
+    words = F.transform(F.coalesce("words", F.array("run")), lambda w: F.concat("kind", w))
+    own = each.join(split, "run", "left").select("nid", F.struct("at", words.alias("words")).alias("part")).groupBy("nid").agg(F.array_sort(F.collect_list("part")).alias("parts"))
+    own = own.select("nid", F.flatten("parts.words").alias("words"))
+    return names.drop("parts").join(own, "nid", "left").withColumn("words", F.coalesce("words", F.array().cast("array<string>")))
+
+
+def naive_bayes(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """Log odds (block against allow) of all words (word, odds), and of the classes, from columns words and label."""
     rows = labelled.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.count_if(F.col("label") == "block").alias("b"), F.count_if(F.col("label") == "allow").alias("a"))
+    rows = written(rows, "word-labels")
     totals = rows.agg(F.sum("b"), F.sum("a"), F.count(F.lit(1))).first()
     n_b, n_a, kinds = (x or 0 for x in totals)
     docs = dict(labelled.groupBy("label").count().collect())
-    top = rows.orderBy(F.desc(F.col("b") + F.col("a")), "word").limit(size).collect()  # at most `size` words
-    odds = {r.word: math.log((r.b + 1) / (n_b + kinds + 1)) - math.log((r.a + 1) / (n_a + kinds + 1)) for r in top}
+    odds = rows.select("word", (F.log((F.col("b") + 1) / F.lit(n_b + kinds + 1)) - F.log((F.col("a") + 1) / F.lit(n_a + kinds + 1))).alias("odds"))
     prior = math.log(docs["block"] / docs["allow"]) if docs.get("block") and docs.get("allow") else 0.0
     return odds, prior
 
 
-def _judged(odds: dict[str, float], prior: float) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            score = [prior + sum(odds.get(w, 0.0) for w in words) for words in batch.column("words").to_pylist()]
-            own = [c for c in batch.schema.names if c != "words"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(score, pa.float64())], [*own, "block_score"])
-
-    return run
+def judged(names: DataFrame, odds: DataFrame, prior: float) -> DataFrame:
+    """names (a unique nid, and words) with block_score in place of words; odds are added in the words' order."""
+    each = names.select("nid", F.posexplode("words").alias("at", "word")).join(odds, "word")
+    own = each.groupBy("nid").agg(F.array_sort(F.collect_list(F.struct("at", "odds"))).alias("odds"))
+    own = own.select("nid", F.aggregate("odds.odds", F.lit(0.0), lambda x, y: x + y).alias("score"))
+    return names.drop("words").join(own, "nid", "left").withColumn("block_score", F.lit(prior) + F.coalesce("score", F.lit(0.0)))
 
 
 def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, seeds: tuple[str, ...] = SEEDS) -> DataFrame:
     """page_id, host, path, rule, verdict and block_score (the method's log odds) of every page."""
     pages = own_columns(pages, "page_id", "url", "html")
-    log_p = dictionary(pages.select(F.col("html").alias("text")))
+    counts = written(dictionary(pages.select(F.col("html").alias("text"))), "words")
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     host, path = F.col("host"), F.col("path")
     urls = urls.withColumn("rule", _first_rule(host, path, rules, 1)).withColumn("ruled", _first_rule(host, path, rules, 0))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in urls.schema)
-    names = written(urls.mapInArrow(_segmented(log_p), f"{kinds}, words array<string>"), "names")
+    parts = urls.mapInArrow(_parts(), f"{kinds}, parts array<string>").withColumn("nid", F.monotonically_increasing_id())
+    names = written(with_words(written(parts, "parts"), counts), "names")
     seeded = F.arrays_overlap("words", F.array(*[F.lit(f"h:{s}") for s in seeds]))
     labelled = names.withColumn("label", F.when(seeded, F.lit("block")).when(F.coalesce("ruled", F.lit("allow")) == "allow", F.lit("allow"))).where("label IS NOT NULL")
     odds, prior = naive_bayes(labelled)
-    scored = names.mapInArrow(_judged(odds, prior), f"{kinds}, block_score double")
+    scored = judged(names, odds, prior)
     method = F.when(F.col("block_score") > 0, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select("page_id", "host", "path", "rule", F.coalesce("ruled", method).alias("verdict"), "block_score")

@@ -301,6 +301,23 @@ def test_urls(spark):
     assert len(got) == len(rows)
 
 
+def test_rare_words_count(spark):
+    """Words beyond the 200 000 most frequent split names and have odds like any other."""
+    from math import log
+
+    code = "translate(lpad(cast(i AS string), 6, '0'), '0123456789', 'qrtvwxyzkj')"  # no code holds a word of the rare page
+    many = spark.range(201_000).selectExpr("id AS i").selectExpr(f"{code} AS w", "i % 201 AS page")
+    many = many.groupBy("page").agg(F.array_join(F.sort_array(F.collect_list("w")), "/").alias("ws")).crossJoin(spark.range(2))
+    many = many.selectExpr("page + 1000 * id AS page_id", "concat('http://host.net/', ws) AS url", "replace(ws, '/', ' ') AS html")
+    rare = spark.createDataFrame([(-1, "http://glimspam.net/", "glim spam")], many.schema)
+    got = {r.page_id: r.block_score for r in url_filter.filter_urls(many.union(rare)).where("page_id < 1").collect()}
+    # Classes: one page of h:glim h:spam h:net, and 402 of h:host h:net and 1000 words each.
+    n_b, n_a, kinds = 3, 402 * 1002, 201_000 + 4
+    odds = lambda b, a: log((b + 1) / (n_b + kinds + 1)) - log((a + 1) / (n_a + kinds + 1))
+    assert got[-1] == pytest.approx(log(1 / 402) + 2 * odds(1, 0) + odds(1, 402))
+    assert got[0] == pytest.approx(log(1 / 402) + odds(0, 402) + odds(1, 402) + 1000 * odds(0, 2))
+
+
 def test_segment():
     from math import log
 

@@ -4,8 +4,9 @@ The categories are label columns in a fixed order. The first model sees a text's
 logits that the models before it give the text. For training, these come from models that did not see the text: every
 category is fitted FOLDS times without one fold, and the left-out fold gets that model's prediction; a last fit on all
 folds serves new texts. Models are L2-regularised logistic regressions over the presence of words and of word beginnings
-(PREFIX bytes), named by BITS bits of hash. Of near copies among the training texts (texts that agree in any of COPY_KEYS minima of hashed five-word shingles) one
-is kept, and only words whose association with the category stands out of chance (a G statistic of MIN_G or more; there are
+(PREFIX bytes), named by BITS bits of hash. Of near copies among the training texts (full sets of five-word shingles with a Jaccard similarity of COPY or more; any of
+COPY_KEYS minima finds the pairs to compare, all but 3 in a million at 0.8) one is kept, but no positive of the last
+category goes for a negative. Only words whose association with the category stands out of chance (a G statistic of MIN_G or more; there are
 tens of thousands of words) get a weight, so that the words of a few mislabelled texts don't turn clean texts toxic.
 
 Training takes at most MAX_TRAIN labelled documents, the first by a hash of their id: the documented bound of what reaches
@@ -19,6 +20,7 @@ smoothed share of its positives (near 0 if there are none). An empty table gives
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,6 +40,10 @@ MAX_TRAIN = 6000
 MIN_DOCS = 5
 MIN_G = 25.0
 COPY_KEYS = 8
+#: Similarity of near copies, as a fraction of whole numbers: exact at the border.
+COPY = (4, 5)
+#: Texts compared with one text at a time.
+COMPARED = 256
 FOLDS = 3
 STEPS = 600
 L2 = 0.1
@@ -109,27 +115,47 @@ def telling(rows: np.ndarray, cols: np.ndarray, d: int, y: np.ndarray) -> np.nda
     return g >= MIN_G
 
 
-def one_of_copies(texts: pa.Array) -> np.ndarray:
-    """Row numbers without near copies of earlier rows. Texts of under five words all stay."""
-    seen: list[set[int]] = [set() for _ in range(COPY_KEYS)]
+def one_of_copies(texts: pa.Array, y: np.ndarray) -> np.ndarray:
+    """Row numbers without near copies of earlier kept rows whose y is no smaller. Texts of under five words all stay."""
+    seen: list[dict[int, list[int]]] = [{} for _ in range(COPY_KEYS)]
+    sets: dict[int, np.ndarray] = {}
     keep = []
     for lo, hi, data, offsets in tv.slices(texts):
         w = tv.words(data, offsets, tv.ALNUM)
         grams, ok = tv.ngrams(w.hash, 5), tv.within(w.first, 5)
+        grams = grams[ok] if len(grams) else grams
         doc = (np.searchsorted(w.first, np.flatnonzero(ok), "right") - 1) if len(grams) else np.zeros(0, np.int64)
         start = np.flatnonzero(np.diff(doc, prepend=-1))
-        keys = [np.minimum.reduceat(tv.mix(grams[ok] ^ np.uint64(0x1234567 * (k + 1))), start).tolist() if len(start) else [] for k in range(COPY_KEYS)]
+        keys = [np.minimum.reduceat(tv.mix(grams ^ np.uint64(0x1234567 * (k + 1))), start).tolist() if len(start) else [] for k in range(COPY_KEYS)]
         copies = set()
-        for i, own in zip(doc[start].tolist(), zip(*keys, strict=True), strict=True):
-            if any(x in s for x, s in zip(own, seen, strict=True)):
+        for i, a, b, own in zip(doc[start].tolist(), start.tolist(), [*start[1:].tolist(), len(grams)], zip(*keys, strict=True), strict=True):
+            shingles = np.unique(grams[a:b])
+            found = Counter(j for x, s in zip(own, seen, strict=True) for j in s.get(x, ()))
+            # The likeliest first; y and sizes alone leave most others out.
+            some = [j for j, _ in found.most_common() if y[j] >= y[lo + i] and _may_be_copies(len(sets[j]), len(shingles))]
+            if any(_a_copy(shingles, [sets[j] for j in some[k : k + COMPARED]]) for k in range(0, len(some), COMPARED)):
                 copies.add(i)
             else:
+                sets[lo + i] = shingles
                 for x, s in zip(own, seen, strict=True):
-                    s.add(x)
+                    s.setdefault(x, []).append(lo + i)
         keep += [lo + i for i in range(hi - lo) if i not in copies]
     return np.array(keep, np.int64)
 
 
+def _may_be_copies(m: int, n: int) -> bool:
+    return COPY[1] * min(m, n) >= COPY[0] * max(m, n)
+
+
+def _a_copy(shingles: np.ndarray, others: list[np.ndarray]) -> bool:
+    """Whether a sorted set has the similarity COPY or more with any of the others, on all their elements."""
+    size = np.array([len(x) for x in others])
+    every = np.concatenate(others)
+    hit = shingles[np.minimum(np.searchsorted(shingles, every), len(shingles) - 1)] == every
+    both = np.add.reduceat(hit.astype(np.int64), np.cumsum(size) - size)
+    return bool((COPY[1] * both >= COPY[0] * (len(shingles) + size - both)).any())
+
+
 def fit(rows: np.ndarray, cols: np.ndarray, d: int, dense: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Weights of all d columns (most are 0), of the dense columns, and the bias."""
     m = dense.shape[1]
@@ -213,8 +239,9 @@ def train(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...] =
     got = rows.select(F.col("text"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).alias("fold"), *categories).toArrow()
     text = got.column("text").combine_chunks()
     text = text if isinstance(text, pa.Array) else pa.concat_arrays(text.chunks)
-    keep = one_of_copies(text)
-    return fit_chain(text.take(pa.array(keep)), {c: got.column(c).to_numpy()[keep] for c in categories}, got.column("fold").to_numpy()[keep])
+    y = {c: got.column(c).to_numpy() for c in categories}
+    keep = one_of_copies(text, y[categories[-1]])
+    return fit_chain(text.take(pa.array(keep)), {c: y[c][keep] for c in categories}, got.column("fold").to_numpy()[keep])
 
 
 def scored(documents: DataFrame, chain: list[Link]) -> DataFrame:

@@ -426,6 +426,22 @@ def test_toxicity(spark):
     assert all(got[i] == (i % 6 == 0) for i in range(400, 600)) and got[901] and got[None] and not got[900]
 
 
+def test_only_near_copies_leave_training():
+    import numpy as np
+
+    rng = random.Random(13)
+    own = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, long, toxic = own(100), own(200), own(200)
+    rows = [(passage + own(100), 0) for _ in range(60)]  # similarity of about a third through one passage
+    rows += [(long, 0), (long[:100] + ["x"] + long[101:], 0), (long, 1), (long, 1), (toxic, 1), (toxic, 0), (["a"], 0), (["a"], 0)]
+    keep = toxicity.one_of_copies(pa.array([" ".join(t) for t, _ in rows]), np.array([y for _, y in rows]))
+    assert keep.tolist() == [*range(61), 62, 64, 66, 67]
+    # Shingles 0 to 99 against 0 to 79 and 0 to 78: 0.8 is a copy, 0.79 is none.
+    edge = own(104)
+    for n, left in ((84, [0]), (83, [0, 1])):
+        assert toxicity.one_of_copies(pa.array([" ".join(edge), " ".join(edge[:n])]), np.zeros(2)).tolist() == left
+
+
 def test_chain_without_labels():
     chain = toxicity.fit_chain(pa.array([], pa.string()), {"a": pa.array([], pa.int64()).to_numpy()}, pa.array([], pa.int64()).to_numpy())
     assert chain[0].bias < -5

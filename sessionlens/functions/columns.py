@@ -51,10 +51,10 @@ def epoch(c: Column) -> Column:
     return F.unix_seconds(c)
 
 
-def ipv4(a: Column, b: Column, c: Column, d: Column) -> Column:
-    return F.concat_ws(".", *(x.cast("string") for x in (a, b, c, d)))
+def place(*parts: Column) -> Column:
+    """Text that sorts as the parts do one after the other; numbers (not negative) are padded."""
+    return F.concat_ws("/", *parts)
 
 
-def bucket(rate: float, *cols: Column | str) -> Column:
-    """True for about `rate` of all rows: a hash of the columns, so reruns agree."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1_000_000)) < int(rate * 1_000_000)
+def padded(c: Column, n: int = 19) -> Column:
+    return F.lpad(c.cast("string"), n, "0")

@@ -26,18 +26,27 @@ def mark_a(records: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def mark_b(records: DataFrame, seq: str = "seq") -> DataFrame:
-    """records with is_a plus is_b: one slot for an open session an imsi."""
+    """records with is_a plus is_b: one slot for an open session an imsi.
+
+    Only Starts and Stops without A count. Where an imsi's Starts and Stops take turns, each Stop that of the session before
+    it, nothing overlaps; only the others' Starts and Stops are folded.
+    """
 
     def step(open_session: str | None, row: tuple) -> tuple[str | None, bool]:
-        session, status, is_a = row
-        if is_a:
-            return open_session, False
+        session, status = row
         if status == "Start":
             return (session, False) if open_session is None else (open_session, open_session != session)
-        return (None if status == "Stop" and open_session == session else open_session), False
-
-    timed = records.withColumn("__late", F.col("event_ts").isNull())
-    return ordered_fold(timed, ["imsi"], ["__late", "event_ts", seq], ["acct_session_id", "acct_status_type", "is_a"], "is_b", step).drop("__late")
+        return (None if open_session == session else open_session), False
+
+    status = F.col("acct_status_type")
+    timed = records.withColumn("__late", F.col("event_ts").isNull()).withColumn("__counts", ~F.col("is_a") & status.isin("Start", "Stop"))
+    own = Window.partitionBy("imsi", "__counts")
+    order = own.orderBy("__late", "event_ts", seq)
+    turn = F.when(F.row_number().over(order) % 2 == 1, status == "Start").otherwise((status == "Stop") & F.col("acct_session_id").eqNullSafe(F.lag("acct_session_id").over(order)))
+    timed = timed.withColumn("__turn", turn).withColumn("__calm", F.min("__turn").over(own))
+    timed = timed.withColumn("is_b", F.when(~F.col("__counts") | F.col("__calm"), F.lit(False)))
+    folded = ordered_fold(timed.where("is_b IS NULL"), ["imsi", "__counts"], ["__late", "event_ts", seq], ["acct_session_id", "acct_status_type"], "is_b", step)
+    return timed.where("is_b IS NOT NULL").unionByName(folded).drop("__late", "__counts", "__turn", "__calm")
 
 
 def mark_cd(records: DataFrame, seq: str = "seq") -> DataFrame:

@@ -16,16 +16,26 @@ def mark_ttl(records: DataFrame, ttl: int = TTL, seq: str = "seq") -> DataFrame:
     """records plus is_duplicate: not more than ttl seconds after the last accepted record of its key, in order of event time.
 
     A duplicate does not move the last accepted time. A record without a readable time is accepted and changes nothing.
+
+    Records with no more than ttl between neighbours are a burst. Its first record is accepted, as the last accepted one is
+    no later than the record before; what follows within ttl of it are duplicates. Only a burst's later records depend on
+    each other, so only these are folded, from the burst's start on.
     """
 
-    def step(last: int | None, row: tuple) -> tuple[int | None, bool]:
-        at = row[0]
-        if at is None or last is not None and at - last <= ttl:
-            return last, at is not None
-        return at, False
+    def step(last: int | None, row: tuple) -> tuple[int, bool]:
+        at, burst = row
+        last = burst if last is None else last
+        return (last, True) if at - last <= ttl else (at, False)
 
     timed = records.withColumn("__at", F.unix_seconds("event_ts"))
-    return ordered_fold(timed, KEY, ["__at", seq], ["__at"], "is_duplicate", step).drop("__at")
+    order = Window.partitionBy(*KEY).orderBy("__at", seq)
+    at, before = F.col("__at"), F.lag("__at").over(order)
+    timed = timed.withColumn("__first", at.isNotNull() & (before.isNull() | (at - before > ttl)))
+    timed = timed.withColumn("__burst", F.last(F.when(F.col("__first"), at), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    settled = F.when(at.isNull() | F.col("__first"), F.lit(False)).when(at - F.col("__burst") <= ttl, F.lit(True))
+    timed = timed.withColumn("is_duplicate", settled)
+    folded = ordered_fold(timed.where("is_duplicate IS NULL"), [*KEY, "__burst"], ["__at", seq], ["__at", "__burst"], "is_duplicate", step)
+    return timed.where("is_duplicate IS NOT NULL").unionByName(folded).drop("__at", "__first", "__burst")
 
 
 def drop_ttl(records: DataFrame, ttl: int = TTL, seq: str = "seq") -> DataFrame:

@@ -1,7 +1,8 @@
-"""Ordered folds: a state machine over each key's rows in order, for rules that no window frame can express.
+"""Ordered folds: a state machine over each key's rows in order, for the few rows whose rule no window frame can express.
 
-Rows are shuffled by key and sorted within partitions (Spark spills), and stream through the machine an Arrow batch at a
-time; a task holds one state and one batch, whatever a key's number of rows.
+Callers settle what windows can settle and send only contested rows. These come as the window left them: whole keys in one
+partition, sorted there (Spark spills). They stream through the machine an Arrow batch at a time; a task holds one state and
+one batch, whatever a key's number of rows.
 """
 
 from __future__ import annotations
@@ -14,8 +15,10 @@ from pyspark.sql import DataFrame
 
 
 def ordered_fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], flag: str, step: Callable[[Any, tuple], tuple[Any, bool]]) -> DataFrame:
-    """rows plus the boolean column flag. step(state, inputs of a row) -> (new state, flag); a key starts at state None."""
-    schema = rows.schema.add(flag, "boolean")
+    """rows with the boolean column flag filled in. step(state, inputs of a row) -> (new state, flag); a key starts at state None.
+
+    rows come from a window partitioned by key, or by some of its columns.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, state = None, None
@@ -28,7 +31,7 @@ def ordered_fold(rows: DataFrame, key: list[str], order: list[str], inputs: list
                     last, state = k, None
                 state, out = step(state, v)
                 flags.append(out)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(flags, pa.bool_())], [*batch.schema.names, flag])
+            place = batch.schema.get_field_index(flag)
+            yield batch.set_column(place, pa.field(flag, pa.bool_()), pa.array(flags, pa.bool_()))
 
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, *key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
+    return rows.sortWithinPartitions(*key, *order).mapInArrow(run, rows.schema)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import E164_PLAN, trimmed
 
+#: Rows from a list's start that a page may end at.
+DEEPEST = 1_000_000
+
 
 def number_plan(df: DataFrame, number: str, countries: DataFrame, prefixes: DataFrame) -> DataFrame:
     """LKP-3, JOIN-7: adds plan_valid, plan_error, plan_detail, country_code, country_name, subscriber_number, operator.
@@ -26,7 +29,7 @@ def number_plan(df: DataFrame, number: str, countries: DataFrame, prefixes: Data
         op = prefixes.select(F.col("country_code").alias(f"__oc{k}"), F.col("prefix").alias(f"__op{k}")).where(F.length(f"__op{k}") == k).distinct()
         out = out.join(op, (F.col("country_code") == F.col(f"__oc{k}")) & (F.substring("subscriber_number", 1, k) == F.col(f"__op{k}")), "left")
     prefix = F.coalesce("__op2", "__op3")
-    # Each failed check with its texts, in order.
+    # Each failed check with its code and text, in order.
     checks = [
         (F.col("__n").isNull(), "INVALID_FORMAT", "Number must start with '+' followed by 10-15 digits"),
         (F.col("country_code").isNull(), "UNKNOWN_COUNTRY", "Country code is not supported by ITU database"),
@@ -57,26 +60,59 @@ def batch_lookup(requests: DataFrame, key: str, table: DataFrame, table_key: str
 
 
 def lookup_totals(looked_up: DataFrame, requests: DataFrame, key: str) -> DataFrame:
-    """AGG-10: total counts the request's rows, repeats too; found and not_found are such rows."""
-    both = requests.select(key).join(looked_up.select(key, "found"), key)
-    return both.agg(F.count(F.lit(1)).alias("total"), F.count_if("found").alias("found"), F.count_if(~F.col("found")).alias("not_found"))
+    """AGG-10: total counts the request's rows, repeats too; found and not_found are such rows. looked_up has a row or more a key."""
+    asked = requests.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    both = asked.join(looked_up.select(key, "found").distinct(), key)
+    count = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)).cast("long")
+    return both.agg(count(F.lit(True)).alias("total"), count(F.col("found")).alias("found"), count(~F.col("found")).alias("not_found"))
+
+
+def plan_batch(requests: DataFrame, number: str, countries: DataFrame, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """LKP-4: (the plan's answer for each distinct number; total, valid_count and invalid_count of the request's rows)."""
+    answers = number_plan(requests.select(number).distinct(), number, countries, prefixes)
+    totals = lookup_totals(answers.select(number, F.col("plan_valid").alias("found")), requests, number)
+    return answers, totals.withColumnsRenamed({"found": "valid_count", "not_found": "invalid_count"})
+
+
+def subscriber_batch(requests: DataFrame, subscribers: DataFrame, order: list[str]) -> DataFrame:
+    """LKP-11: requests (type, value) plus found and the profile: each row's own key type, imsi or msisdn; any other finds nothing.
+
+    Of several profiles of a key the last one in the given order wins. One join a key type, on keys that are unique there.
+    """
+    out, others = None, [c for c in subscribers.columns if c not in order]
+    for kind in ("imsi", "msisdn"):
+        last = last_per_key(subscribers.where(F.col(kind).isNotNull()).withColumn("__value", F.col(kind)), "__value", order)
+        own = last.select(F.lit(kind).alias("__type"), "__value", F.struct(*others).alias("__profile"))
+        out = own if out is None else out.unionByName(own)
+    met = requests.join(out, (F.col("type") == F.col("__type")) & (F.col("value") == F.col("__value")), "left")
+    return met.select(*[requests[c] for c in requests.columns], F.col("__type").isNotNull().alias("found"), *[F.col(f"__profile.{c}").alias(c) for c in others])
+
+
+def history_batch(requests: DataFrame, rows: DataFrame, key: str, value: str, at: str) -> DataFrame:
+    """LKP-10: the identity histories of the requested keys, a row an entry, with found; a key without any has one row."""
+    asked = requests.select(key).distinct()
+    own = identity_history(rows.join(asked, key, "left_semi"), key, value, at).withColumn("__found", F.lit(True))
+    return asked.join(own, key, "left").withColumn("found", F.coalesce("__found", F.lit(False))).drop("__found")
 
 
 def tac_lookup(requests: DataFrame, tac: DataFrame) -> DataFrame:
     """LKP-1: status 422 unless the code is six digits, 404 if it is unknown, else 200 and the record."""
-    looked = requests.join(tac, "tac_code", "left")
-    known = F.col("manufacturer").isNotNull()
+    looked = requests.join(tac.withColumn("__found", F.lit(True)), "tac_code", "left")
+    known = F.coalesce("__found", F.lit(False))
     status = F.when(~F.coalesce(F.col("tac_code").rlike("^[0-9]{6}$"), F.lit(False)), 422).when(known, 200).otherwise(404)
-    return looked.withColumn("http_status", status)
+    return looked.withColumn("http_status", status).drop("__found")
 
 
 def page(rows: DataFrame, order: list[str], page_number: int = 1, page_size: int = 50, filters: dict[str, str] | None = None) -> DataFrame:
     """LKP-5, LKP-6: a page of the rows that match the filters (case-insensitive), with total and pages on each row.
 
-    Sorting stops at the page's last row (a top-k), so no task sorts or numbers the whole table.
+    Sorting stops at the page's last row (a top-k), so no task sorts or numbers the whole table. That holds up to DEEPEST
+    rows; to go on from there, filter on the last page's keys, which pages by key at any depth.
     """
     if page_number < 1 or not 1 <= page_size <= 200:
         raise ValueError("page >= 1 and 1 <= page_size <= 200")
+    if page_number * page_size > DEEPEST:
+        raise ValueError(f"page by key beyond {DEEPEST} rows")
     for c, value in (filters or {}).items():
         if value is not None:
             rows = rows.where(F.lower(c) == value.lower())
@@ -102,14 +138,16 @@ def identity_history(rows: DataFrame, key: str, value: str, at: str) -> DataFram
 
 
 def number_history(rows: DataFrame, key: str, value: str, at: str, from_date: Column | None = None, to_date: Column | None = None, limit: int = 20) -> DataFrame:
-    """LKP-9, WIN-7: newest first a key; unassigned_at is the newer row's date, computed before the date filter; limit a key."""
+    """LKP-9, WIN-7: newest first a key; unassigned_at is the newer row's date, is_current marks the newest, both computed
+    before the date filter; limit a key; total is a key's rows after the limit."""
     newest = Window.partitionBy(key).orderBy(F.desc(at), F.desc(value))
-    out = rows.withColumn("unassigned_at", F.lag(at).over(newest))
+    out = rows.withColumn("unassigned_at", F.lag(at).over(newest)).withColumn("is_current", F.row_number().over(newest) == 1)
     if from_date is not None:
         out = out.where(F.col(at) >= from_date)
     if to_date is not None:
         out = out.where(F.col(at) <= to_date)
-    return out.withColumn("position", F.row_number().over(newest)).where(F.col("position") <= limit)
+    out = out.withColumn("position", F.row_number().over(newest)).where(F.col("position") <= limit)
+    return out.withColumn("total", F.count(F.lit(1)).over(Window.partitionBy(key)))
 
 
 def latest_two(rows: DataFrame, key: str, value: str, at: str) -> DataFrame:

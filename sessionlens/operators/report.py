@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from html import escape
 from string import Template
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -47,13 +48,47 @@ def missing_top(invalid: DataFrame, n: int = 5) -> DataFrame:
 PAGE = Template("<!DOCTYPE html><html><head><meta charset='utf-8'><title>Data quality</title></head><body><h1>Data quality</h1>$sections</body></html>")
 
 
-def html_report(sections: dict[str, DataFrame], path: str) -> None:
-    """SNK-9: writes the sections as tables. They are aggregates of a few rows; a failure is raised, never filled in."""
-    parts = []
+#: Rows that a section may have: sections are aggregates.
+SECTION_ROWS = 1000
+
+
+def sections(annotated: DataFrame, conflicts: DataFrame, stored: DataFrame, duplicates: DataFrame, invalid_log: DataFrame) -> dict[str, DataFrame]:
+    """All sections of the report, by title; rates are shares of the stored sessions."""
+    wrong = annotated.where(F.col("error_code").isNotNull())
+    log_total = duplicates.agg(F.count(F.lit(1)).alias("total"))
+    return {
+        "Stored sessions": stored.agg(F.count(F.lit(1)).alias("total")),
+        "IMEI errors": with_rate(imei_section(wrong), stored),
+        "Duplicates": with_rate(log_total, stored),
+        "Duplicates by hour": duplicates_hourly(duplicates),
+        "Conflicts": with_rate(conflict_section(conflicts), stored),
+        "Late arrivals": with_rate(code_section(wrong, "ERR_LATE_ARRIVAL"), stored),
+        "Missing fields": with_rate(code_section(wrong, "ERR_MISSING_FIELD"), stored),
+        "Fields missing most": missing_top(invalid_log),
+    }
+
+
+def html_page(sections: dict[str, DataFrame], progress: dict[str, dict] | None = None) -> str:
+    """The sections as tables, and a stream's progress by query. A section of more than SECTION_ROWS rows is an error."""
+    tables = {}
     for title, df in sections.items():
-        rows = df.limit(100).collect()
-        head = "".join(f"<th>{c}</th>" for c in df.columns)
-        body = "".join("<tr>" + "".join(f"<td>{x}</td>" for x in r) + "</tr>" for r in rows)
-        parts.append(f"<h2>{title}</h2><table><tr>{head}</tr>{body}</table>")
-    with open(path, "w", encoding="utf-8") as f:
-        f.write(PAGE.substitute(sections="".join(parts)))
+        rows = df.limit(SECTION_ROWS + 1).collect()
+        if len(rows) > SECTION_ROWS:
+            raise ValueError(f"section {title} has more than {SECTION_ROWS} rows")
+        tables[title] = (df.columns, rows)
+    if progress:
+        names = sorted({k for p in progress.values() for k in p})
+        tables["Streams"] = (["query", *names], [[q, *[p.get(k) for k in names]] for q, p in progress.items()])
+    row = lambda tag, cells: "<tr>" + "".join(f"<{tag}>{escape(str(x))}</{tag}>" for x in cells) + "</tr>"
+    parts = [f"<h2>{escape(title)}</h2><table>{row('th', head)}{''.join(row('td', r) for r in rows)}</table>" for title, (head, rows) in tables.items()]
+    return PAGE.substitute(sections="".join(parts))
+
+
+def html_report(spark: SparkSession, sections: dict[str, DataFrame], path: str, progress: dict[str, dict] | None = None) -> None:
+    """SNK-9: writes the page where path says, through Hadoop's file systems. A failure is raised, never filled in."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True)
+    try:
+        out.write(bytearray(html_page(sections, progress), "utf-8"))
+    finally:
+        out.close()

@@ -7,10 +7,16 @@ from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import E164_REQUEST
 
+#: Days that a swap check looks back where requests don't say.
+MAX_AGE = 30
 
-def checked_requests(requests: DataFrame) -> DataFrame:
-    """FLT-8: requests with phone (trimmed) and request_error (INVALID_ARGUMENT for a malformed number or a negative max_age)."""
+
+def checked_requests(requests: DataFrame, default_age: bool = False) -> DataFrame:
+    """FLT-8: requests with phone (trimmed), max_age (MAX_AGE where there is no such column) and request_error
+    (INVALID_ARGUMENT for a malformed number or a negative max_age)."""
     phone = F.trim("phone_number")
+    if default_age and "max_age" not in requests.columns:
+        requests = requests.withColumn("max_age", F.lit(MAX_AGE))
     bad = ~F.coalesce(phone.rlike(E164_REQUEST), F.lit(False))
     if "max_age" in requests.columns:
         bad = bad | F.coalesce(F.col("max_age") < 0, F.lit(False))
@@ -22,7 +28,7 @@ def swap_check(requests: DataFrame, swaps: DataFrame, swap_type: str, as_of: Col
 
     A swap counts if it is confirmed at or after as_of less max_age days; later than as_of counts too. No max_age, no match.
     """
-    asked = checked_requests(requests)
+    asked = checked_requests(requests, default_age=True)
     numbers = asked.where(F.col("request_error").isNull()).select("phone", "max_age").distinct()
     own = swaps.where((F.col("swap_type") == swap_type) & F.col("confirmed_at").isNotNull()).select(F.col("msisdn").alias("phone"), "confirmed_at")
     since = as_of - F.make_dt_interval(F.col("max_age"))

@@ -60,7 +60,7 @@ def annotate(records: DataFrame, dims: Dims) -> DataFrame:
 
 
 def _rules(unavailable: frozenset[str]) -> list[tuple[Column, str, Column]]:
-    """(fails, error code, details) in order."""
+    """(fails, error code, details) in order. Codes and texts are fixed values."""
     text = {c: trimmed(F.col(c)) for c in (*MANDATORY, "ingest_timestamp")}
     missing = F.coalesce(*[F.when(text[c] == "", F.lit(f"{c} is required")) for c in MANDATORY])
     epoch = F.unix_seconds("event_ts")

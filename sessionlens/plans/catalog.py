@@ -14,7 +14,7 @@ from sessionlens.functions.columns import epoch, tac_of
 from sessionlens.operators import conflict, dedup, late, lookups, report, serve, validate
 from sessionlens.plans import oracle
 from sessionlens.plans import pipeline as chain
-from sessionlens.sources import generate, projection, sinks
+from sessionlens.sources import files, projection, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,7 +103,7 @@ def identity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def msisdn_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookups.number_history(_orders(spark, sf_dir), "o_custkey", "o_orderkey", "at", from_date=F.lit(820454400), limit=3)
+    return lookups.number_history(_orders(spark, sf_dir), "o_custkey", "o_orderkey", "at", from_date=F.lit(820454400))
 
 
 def latest_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,22 +136,69 @@ def number_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rpt_imei(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _outputs(spark, sf_dir)
-    return report.with_rate(report.imei_section(validate.invalid(out.annotated)), out.clean)
+    return report.with_rate(report.imei_section(validate.invalid(out.annotated)), out.stored)
 
 
 def rpt_duplicates_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = dedup.duplicate_log(dedup.mark_long_term(_valid(spark, sf_dir)), F.col("event_ts"))
-    return report.duplicates_hourly(log)
+    return report.duplicates_hourly(_outputs(spark, sf_dir).duplicate_log(F.col("ingest_ts")))
+
+
+def chain_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean records that storage had already, logged when they came."""
+    return _outputs(spark, sf_dir).duplicate_log(epoch(F.col("ingest_ts")))
+
+
+def csv_chain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain from CSV files as the package writes and reads them."""
+    raw = projection.accounting(spark, sf_dir)
+    folder = files.scratch_folder(spark, "csv")
+    sinks.write_csv(raw.orderBy("seq"), folder)
+    out = chain.process(files.read_csv(spark, folder), projection.dims(spark, sf_dir), projection.sim_history(spark, sf_dir), projection.device_history(spark, sf_dir))
+    return chain.counts(out)
+
+
+def e164_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dims = projection.dims(spark, sf_dir)
+    return lookups.plan_batch(projection.accounting(spark, sf_dir), "msisdn", dims.countries, dims.prefixes)[1]
+
+
+def _history_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, every eleventh under a key without orders; every fifth asks twice."""
+    k = F.col("c_custkey")
+    key = F.when(k % 11 == 0, k + 1_000_000).otherwise(k).alias("o_custkey")
+    asked = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    return asked.select(key).unionByName(asked.where(k % 5 == 0).select(key))
+
+
+def history_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.history_batch(_history_requests(spark, sf_dir), _orders(spark, sf_dir), "o_custkey", "o_orderkey", "at")
+
+
+def history_batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookups.lookup_totals(history_batch(spark, sf_dir), _history_requests(spark, sf_dir), "o_custkey")
+
+
+def _subscriber_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    kind = F.when(k % 3 == 0, "imsi").when(k % 3 == 1, "msisdn").otherwise("email")
+    number = F.when(k % 7 == 0, k + 1_000_000).otherwise(k)
+    value = F.when(k % 3 == 0, projection.imsi_of(number)).otherwise(projection.msisdn_of(number))
+    return spark.read.parquet(f"{sf_dir}/customer.parquet").select(k.alias("request_id"), kind.alias("type"), value.alias("value"))
+
+
+def subscriber_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    profiles = projection.sim_history(spark, sf_dir).withColumn("assigned_at", epoch(F.col("assigned_at")))
+    return lookups.subscriber_batch(_subscriber_requests(spark, sf_dir), profiles.withColumn("at", F.col("assigned_at")), ["at"])
 
 
 def rpt_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _outputs(spark, sf_dir)
-    return report.with_rate(report.conflict_section(out.conflicts), out.clean)
+    return report.with_rate(report.conflict_section(out.conflicts), out.stored)
 
 
 def rpt_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _outputs(spark, sf_dir)
-    return report.with_rate(report.code_section(out.annotated, "ERR_LATE_ARRIVAL"), out.clean)
+    return report.with_rate(report.code_section(out.annotated, "ERR_LATE_ARRIVAL"), out.stored)
 
 
 def rpt_missing_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,9 +242,8 @@ def pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gen_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Starts and stops of generated sessions without faults."""
-    config = generate.Config(records=20_000, subscribers=500, days=90, duplicate_rate=0, late_rate=0, invalid_imei_rate=0, missing_field_rate=0, conflict_rate=0)
-    rows = validate.normalised(generate.sessions(spark, config))
+    """Starts and stops of sessions made from orders."""
+    rows = validate.normalised(projection.order_sessions(spark, sf_dir))
     session = F.substring("acct_session_id", 6, 10).cast("long")
     at = lambda status: F.max(F.when(F.col("acct_status_type") == status, epoch(F.col("event_ts"))))
     return rows.groupBy(session.alias("session"), "msisdn", "imsi").agg(at("Start").alias("start_at"), at("Stop").alias("stop_at")).select("session", "start_at", "stop_at", "msisdn", "imsi")
@@ -210,7 +256,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (
         val_first_error, val_error_counts, e164_plan, late_split, late_buckets, dedup_ttl, dedup_long_term, dup_log, conflict_log_rows, identity_history, msisdn_history, latest_profile, swap_verified,
-        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
+        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, chain_duplicates, csv_chain_counts, e164_totals, history_batch, history_batch_totals, subscriber_batch, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
     )
     return {f.__name__: f for f in own} | {
         "conflict_a": _conflict("is_a", "acct_session_id", "imsi", "msisdn"),

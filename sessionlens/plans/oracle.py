@@ -16,12 +16,12 @@ PADDED = "lpad(CAST({} AS VARCHAR), {}, '0')"
 AS_OF = 1706659200
 
 BASE = f"""
-e0 AS (SELECT event_id AS seq, user_id AS u, event_type, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS ev FROM events),
-e1 AS (SELECT seq, u, ev,
-  ev + CASE WHEN seq % 20 = 3 THEN 3600 WHEN seq % 20 = 5 THEN 3601 WHEN seq % 20 = 7 THEN 10800 ELSE 2 END AS ing,
+e0 AS (SELECT event_id AS seq, user_id AS u, event_type, CAST(floor(epoch_us(ts) / 1000000.0) AS BIGINT) AS ev, CASE WHEN event_id % 61 = 0 THEN event_id % 4 END AS wrong FROM events),
+e1 AS (SELECT seq, u, CASE WHEN wrong IN (0, 3) THEN NULL WHEN wrong = 1 THEN 946684799 ELSE ev END AS ev, wrong,
+  CASE WHEN wrong = 2 THEN NULL ELSE ev END + CASE WHEN seq % 20 = 3 THEN 3600 WHEN seq % 20 = 5 THEN 3601 WHEN seq % 20 = 7 THEN 10800 ELSE 2 END AS ing,
   CASE WHEN event_type IN ('signup', 'click') THEN 'Start' WHEN event_type = 'purchase' THEN 'Stop' WHEN event_type = 'view' THEN 'Interim-Update' ELSE 'Accounting-On' END AS status,
   'SESS_' || u || '_' || CAST(seq // 300 AS VARCHAR) AS sess,
-  CASE WHEN seq % 211 = 0 THEN '' WHEN seq % 97 = 0 THEN '090abc' ELSE '+8497' || {PADDED.format("u", 7)} END AS msisdn,
+  CASE WHEN seq % 211 = 0 THEN '' WHEN seq % 97 = 0 THEN '090abc' WHEN seq % 101 = 0 THEN '+999' || {PADDED.format("u", 8)} WHEN seq % 103 = 0 THEN '+8410' || {PADDED.format("u", 7)} ELSE '+8497' || {PADDED.format("u", 7)} END AS msisdn,
   '452010' || {PADDED.format("CASE WHEN seq % 50 = 0 THEN u + 100000 WHEN seq % 37 = 0 THEN (u + 1) % 100 ELSE u END", 9)} AS imsi,
   {PADDED.format("CASE WHEN seq % 41 = 0 THEN 999999 ELSE u % 40 END", 6)} || '00' || {PADDED.format("(u * 7919 + CASE WHEN seq % 43 = 0 THEN 1 ELSE 0 END) % 1000000", 6)} AS body FROM e0),
 rec AS (SELECT *, body || CASE WHEN seq % 53 = 0 THEN CAST((CAST(d AS INTEGER) + 1) % 10 AS VARCHAR) ELSE d END AS imei FROM (SELECT *, {_digits("body")} AS d FROM e1)),
@@ -36,12 +36,13 @@ plan AS (SELECT msisdn, cc, rest, p, CASE WHEN n IS NULL THEN 'INVALID_FORMAT' W
 tac AS (SELECT {PADDED.format("p_partkey", 6)} AS tac_code, p_brand AS manufacturer, p_name AS model, p_type AS device_type FROM part),
 sub AS (SELECT '452010' || {PADDED.format("c_custkey", 9)} AS imsi, '+8497' || {PADDED.format("c_custkey", 7)} AS msisdn FROM customer),
 val AS (SELECT rec.*, CASE
-  WHEN rec.msisdn = '' THEN 'ERR_MISSING_FIELD'
+  WHEN rec.msisdn = '' OR wrong = 3 THEN 'ERR_MISSING_FIELD'
   WHEN NOT regexp_full_match(rec.msisdn, '\\+[1-9][0-9]{{1,14}}') OR plan.plan_error IS NOT NULL THEN 'ERR_INVALID_MSISDN'
   WHEN rec.imsi NOT IN (SELECT imsi FROM sub) THEN 'ERR_IMSI_NOT_IN_HLR'
   WHEN substr(imei, 15, 1) <> d THEN 'ERR_IMEI_LUHN_FAIL'
   WHEN substr(imei, 1, 6) NOT IN (SELECT tac_code FROM tac) THEN 'ERR_IMEI_TAC_UNKNOWN'
   WHEN status NOT IN ('Start', 'Stop', 'Interim-Update') THEN 'ERR_INVALID_STATUS'
+  WHEN wrong <= 2 THEN 'ERR_INVALID_TIMESTAMP'
   WHEN ing - ev > 3600 THEN 'ERR_LATE_ARRIVAL' END AS error FROM rec JOIN plan ON rec.msisdn = plan.msisdn),
 ok AS (SELECT * FROM val WHERE error IS NULL)
 """
@@ -101,6 +102,7 @@ def _swap_query(kind: str) -> str:
 SELECT a.request_id, a.phone, a.max_age, a.request_error"""
 
 
+REPEATED = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sess, status ORDER BY ev, seq) AS r FROM cm WHERE NOT is_a AND NOT is_b) WHERE r > 1"
 HISTORY_ORDERS = "h AS (SELECT o_custkey, o_orderkey, epoch(o_orderdate)::BIGINT AS \"at\" FROM orders)"
 
 QUERIES = {
@@ -118,7 +120,7 @@ QUERIES = {
     "conflict_d": CHAIN + "SELECT seq, msisdn, previous_imei, imei FROM cm WHERE is_d",
     "conflict_log_rows": CHAIN + "SELECT sess AS session_id, CASE WHEN is_a THEN 'A' ELSE 'B' END AS conflict_type, CASE WHEN is_a THEN 'Session ' || sess || ': IMSI/MSISDN thay đổi sau Start' ELSE 'IMSI ' || imsi || ': 2+ Start chưa Stop' END AS details, CASE WHEN is_a THEN 'CONFLICT_A' ELSE 'CONFLICT_B' END AS error_code FROM cm WHERE is_a OR is_b",
     "identity_history": f"WITH {HISTORY_ORDERS} SELECT o_custkey, o_orderkey, \"at\", lead(\"at\") OVER w AS unassigned_at, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) = 1 AS is_current, CASE WHEN row_number() OVER w = 1 THEN 'initial_activation' ELSE 'customer_request' END AS swap_reason, count(*) OVER (PARTITION BY o_custkey) - 1 AS swap_count, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN max(\"at\") OVER (PARTITION BY o_custkey) END AS latest_swap_at FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY \"at\", o_orderkey)",
-    "msisdn_history": f"WITH {HISTORY_ORDERS}, x AS (SELECT o_custkey, o_orderkey, \"at\", lag(\"at\") OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS unassigned_at FROM h), y AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS position FROM x WHERE \"at\" >= 820454400) SELECT o_custkey, o_orderkey, \"at\", unassigned_at, CAST(position AS INTEGER) AS position FROM y WHERE position <= 3",
+    "msisdn_history": f"WITH {HISTORY_ORDERS}, x AS (SELECT o_custkey, o_orderkey, \"at\", lag(\"at\") OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS unassigned_at, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) = 1 AS is_current FROM h), y AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS position FROM x WHERE \"at\" >= 820454400) SELECT o_custkey, o_orderkey, \"at\", unassigned_at, is_current, CAST(position AS INTEGER) AS position, count(*) OVER (PARTITION BY o_custkey) AS total FROM y WHERE position <= 20",
     "latest_profile": f"WITH {HISTORY_ORDERS} SELECT o_custkey, o_orderkey, \"at\" FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) AS r FROM h) WHERE r = 1",
     "swap_verified": SWAP_CHAIN + "SELECT * FROM swaps",
     "sim_swap_check": _swap_query("SIM_SWAP") + ", CASE WHEN a.request_error IS NULL THEN own.latest IS NOT NULL END AS swapped FROM ask1 a LEFT JOIN own ON a.request_id = own.request_id",
@@ -127,16 +129,24 @@ QUERIES = {
     "device_swap_retrieve_date": _swap_query("DEVICE_SWAP") + ", own.latest AS latest_change FROM ask1 a LEFT JOIN own ON a.request_id = own.request_id",
     "active_sessions": _with(BASE, TTL, SESSIONS) + "SELECT seq, msisdn, sess, ev FROM act",
     "number_verify": _with(BASE, TTL, SESSIONS, REQUESTS) + "SELECT request_id, phone, request_error, CASE WHEN request_error IS NULL THEN phone IN (SELECT msisdn FROM act) END AS verified FROM ask1",
-    "rpt_imei": CHAIN + f"SELECT luhn_fail, tac_unknown, total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) FILTER (WHERE error = 'ERR_IMEI_LUHN_FAIL') AS luhn_fail, count(*) FILTER (WHERE error = 'ERR_IMEI_TAC_UNKNOWN') AS tac_unknown, count(*) AS total FROM val WHERE error LIKE 'ERR_IMEI%'), (SELECT count(*) AS stored FROM cm WHERE NOT is_a AND NOT is_b)",
-    "rpt_duplicates_hourly": _with(BASE) + "SELECT CAST((ev % 86400) // 3600 AS INTEGER) AS hour, count(*) AS n FROM (SELECT *, row_number() OVER (PARTITION BY sess, status ORDER BY ev, seq) AS r FROM ok) WHERE r > 1 GROUP BY 1",
-    "rpt_conflict": CHAIN + f"SELECT type_a, type_b, type_c, total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) FILTER (WHERE is_a) AS type_a, count(*) FILTER (WHERE is_b AND NOT is_a) AS type_b, 0::BIGINT AS type_c, count(*) FILTER (WHERE is_a OR is_b) AS total, count(*) FILTER (WHERE NOT is_a AND NOT is_b) AS stored FROM cm)",
-    "rpt_late": CHAIN + f"SELECT total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) AS total FROM val WHERE error = 'ERR_LATE_ARRIVAL'), (SELECT count(*) AS stored FROM cm WHERE NOT is_a AND NOT is_b)",
-    "rpt_missing_top5": _with(BASE) + "SELECT 'msisdn is required' AS details, count(*) AS n FROM val WHERE error = 'ERR_MISSING_FIELD' HAVING count(*) > 0",
+    "rpt_imei": CHAIN + f"SELECT luhn_fail, tac_unknown, total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) FILTER (WHERE error = 'ERR_IMEI_LUHN_FAIL') AS luhn_fail, count(*) FILTER (WHERE error = 'ERR_IMEI_TAC_UNKNOWN') AS tac_unknown, count(*) AS total FROM val WHERE error LIKE 'ERR_IMEI%'), (SELECT count(DISTINCT (sess, status)) AS stored FROM cm WHERE NOT is_a AND NOT is_b)",
+    "rpt_duplicates_hourly": CHAIN + f"SELECT CAST((ing % 86400) // 3600 AS INTEGER) AS hour, count(*) AS n FROM ({REPEATED}) GROUP BY 1",
+    "chain_duplicates": CHAIN + f"SELECT sess AS session_id, ing AS detected_at, 'LATE_DUPLICATE_LONG_TERM' AS reason FROM ({REPEATED})",
+    "e164_totals": _with(BASE) + "SELECT count(*) AS total, count(*) FILTER (WHERE plan_error IS NULL) AS valid_count, count(*) FILTER (WHERE plan_error IS NOT NULL) AS invalid_count FROM rec JOIN plan ON rec.msisdn = plan.msisdn",
+    "history_batch": f"WITH {HISTORY_ORDERS}, i AS (SELECT o_custkey, o_orderkey, \"at\", lead(\"at\") OVER w AS unassigned_at, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) = 1 AS is_current, CASE WHEN row_number() OVER w = 1 THEN 'initial_activation' ELSE 'customer_request' END AS swap_reason, count(*) OVER (PARTITION BY o_custkey) - 1 AS swap_count, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN max(\"at\") OVER (PARTITION BY o_custkey) END AS latest_swap_at FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY \"at\", o_orderkey)) SELECT k AS o_custkey, o_orderkey, \"at\", unassigned_at, is_current, swap_reason, swap_count, latest_swap_at, i.o_custkey IS NOT NULL AS found FROM (SELECT CASE WHEN c_custkey % 11 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS k FROM customer) LEFT JOIN i ON k = i.o_custkey",
+    "history_batch_totals": "SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (WHERE found) AS BIGINT) AS found, CAST(sum(n) FILTER (WHERE NOT found) AS BIGINT) AS not_found FROM (SELECT CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 1 END AS n, c_custkey % 11 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders) AS found FROM customer)",
+    "subscriber_batch": SWAP_CHAIN + f""", q AS (SELECT c_custkey AS request_id, CASE c_custkey % 3 WHEN 0 THEN 'imsi' WHEN 1 THEN 'msisdn' ELSE 'email' END AS type, CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS who FROM customer),
+q1 AS (SELECT request_id, type, CASE WHEN type = 'imsi' THEN '452010' || {PADDED.format("who", 9)} ELSE '+8497' || {PADDED.format("who", 7)} END AS value FROM q)
+SELECT q1.*, p.msisdn IS NOT NULL AS found, p.msisdn, p.imsi, p."at" AS assigned_at FROM q1 LEFT JOIN LATERAL (SELECT * FROM sim WHERE (q1.type = 'imsi' AND sim.imsi = q1.value) OR (q1.type = 'msisdn' AND sim.msisdn = q1.value) ORDER BY "at" DESC LIMIT 1) p ON true""",
+    "rpt_conflict": CHAIN + f"SELECT type_a, type_b, type_c, total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) FILTER (WHERE is_a) AS type_a, count(*) FILTER (WHERE is_b AND NOT is_a) AS type_b, 0::BIGINT AS type_c, count(*) FILTER (WHERE is_a OR is_b) AS total, count(DISTINCT (sess, status)) FILTER (WHERE NOT is_a AND NOT is_b) AS stored FROM cm)",
+    "rpt_late": CHAIN + f"SELECT total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) AS total FROM val WHERE error = 'ERR_LATE_ARRIVAL'), (SELECT count(DISTINCT (sess, status)) AS stored FROM cm WHERE NOT is_a AND NOT is_b)",
+    "rpt_missing_top5": _with(BASE) + "SELECT CASE WHEN msisdn = '' THEN 'msisdn is required' ELSE 'event_timestamp is required' END AS details, count(*) AS n FROM val WHERE error = 'ERR_MISSING_FIELD' GROUP BY 1",
     "tac_page": _with(BASE) + "SELECT tac_code, manufacturer, device_type, (SELECT count(*) FROM tac WHERE lower(manufacturer) = 'brand#12') AS total, CAST(ceil((SELECT count(*) FROM tac WHERE lower(manufacturer) = 'brand#12') / 10.0) AS BIGINT) AS pages FROM tac WHERE lower(manufacturer) = 'brand#12' ORDER BY tac_code LIMIT 10 OFFSET 10",
     "tac_batch_lookup": _with(BASE) + "SELECT k.tac_code, t.manufacturer, t.device_type, t.tac_code IS NOT NULL AS found FROM (SELECT DISTINCT substr(imei, 1, 6) AS tac_code FROM rec) k LEFT JOIN tac t ON k.tac_code = t.tac_code",
     "tac_lookup_totals": _with(BASE) + "SELECT count(*) AS total, count(*) FILTER (WHERE t.tac_code IS NOT NULL) AS found, count(*) FILTER (WHERE t.tac_code IS NULL) AS not_found FROM rec LEFT JOIN tac t ON substr(rec.imei, 1, 6) = t.tac_code",
     "clean_projection": CHAIN + "SELECT seq, status AS acct_status_type, sess AS acct_session_id, CAST(seq % 3600 AS INTEGER) AS acct_session_time, ev AS event_timestamp, ing AS ingest_timestamp, msisdn, imsi, imei, CASE WHEN seq % 10 <> 0 THEN '10.100.' || ((u // 256) % 256) || '.' || (u % 256) END AS framed_ip, false AS late_arrival FROM cm WHERE NOT is_a AND NOT is_b",
     "clean_json": CHAIN + "SELECT seq, msisdn AS message_key, sess AS acct_session_id, imei FROM cm WHERE NOT is_a AND NOT is_b",
     "pipeline_counts": CHAIN + ", v AS (SELECT count(*) AS total, count(*) FILTER (WHERE error IS NULL OR error = 'ERR_LATE_ARRIVAL') AS valid, count(*) FILTER (WHERE error IS NOT NULL AND error <> 'ERR_LATE_ARRIVAL') AS invalid, count(*) FILTER (WHERE error = 'ERR_LATE_ARRIVAL') AS late FROM val), m AS (SELECT count(*) AS deduplicated, count(*) FILTER (WHERE NOT is_a AND NOT is_b) AS clean, count(*) FILTER (WHERE is_a OR is_b) AS conflict_ab, count(*) FILTER (WHERE is_c) AS conflict_c, count(*) FILTER (WHERE is_d) AS conflict_d FROM cm) SELECT 'total' AS stage, total AS n FROM v UNION ALL SELECT 'valid', valid FROM v UNION ALL SELECT 'invalid', invalid FROM v UNION ALL SELECT 'late', late FROM v UNION ALL SELECT 'deduplicated', deduplicated FROM m UNION ALL SELECT 'clean', clean FROM m UNION ALL SELECT 'conflict_ab', conflict_ab FROM m UNION ALL SELECT 'conflict_c', conflict_c FROM m UNION ALL SELECT 'conflict_d', conflict_d FROM m",
-    "gen_sessions": f"SELECT i AS session, 1767225600 + i * 777 AS start_at, 1767225600 + i * 777 + 60 + i % 3600 AS stop_at, '+8497' || {PADDED.format('i % 500', 7)} AS msisdn, '452010' || {PADDED.format('i % 500', 9)} AS imsi FROM (SELECT unnest(range(0, 10000)) AS i)",
+    "gen_sessions": f"SELECT o_orderkey AS session, epoch(o_orderdate)::BIGINT AS start_at, epoch(o_orderdate)::BIGINT + 60 + o_orderkey % 3600 AS stop_at, '+8497' || {PADDED.format('o_custkey', 7)} AS msisdn, '452010' || {PADDED.format('o_custkey', 9)} AS imsi FROM orders",
 }
+QUERIES["csv_chain_counts"] = QUERIES["pipeline_counts"]

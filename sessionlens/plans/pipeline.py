@@ -1,4 +1,4 @@
-"""The whole chain as one plan: normalise, validate, late, duplicates, conflicts, swaps; and its outputs."""
+"""The whole chain as one plan: normalise, validate, late, duplicates, conflicts, swaps, long-term duplicates; and its outputs."""
 
 from __future__ import annotations
 
@@ -7,26 +7,43 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sessionlens.operators import conflict, dedup, late, swap, validate
+from sessionlens.operators import conflict, dedup, late, report, swap, validate
 
 
 @dataclass(frozen=True)
 class Outputs:
-    """Every record is in one of annotated's errors, duplicates, conflicts or clean."""
+    """Every record is in one of annotated's errors, short-term duplicates (dropped), conflicts or clean; clean is stored or repeated."""
 
     annotated: DataFrame
     marked: DataFrame
     clean: DataFrame
     conflicts: DataFrame
     swaps: DataFrame
+    stored: DataFrame
+    repeated: DataFrame
 
+    def duplicate_log(self, detected_at: Column) -> DataFrame:
+        return dedup.duplicate_log(self.repeated.withColumn("is_duplicate", F.lit(True)), detected_at)
 
-def process(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, ttl: int = dedup.TTL, late_after: int = late.THRESHOLD) -> Outputs:
-    """raw: the raw columns and seq. Nothing runs yet."""
+    def new_keys(self) -> DataFrame:
+        """What a later run takes as seen, besides what this one did."""
+        return dedup.new_keys(self.stored.withColumn("is_duplicate", F.lit(False)))
+
+    def report(self) -> dict[str, DataFrame]:
+        """The report's sections; logs are dated by arrival."""
+        at = F.col("ingest_ts")
+        return report.sections(self.annotated, self.conflicts, self.stored, self.duplicate_log(at), validate.invalid_log(self.annotated, at))
+
+
+def process(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, ttl: int = dedup.TTL, late_after: int = late.THRESHOLD, seen: DataFrame | None = None) -> Outputs:
+    """raw: the raw columns and seq, as readers give them; seen: keys stored before (acct_session_id, acct_status_type). Nothing runs yet."""
     annotated = late.mark_late(validate.annotate(validate.normalised(raw), dims), late_after)
     once = dedup.drop_ttl(validate.valid(annotated), ttl)
     marked = conflict.mark_conflicts(once)
-    return Outputs(annotated, marked, conflict.clean(marked), conflict.conflict_log(marked), swap.swap_events(marked, sim_history, device_history))
+    clean = conflict.clean(marked)
+    kept = dedup.mark_long_term(clean, seen)
+    stored, repeated = (kept.where(x).drop("is_duplicate") for x in (~F.col("is_duplicate"), F.col("is_duplicate")))
+    return Outputs(annotated, marked, clean, conflict.conflict_log(marked), swap.swap_events(marked, sim_history, device_history), stored, repeated)
 
 
 def counts(out: Outputs) -> DataFrame:

@@ -1,38 +1,26 @@
-"""Schemas of records, logs and dimensions; identity columns are text, as leading zeros count."""
+"""Schemas of raw and clean records; identity columns are text, as leading zeros count."""
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-
-_KINDS = {
-    "STRING": T.StringType(),
-    "INT": T.IntegerType(),
-    "BOOLEAN": T.BooleanType(),
-    "TIMESTAMP": T.TimestampType(),
-    "STRINGS": T.ArrayType(T.StringType()),
-    "PROFILE": T.StructType([T.StructField(c, T.BooleanType()) for c in ("data_enabled", "roaming_enabled", "volte_enabled")]),
-}
-
-
-def _table(text: str) -> T.StructType:
-    return T.StructType([T.StructField(name, _KINDS[kind]) for name, kind in (x.split() for x in text.split(", "))])
-
-
+#: The record's columns, in the order of files and messages.
 RAW_COLUMNS = ["acct_status_type", "acct_session_id", "acct_session_time", "event_timestamp", "ingest_timestamp", "msisdn", "imsi", "imei", "rat_type", "framed_ip", "nas_ip", "mcc_mnc"]
 RAW = T.StructType([T.StructField(c, T.StringType()) for c in RAW_COLUMNS])
-CLEAN = _table(
-    "acct_status_type STRING, acct_session_id STRING, acct_session_time INT, event_timestamp TIMESTAMP, ingest_timestamp TIMESTAMP, msisdn STRING, imsi STRING, imei STRING, "
-    "rat_type STRING, framed_ip STRING, nas_ip STRING, mcc_mnc STRING, late_arrival BOOLEAN"
-)
-SWAP_EVENT = _table("msisdn STRING, old_imsi STRING, new_imsi STRING, old_imei STRING, new_imei STRING, swap_type STRING, detected_at TIMESTAMP, confirmed_at TIMESTAMP, source STRING")
-INVALID_LOG = _table("session_id STRING, msisdn STRING, error_code STRING, details STRING, created_at TIMESTAMP")
-CONFLICT_LOG = _table("session_id STRING, conflict_type STRING, details STRING, error_code STRING")
-DUPLICATE_LOG = _table("session_id STRING, detected_at TIMESTAMP, reason STRING")
-SEEN_KEYS = _table("acct_session_id STRING, acct_status_type STRING, first_seen_at TIMESTAMP")
-TAC = _table("tac_code STRING, manufacturer STRING, model STRING, device_type STRING, operating_system STRING, band_support STRINGS, approved_date STRING, status STRING")
-SUBSCRIBER = _table(
-    "imsi STRING, msisdn STRING, status STRING, mcc STRING, mnc STRING, operator STRING, service_profile PROFILE, "
-    "registered_at TIMESTAMP, last_updated TIMESTAMP"
+CLEAN = T.StructType(
+    [
+        T.StructField("acct_status_type", T.StringType()),
+        T.StructField("acct_session_id", T.StringType()),
+        T.StructField("acct_session_time", T.IntegerType()),
+        T.StructField("event_timestamp", T.TimestampType()),
+        T.StructField("ingest_timestamp", T.TimestampType()),
+        T.StructField("msisdn", T.StringType()),
+        T.StructField("imsi", T.StringType()),
+        T.StructField("imei", T.StringType()),
+        T.StructField("rat_type", T.StringType()),
+        T.StructField("framed_ip", T.StringType()),
+        T.StructField("nas_ip", T.StringType()),
+        T.StructField("mcc_mnc", T.StringType()),
+        T.StructField("late_arrival", T.BooleanType()),
+    ]
 )
-DEVICE = _table("msisdn STRING, imei STRING, assigned_at TIMESTAMP")

@@ -40,10 +40,10 @@ def write_messages(records: DataFrame, path: str, key: str = "msisdn") -> None:
     to_messages(records.repartition(key), key).write.mode("append").json(path)
 
 
-def write_clean(records: DataFrame, path: str) -> None:
-    """SNK-3: appends clean records by month. Rows of a month meet in one task a few files' size each, as AQE rebalances."""
+def write_clean(records: DataFrame, path: str, mode: str = "append") -> None:
+    """SNK-3: adds clean records by month. Rows of a month meet in one task a few files' size each, as AQE rebalances."""
     month = F.date_format("event_timestamp", "yyyy-MM")
-    records.withColumn("event_month", month).hint("rebalance", "event_month").write.mode("append").partitionBy("event_month").parquet(path)
+    records.withColumn("event_month", month).hint("rebalance", "event_month").write.mode(mode).partitionBy("event_month").parquet(path)
 
 
 def append_log(rows: DataFrame, path: str) -> None:

@@ -1,6 +1,8 @@
-"""The chain over a stream: stateless checks, keyed time-to-live dedup, and batch-local conflicts with several sinks (STR-1 to STR-13).
+"""The chain over two streams (STR-1 to STR-13): checks, time-to-live dedup and batch-local conflicts up to the clean messages;
+then storage, which takes a key's first clean message ever and logs the others.
 
-No watermark is declared, as no operator here needs one: dedup keeps one number a key and forgets keys by event time itself.
+No watermark is declared: late records are told by their arrival, not by the stream's progress, and none may be dropped
+unseen. Dedup keeps one number a key and forgets it by the clock (STR-4); the keys ever stored are kept for good (JOIN-4).
 Conflicts are judged within a micro-batch, so their counts depend on how the stream is cut; a batch run is one batch.
 """
 
@@ -9,32 +11,35 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from sessionlens.operators import conflict, dedup, late, swap, validate
-from sessionlens.sources.sinks import clean_projection
+from sessionlens.schemas import CLEAN
+from sessionlens.sources.files import decode
+from sessionlens.sources.sinks import clean_projection, to_messages, write_clean
 
 
 class LastAccepted(StatefulProcessor):
     """STR-3: per key the event time of the last accepted record; rows of a batch are taken in event-time order.
 
-    State lives in the state store (STR-5), so restarts keep it. A key's state is dropped once event time is more than ttl
-    past it (STR-4), by the rule itself: a later record is accepted either way.
+    State lives in the state store (STR-5), so restarts keep it. It expires keep_ms of the clock after its last change
+    (STR-4). With keep_ms of ttl and the late threshold together that changes nothing in a live stream: a record that comes
+    so much later and is on time is more than ttl past the last accepted one.
     """
 
-    def __init__(self, ttl: int, order: str) -> None:
-        self.ttl, self.order = ttl, order
+    def __init__(self, ttl: int, order: str, keep_ms: int) -> None:
+        self.ttl, self.order, self.keep_ms = ttl, order, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]))
+        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]), self.keep_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows)).sort_values(["event_epoch", self.order], na_position="last")
-        last = self.last.get()[0] if self.last.exists() else None
+        last = before = self.last.get()[0] if self.last.exists() else None
         keep = []
         for at in pdf["event_epoch"]:
             if pd.isna(at):
@@ -43,7 +48,7 @@ class LastAccepted(StatefulProcessor):
             fresh = last is None or at - last > self.ttl
             keep.append(fresh)
             last = int(at) if fresh else last
-        if last is not None:
+        if last != before:
             self.last.update((last,))
         yield pdf[keep]
 
@@ -51,10 +56,31 @@ class LastAccepted(StatefulProcessor):
         pass
 
 
-def dedup_stream(records: DataFrame, ttl: int = dedup.TTL, order: str = "seq") -> DataFrame:
-    """Valid records of a stream without duplicates within ttl; adds event_epoch."""
+class EverSeen(StatefulProcessor):
+    """JOIN-4: rows of a key plus is_duplicate: all but its first ever, in order of event time and arrival. The key stays."""
+
+    def __init__(self, order: str) -> None:
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows)).sort_values(["event_timestamp", self.order], na_position="first")
+        known = self.seen.exists()
+        if not known:
+            self.seen.update((True,))
+        yield pdf.assign(is_duplicate=[known or i > 0 for i in range(len(pdf))])
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_stream(records: DataFrame, ttl: int = dedup.TTL, order: str = "seq", keep_ms: int | None = None) -> DataFrame:
+    """Valid records of a stream without duplicates within ttl; adds event_epoch. keep_ms: see LastAccepted."""
     timed = records.withColumn("event_epoch", F.unix_seconds("event_ts"))
-    return timed.groupBy(*dedup.KEY).transformWithStateInPandas(LastAccepted(ttl, order), timed.schema, "Append", "None")
+    keep_ms = (ttl + late.THRESHOLD) * 1000 if keep_ms is None else keep_ms
+    return timed.groupBy(*dedup.KEY).transformWithStateInPandas(LastAccepted(ttl, order, keep_ms), timed.schema, "Append", "ProcessingTime")
 
 
 def annotated_stream(raw: DataFrame, dims: validate.Dims) -> DataFrame:
@@ -75,12 +101,16 @@ def batch_writer(path: str, sim_history: DataFrame, device_history: DataFrame) -
         sinks = {"clean": clean_projection(conflict.clean(marked)), "conflict_log": conflict.conflict_log(marked), "swap_event": swap.swap_events(marked, sim_history, device_history)}
         for name, rows in sinks.items():
             rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
+        to_messages(clean_projection(conflict.clean(marked), "seq")).write.mode("overwrite").json(f"{path}/clean_messages/batch={batch_id}")
 
     return write
 
 
 def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, path: str, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None) -> list[StreamingQuery]:
-    """STR-6, STR-9: two queries, one for invalid records and one for the rest; trigger as in DataStreamWriter.trigger."""
+    """STR-6, STR-9: two queries, one for invalid records and one for the rest; trigger as in DataStreamWriter.trigger.
+
+    raw: the raw columns and seq, as the stream readers give them. The reference tables are read anew each batch (SRC-10).
+    """
     trigger = trigger or {"availableNow": True}
     annotated = annotated_stream(raw, dims)
     bad = validate.invalid_log(annotated, F.col("ingest_ts")).writeStream.format("parquet").option("path", f"{path}/invalid_log")
@@ -88,6 +118,34 @@ def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_hi
     return [q.option("checkpointLocation", f"{checkpoint}/{n}").trigger(**trigger).start() for n, q in (("invalid", bad), ("valid", good))]
 
 
+def clean_message_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The clean messages that start() writes under path, as a stream of records with seq. A topic of them is decoded alike."""
+    messages = spark.readStream.schema("value STRING").json(f"{path}/clean_messages")
+    return decode(messages, T.StructType([*CLEAN.fields, T.StructField("seq", T.StringType())]))
+
+
+def storage_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """Stored records by month and the log of long-term duplicates. A repeated batch replaces its own folders."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        marked = batch.persist()
+        stored = marked.where(~F.col("is_duplicate")).select(*CLEAN.fieldNames())
+        write_clean(stored, f"{path}/stored/batch={batch_id}", "overwrite")
+        log = dedup.duplicate_log(marked, F.col("ingest_timestamp"))
+        log.write.mode("overwrite").parquet(f"{path}/duplicate_log/batch={batch_id}")
+        marked.unpersist()
+
+    return write
+
+
+def start_storage(messages: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The second stage: clean records with seq into storage. Messages of a batch that the first stage had to write again
+    come twice and count as duplicates, as with any at-least-once topic."""
+    schema = T.StructType([*messages.schema.fields, T.StructField("is_duplicate", T.BooleanType())])
+    marked = messages.groupBy(*dedup.KEY).transformWithStateInPandas(EverSeen("seq"), schema, "Append", "None")
+    return marked.writeStream.foreachBatch(storage_writer(path)).option("checkpointLocation", f"{checkpoint}/storage").trigger(**(trigger or {"availableNow": True})).start()
+
+
 def progress(query: StreamingQuery) -> dict:
     """STR-12, STR-13: rows a second in and done, batch time, and rows still to read by source where the source knows."""
     last = query.lastProgress

@@ -9,6 +9,8 @@ CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # State expires in batches with data; without this, a stream with a clock would make empty batches for ever.
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 

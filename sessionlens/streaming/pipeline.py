@@ -112,6 +112,7 @@ def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_hi
     raw: the raw columns and seq, as the stream readers give them. The reference tables are read anew each batch (SRC-10).
     """
     trigger = trigger or {"availableNow": True}
+    raw.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # see session.py
     annotated = annotated_stream(raw, dims)
     bad = validate.invalid_log(annotated, F.col("ingest_ts")).writeStream.format("parquet").option("path", f"{path}/invalid_log")
     good = dedup_stream(validate.valid(annotated), ttl).drop("event_epoch").writeStream.foreachBatch(batch_writer(path, sim_history, device_history))

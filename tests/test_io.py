@@ -119,8 +119,10 @@ def test_streams_equal_batch(spark, tmp_path):
     one = raw.where("msisdn LIKE '+8497%' AND imsi = concat('452010', lpad(user, 9, '0'))")
     for i in range(3):
         one.where(group == i).select(*RAW_COLUMNS).coalesce(1).write.mode("append").json(at["in"])
-        run(stream.start(files.file_stream(spark, at["in"]), dims, sim, dev, at["out"], at["chk"]))
-        run([stream.start_storage(stream.clean_message_stream(spark, at["out"]), at["store"], at["chk"])])
+    queries = stream.start(files.file_stream(spark, at["in"], files_per_trigger=1), dims, sim, dev, at["out"], at["chk"])
+    run(queries)
+    assert sum(p["numInputRows"] > 0 for p in queries[1].recentProgress) == 3
+    run([stream.start_storage(stream.clean_message_stream(spark, at["out"]), at["store"], at["chk"])])
     batch = spark.read.schema(", ".join(f"{c} string" for c in RAW_COLUMNS)).json(at["in"]).select("*", files.file_order(True))
     out = pipeline.process(batch, dims, sim, dev)
     read = lambda name, where="out": spark.read.parquet(f"{at[where]}/{name}").drop("batch", "event_month")
@@ -149,10 +151,9 @@ def test_state_expires_and_tables_are_reread(spark, tmp_path):
     assert batch("20", "2") <= 1  # unknown yet
     spark.createDataFrame([("2",)], "imsi string").write.mode("append").parquet(at["sub"])
     batch("30", "2")
-    batch("40", "2")
-    assert {r.acct_session_id for r in spark.read.parquet(at["out"]).collect()} == {"10", "30", "40"}
+    assert {r.acct_session_id for r in spark.read.parquet(at["out"]).collect()} == {"10", "30"}
     left = spark.read.format("statestore").option("path", at["chk"]).option("stateVarName", "last").load().count()
-    assert left < 3
+    assert left < 2
 
 
 def test_observed(spark):

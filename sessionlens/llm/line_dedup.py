@@ -2,8 +2,9 @@
 
 A line's key is the line without ASCII white space at both ends, A-Z in lower case; keys are compared by 128 bits of
 hash. Rows of (key hash, text hash, position) are range-partitioned by key hash and sorted by text and position within;
-windows over that order stream each key's first occurrence in every text. The range also holds a salt of the text, so a
-line that a third of all documents share spreads over SALTS ranges; what the ranges found is added up a key afterwards.
+windows over that order stream each key's first occurrence in every text. Hashes are even, so the ranges are equal parts
+of their values and no sample has to be taken first. A text's own hash moves its keys on by as many ranges as there are, so
+a line that a third of all documents share spreads over all of them; what they found is added up a key afterwards.
 Two rules use it:
 
 * `drop`: keys found in at least min_docs documents lose all their lines in every document;
@@ -21,10 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import ascii_lower, own_columns, partitions, written
+from sessionlens.llm.common import ascii_lower, disposable, own_columns, partitions, written
 
-#: In how many ranges a key's texts are dealt out before their counts are added up.
-SALTS = 32
 BLANK = " \t\n\x0b\f\r"
 #: DuckDB SQL for the `drop` rule with min_docs 10.
 SQL = """
@@ -54,12 +53,14 @@ def key_occurrences(documents: DataFrame, min_chars: int = 1) -> DataFrame:
     Written range-partitioned by key and sorted by text and position within a key.
     """
     docs = documents.select(*_text_hash(F.col("text")), line_keys(F.col("text")).alias("keys"))
-    rows = docs.select("t1", "t2", F.posexplode("keys").alias("pos", "key")).where(F.length("key") >= min_chars)
+    # A text always has a line. The outer form keeps Catalyst from splitting every text a second time to filter on that.
+    rows = docs.select("t1", "t2", F.posexplode_outer("keys").alias("pos", "key")).where(F.length("key") >= min_chars)
     rows = rows.select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "t1", "t2", "pos")
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("t1", "t2"), F.lit(SALTS)).cast("int"))
-    ranged = rows.repartitionByRange(partitions(documents.sparkSession), "h1", "h2", "salt")
-    # The range partitioning serves this window as it is. Copies of a text tie, so each counts once for its key.
-    order = Window.partitionBy("h1", "h2", "salt", "t1", "t2").orderBy("pos")
+    n = partitions(documents.sparkSession)
+    part = lambda h: F.shiftright(F.shiftrightunsigned(h, 33) * n, 31)  # noqa: E731  0 to n - 1 by the hash's top bits
+    ranged = rows.withColumn("range", ((part("h1") + part("t1")) % n).cast("int")).repartitionById(n, "range")
+    # The partitioning serves this window as it is. Copies of a text tie, so each counts once for its key.
+    order = Window.partitionBy("range", "h1", "h2", "t1", "t2").orderBy("pos")
     return written(ranged.select("h1", "h2", "t1", "t2", "pos", (F.rank().over(order) == 1).alias("starts")), "lines")
 
 
@@ -91,7 +92,9 @@ def keep_runs(n_lines: Column, dropped: Column) -> Column:
 def line_bitmaps(documents: DataFrame, min_docs: int = 10, min_chars: int = 1, rule: str = "drop") -> DataFrame:
     """doc_id, text, n_lines, n_dropped and keep (runs of kept lines) of every document."""
     docs = own_columns(documents, "doc_id", "text")
-    dropped = dropped_lines(key_occurrences(docs, min_chars), min_docs, rule)
+    with disposable(documents.sparkSession) as keep:
+        dropped = dropped_lines(key_occurrences(docs, min_chars), min_docs, rule)
+        keep(dropped)
     text = docs.select("*", *_text_hash(F.col("text")))
     met = text.join(dropped, ["t1", "t2"], "left")
     none = F.array().cast("array<int>")

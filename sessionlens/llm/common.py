@@ -6,6 +6,8 @@ import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,13 +18,19 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
 
+_local: dict[str, str] = {}
+#: Written tables of the blocks that are open, innermost last.
+_open: list[list[str]] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset, in local mode only."""
+    path, app = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.applicationId
     if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="sessionlens-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return f"{path.rstrip('/')}/sessionlens-{spark.sparkContext.applicationId}"
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        path = _local.setdefault(app, "file://" + tempfile.mkdtemp(prefix="sessionlens-"))
+    return f"{path.rstrip('/')}/sessionlens-{app}"
 
 
 def scratch(spark: SparkSession, label: str) -> str:
@@ -44,10 +52,36 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    if _open:
+        _open[-1].append(path)
     release_shuffles(spark)
     return out
 
 
+@contextmanager
+def disposable(spark: SparkSession) -> Iterator[Callable[..., None]]:
+    """Deletes the tables written in the block at its end, but for those named to keep(), which the block around it owns then.
+
+    A table may go once all that was made of it is written too. After an error nothing is deleted.
+    """
+    own: list[str] = []
+    _open.append(own)
+    kept: set[str] = set()
+    try:
+        yield lambda *tables: kept.update(t.scratch_path for t in tables)
+    except BaseException:
+        _open.pop()
+        raise
+    _open.pop()
+    for path in own:
+        if path in kept:
+            if _open:
+                _open[-1].append(path)
+        else:
+            delete(spark, path)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
     gc.collect()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.llm import textvec as tv
-from sessionlens.llm.common import hash128, own_columns, written
+from sessionlens.llm.common import disposable, hash128, own_columns, written
 
 #: DuckDB SQL for the query's rows; links are exact there.
 SQL = r"""
@@ -140,7 +140,7 @@ def nodes_of(documents: DataFrame, k: int = WORDS, threshold: float = THRESHOLD,
     signed = signed.withColumn("s1", F.when(F.col("n") == 0, F.xxhash64("t")).otherwise(F.col("s1"))).withColumn("s2", F.when(F.col("n") == 0, F.xxhash64(F.lit(1), "t")).otherwise(F.col("s2")))
     signed = written(signed, "signed")
     nodes = signed.groupBy("n", "s1", "s2").agg(F.min("t").alias("t"), F.first("bands").alias("bands"))
-    return signed.drop("bands"), written(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
+    return signed, written(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
 
 
 def buckets_of(nodes: DataFrame) -> DataFrame:
@@ -278,6 +278,14 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(documents: DataFrame, k: int = WORDS, threshold: float = THRESHOLD, recall: float = RECALL, crowd: int = CROWD, block: int = BLOCK) -> DataFrame:
     """doc_id, class_id, set_id, n_links of every document; and t (the text's hash), class_t (the text that stands for the class)."""
+    with disposable(documents.sparkSession) as keep:
+        signed, info = _classes(documents, k, threshold, recall, crowd, block)
+        keep(signed, info)
+    return signed.join(info, ["n", "s1", "s2"]).select("doc_id", "class_id", "set_id", "n_links", "t", "class_t")
+
+
+def _classes(documents: DataFrame, k: int, threshold: float, recall: float, crowd: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(signed documents, and what holds for each shingle set: its class, number of links), both written."""
     signed, nodes = nodes_of(documents, k, threshold, recall)
     links, degree = links_of(documents, nodes, k, threshold, crowd, block)
     label = components(links)
@@ -290,4 +298,4 @@ def near_duplicates(documents: DataFrame, k: int = WORDS, threshold: float = THR
     first = F.struct(F.col("set_id").isNull(), "set_id", "t")
     classes = written(sets.groupBy("label").agg(F.min("set_id").alias("class_id"), F.min(first)["t"].alias("class_t")), "class-ids")
     info = written(sets.join(classes, "label").select(*key, "class_id", "set_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "class_t"), "info")
-    return signed.join(info, key).select("doc_id", "class_id", "set_id", "n_links", "t", "class_t")
+    return signed, info

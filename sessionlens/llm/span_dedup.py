@@ -33,13 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.llm import textvec as tv
-from sessionlens.llm.common import hash128, own_columns, partitions, written
+from sessionlens.llm.common import disposable, hash128, own_columns, partitions, written
 from sessionlens.llm.suffix_array import suffix_array
 
 SPAN = 200
 #: Bytes of a key string: a power of two, at most SPAN / 2.
 KEY = 32
 CORES = 6
+#: Bytes of texts that are scanned for places at a time.
+SCAN = 1 << 20
+#: Cuts that leave a task at a time.
+CUTS = 1 << 14
 #: Most different places of a key that one suffix array takes.
 CROWD = 1024
 #: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
@@ -108,6 +112,20 @@ def places(data: np.ndarray, offsets: np.ndarray, span: int, key: int, powers: P
     return {"doc": doc, "key": h[at], "c1": hashes[0], "c2": hashes[1], "first": start - offsets[doc], "windows": end - start, "at": at - start}
 
 
+def pieces(column: pa.Array, span: int) -> Iterator[tuple[int, int, int, np.ndarray, np.ndarray]]:
+    """Slices of rows, as first row, row after the last, first byte, bytes, offsets; a long row comes in pieces of SCAN windows.
+
+    Pieces end places early, which changes nothing: every window is in one place, and places of one key meet anyway.
+    """
+    for lo, hi, data, offsets in tv.slices(column, SCAN):
+        if hi - lo > 1 or len(data) < SCAN + span:
+            yield lo, hi, 0, data, offsets
+            continue
+        for at in range(0, len(data) - span + 1, SCAN):
+            part = data[at : at + SCAN + span - 1]
+            yield lo, hi, at, part, np.array([0, len(part)])
+
+
 def _position(low: np.ndarray, mask: np.uint64, first: np.ndarray) -> np.ndarray:
     """Where in its text the chosen string starts: at or after the window's first byte."""
     at = (mask - (low & mask)).astype(np.int64)
@@ -151,8 +169,9 @@ def _find_places(span: int, key: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
-            for lo, hi, data, offsets in tv.slices(batch.column("text")):
+            for lo, hi, first, data, offsets in pieces(batch.column("text"), span):
                 p = places(data, offsets, span, key, powers)
+                p["first"] += first
                 rows = pa.array(p["doc"])
                 own = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
@@ -169,15 +188,14 @@ def _cut(span: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("key", "c1", "c2", "shape", "total")
         for batch in batches:
-            cols: dict[str, list] = {c: [] for c in (*names, "cut")}
             for text, cuts in zip(batch.column("text"), batch.column("cuts"), strict=True):
-                data = text.as_buffer().to_pybytes()
-                for x in cuts.as_py():
-                    for c in names:
-                        cols[c].append(x[c])
-                    cols["cut"].append(data[x["first"] : x["first"] + (x["shape"] >> 16) - 1 + span])
-            kinds = {"shape": pa.int32(), "cut": pa.binary()}
-            yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(c, pa.int64())) for c, v in cols.items()], list(cols))
+                data, rows = text.as_buffer().to_pybytes(), cuts.values
+                for lo in range(0, len(rows), CUTS):
+                    part = rows.slice(lo, CUTS)
+                    own = dict(zip((f.name for f in part.type), part.flatten(), strict=True))
+                    spans = zip(own["first"].to_pylist(), own["shape"].to_pylist(), strict=True)
+                    cut = [data[first : first + (shape >> 16) - 1 + span] for first, shape in spans]
+                    yield pa.RecordBatch.from_arrays([*(own[c] for c in names), pa.array(cut, pa.binary())], [*names, "cut"])
 
     return run
 
@@ -336,10 +354,17 @@ def _sharing(cut: DataFrame, span: int, key: int) -> DataFrame:
 
 def dedup_spans(documents: DataFrame, span: int = SPAN, key: int = KEY, crowd: int = CROWD) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
+    with disposable(documents.sparkSession) as keep:
+        docs, found = _judged_texts(documents, span, key, crowd)
+        keep(found)
+    return docs.select("doc_id", "t").join(found, "t").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _judged_texts(documents: DataFrame, span: int, key: int, crowd: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, t, text of every document; the result by t, written)."""
     docs = own_columns(documents, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))).withColumn("t", hash128(F.col("text")))
     texts = docs.groupBy("t").agg(F.count(F.lit(1)).alias("copies"), F.first("text").alias("text"))
     texts = written(texts.withColumn("tid", F.monotonically_increasing_id()), "texts")
     spans = repeated_spans(texts, span, key, crowd)
     found = texts.join(spans, "tid", "left").select("t", "copies", "text", "spans")
-    found = written(found.mapInArrow(_remove(span), "t binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "removed")
-    return docs.select("doc_id", "t").join(found, "t").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return docs, written(found.mapInArrow(_remove(span), "t binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "removed")

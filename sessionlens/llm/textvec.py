@@ -18,6 +18,9 @@ SPACED[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 SLICE_BYTES = 1 << 20
+#: Bytes that words() hashes at a time.
+CHUNK = 1 << 20
+BASE = 0x9E3779B97F4A7C15
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -26,7 +29,7 @@ def _powers(n: int, base: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_POW = _powers(64, 0x9E3779B97F4A7C15)
+_POW = _powers(64, BASE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -56,7 +59,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of whole rows of about max_bytes: first row, row after the last, bytes, offsets from 0."""
+    """Runs of whole rows of about max_bytes, a longer row alone: first row, row after the last, bytes, offsets from 0."""
     data, offsets = buffers(column)
     lo, n = 0, len(column)
     while lo < n:
@@ -67,7 +70,7 @@ def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int
 
 
 def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> Words:
-    """The lower-cased (A-Z) words of the texts in one slice."""
+    """The lower-cased (A-Z) words of the texts in one slice. Hashing takes CHUNK bytes at a time, within long words too."""
     if not len(data):
         none = np.zeros(0, np.int64)
         return Words(none, none, np.zeros(0, U), np.zeros(len(offsets), np.int64))
@@ -84,13 +87,40 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> Words:
     if not len(start):
         return Words(start, end, np.zeros(0, U), first)
     size = end - start
+    total, after = np.empty(len(size), U), np.cumsum(size)
+    lo = 0
+    while lo < len(size):
+        hi = int(np.searchsorted(after, after[lo] - size[lo] + CHUNK, "right"))
+        if hi <= lo:
+            total[lo], hi = _long_sum(low[start[lo] : end[lo]]), lo + 1
+        else:
+            part = slice(start[lo], end[hi - 1])
+            total[lo:hi] = _sums(low[part][is_word[part]], size[lo:hi])
+        lo = hi
+    return Words(start, end, mix(total ^ (size.astype(U) << U(56))), first)
+
+
+def _upto(n: int) -> np.ndarray:
     global _POW
-    if size.max() > len(_POW):
-        _POW = _powers(int(size.max()) * 2, 0x9E3779B97F4A7C15)
+    if n > len(_POW):
+        _POW = _powers(min(2 * n, CHUNK), BASE)
+    return _POW
+
+
+def _sums(letters: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Sum of (byte + 1) * BASE ** place over each word, modulo 2 ** 64."""
     at = np.cumsum(size) - size
-    inside = np.arange(int(size.sum())) - np.repeat(at, size)
-    value = (low[is_word].astype(U) + U(1)) * _POW[inside]
-    return Words(start, end, mix(np.add.reduceat(value, at) ^ (size.astype(U) << U(56))), first)
+    inside = np.arange(len(letters)) - np.repeat(at, size)
+    return np.add.reduceat((letters.astype(U) + U(1)) * _upto(int(size.max()))[inside], at)
+
+
+def _long_sum(letters: np.ndarray) -> np.uint64:
+    """The same of one word of more than CHUNK bytes."""
+    out = 0
+    for lo in range(0, len(letters), CHUNK):
+        part = letters[lo : lo + CHUNK]
+        out += int(_sums(part, np.array([len(part)]))[0]) * pow(BASE, lo, 1 << 64)
+    return U(out % (1 << 64))
 
 
 def ngrams(h: np.ndarray, k: int) -> np.ndarray:

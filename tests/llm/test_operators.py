@@ -47,6 +47,30 @@ def test_sql(spark, name):
     same(tuples(df, *sorted(names)), [tuple(x for _, x in sorted(zip(names, r, strict=True))) for r in got.fetchall()])
 
 
+def test_words_in_chunks(monkeypatch):
+    """Hashes of words don't depend on the chunks that they are added up in, nor do places on the pieces of a long text."""
+    import numpy as np
+
+    from sessionlens.llm import textvec
+
+    rng = random.Random(1)
+    texts = [" ".join(letters(rng, rng.randint(1, 30), "abXYé9") for _ in range(50)) for _ in range(9)] + ["a" * 5000 + " b", "", "é"]
+    data, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    whole = textvec.words(data, offsets, textvec.ALNUM)
+    for chunk in (64, 100, 999):
+        monkeypatch.setattr(textvec, "CHUNK", chunk)
+        monkeypatch.setattr(textvec, "_POW", textvec._powers(64, textvec.BASE))
+        assert (textvec.words(data, offsets, textvec.ALNUM).hash == whole.hash).all()
+    monkeypatch.setattr(span_dedup, "SCAN", 50)
+    column = pa.array(["x" * 30, letters(rng, 1000), "y" * 60])
+    windows = Counter()
+    for lo, hi, at, part, ends in span_dedup.pieces(column, 20):
+        p = span_dedup.places(part, ends, 20, 8, span_dedup.Powers())
+        for doc, first, n in zip(p["doc"].tolist(), p["first"].tolist(), p["windows"].tolist(), strict=True):
+            windows.update((lo + doc, at + first + k) for k in range(n))
+    assert windows == Counter((i, k) for i, n in enumerate((30, 1000, 60)) for k in range(n - 19))
+
+
 # 1
 
 

@@ -267,38 +267,53 @@ def test_mixing(spark):
 # 5
 
 
-def test_kneser_ney(spark):
+def test_kneser_ney(spark, monkeypatch):
     import math
 
     rng = random.Random(9)
     vocabulary = [f"W{i}" for i in range(40)]
     rows = [(i, " ".join(rng.choices(vocabulary, weights=range(1, 41), k=rng.randint(0, 30)))) for i in range(150)] + [(None, None), (3, "unseen w1")]
+    rows += [(1000 + i, "W1 W2 W3 W4") for i in range(400)]  # counts over 255
     tok = lambda t: [w.lower() for w in re.findall(r"[^\x20\x09-\x0D]+", t or "")] + ["</s>"]
+    grams = lambda x: list(zip(["<s>", "<s>", *x[:-2]] if len(x) > 1 else ["<s>"], ["<s>", *x[:-1]], x, strict=True))
     train = [tok(t) for i, t in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
     c = Counter(w for x in train for w in x)
-    pairs = Counter(p for x in train for p in zip(["<s>"] + x[:-1], x, strict=True))
-    of = Counter(pairs.values())
-    d2 = kneser_ney.discounts(*(of[j] for j in (1, 2, 3, 4)))
-    a = Counter(w for _, w in pairs)
-    of = Counter(a.values())
-    d1 = kneser_ney.discounts(*(of[j] for j in (1, 2, 3, 4)))
-    context, back = Counter(), Counter()
-    for (v, _), k in pairs.items():
-        context[v] += k
-        back[v] += d2[min(k, 3) - 1]
-    off = lambda k, d: max(k - d[min(k, 3) - 1], 0) if k else 0
-    p1 = lambda w: off(a[w], d1) / len(pairs) + sum(d1[min(k, 3) - 1] for k in a.values()) / len(pairs) / (len(c) + 1)
-    p = lambda v, w: off(pairs[v, w], d2) / context[v] + back[v] / context[v] * p1(w) if context[v] else p1(w)
-    for v in ("<s>", "w3", "nobody"):
-        assert sum(p(v, w) for w in c) + p(v, "nobody") == pytest.approx(1)
-    got = {(r.doc_id, r.n_tokens): r for r in kneser_ney.score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    c3 = Counter(g for x in train for g in grams(x))
+    d = lambda counts: kneser_ney.discounts(*(sum(k == j for k in counts.values()) for j in (1, 2, 3, 4)))
+    a2 = Counter((v, w) for u, v, w in c3)
+    for (_, v, w), k in c3.items():
+        a2[v, w] += k - 1 if v == "<s>" else 0
+    a1 = Counter(w for _, w in a2)
+    off = lambda k, d: d[min(k, 3) - 1] if k else 0
+
+    def level(counts):
+        """Totals and back-off weights of the contexts."""
+        total, back = Counter(), Counter()
+        for g, k in counts.items():
+            total[g[:-1]] += k
+            back[g[:-1]] += off(k, d(counts))
+        return d(counts), total, {g: b / total[g] for g, b in back.items()}
+
+    d3, t3, b3 = level(c3)
+    b3 = {g: round(min(b, 1) * kneser_ney.STEPS) / kneser_ney.STEPS for g, b in b3.items()}
+    d2, t2, b2 = level(a2)
+    d1 = d(a1)
+    n_pairs, back = sum(a1.values()), sum(off(k, d1) for k in a1.values())
+    p1 = lambda w: (max(a1[w] - off(a1[w], d1), 0) + back / (len(c) + 1)) / n_pairs
+    p2 = lambda v, w: max(a2[v, w] - off(a2[v, w], d2), 0) / t2[v,] + b2[v,] * p1(w) if t2[v,] else p1(w)
+    p3 = lambda u, v, w: max(c3[u, v, w] - off(c3[u, v, w], d3), 0) / t3[u, v] + b3[u, v] * p2(v, w) if t3[u, v] else p2(v, w)
+    for context in (("<s>", "<s>"), ("<s>", "w3"), ("w1", "w2"), ("nobody", "w3"), ("no", "body")):
+        assert sum(p3(*context, w) for w in c) + p3(*context, "nobody") == pytest.approx(1, abs=1e-4)
     n = sum(c.values())
-    for i, t in rows:
-        x = tok(t)
-        r = got[i, len(x)]
-        assert r.train_tokens == n and r.n_known == sum(c[w] > 0 for w in x) and r.held_out == (zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2)
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in x))
-        assert r.score == pytest.approx(sum(math.log10(p(v, w)) for v, w in zip(["<s>"] + x[:-1], x, strict=True)))
+    for gather in (3_000_000, 100):
+        monkeypatch.setattr(kneser_ney, "GATHER", gather)
+        got = {(r.doc_id, r.n_tokens): r for r in kneser_ney.score_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+        for i, t in rows:
+            x = tok(t)
+            r = got[i, len(x)]
+            assert r.train_tokens == n and r.n_known == sum(c[w] > 0 for w in x) and r.held_out == (zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2)
+            assert r.base_score == pytest.approx(sum(math.log10((c[w] + 1) / (n + len(c) + 1)) for w in x))
+            assert r.score == pytest.approx(sum(math.log10(p3(*g)) for g in grams(x)))
 
 
 def test_model_beats_unigrams(spark):

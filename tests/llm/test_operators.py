@@ -452,6 +452,17 @@ def test_decontamination(spark, limit):
     same(tuples(got), contaminated(docs, items))
 
 
+def test_items_that_share_a_passage(spark):
+    """2000 items and 500 documents around one passage: a few windows are met, not documents times items."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    items = [(i, f"{passage} own{i} x y z") for i in range(2000)]
+    docs = [(i, f"d{i} {passage} e{i} " + "more words " * 30) for i in range(500)] + [(900, items[7][1])]
+    got = decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).drop("t").collect()
+    ids = sha256(",".join(sorted(str(i) for i in range(2000))).encode()).hexdigest()
+    assert len(got) == 501 and all((r.n_items, r.items_sha256) == (2000, ids) for r in got)
+    assert Counter(r.n_hit for r in got) == {20: 500, 24: 1}
+
+
 # 10
 
 

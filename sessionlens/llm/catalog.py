@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from functools import wraps
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sessionlens.llm import decontam, line_dedup, near_dup, topk
-from sessionlens.llm.common import table
+from sessionlens.llm import pipeline as corpus
+from sessionlens.llm.common import table, with_package
 from sessionlens.llm.decontam import contamination
 from sessionlens.llm.kneser_ney import score_documents
 from sessionlens.llm.line_dedup import dedup_lines
@@ -23,21 +22,6 @@ from sessionlens.llm.url_filter import filter_urls
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-#: Texts that a Python worker gets at a time. Whole texts vary too much for a number of rows to bound its memory.
-BATCH_BYTES = 16 << 20
-
-
-def with_package(spark: SparkSession) -> None:
-    """Settings that the Python side needs: batches of bounded size, and the package's path.
-
-    Workers import the package from where the driver has it; clusters without a shared install use --py-files.
-    """
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
-    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
-
-
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
 
@@ -79,9 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline  # at the repository's top: it imports this module
-
-    return corpus_pipeline.run(spark, sf_dir)
+    return corpus.run(spark, sf_dir)
 
 
 def _packaged(f: Query) -> Query:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import SPACED_WORD, own_columns, partitions, written
+from sessionlens.llm.common import SPACED_WORD, disposable, own_columns, partitions, written
 
 WEIGHTS = (3, 1, 2)
 #: Documents that one run of the flight decides about.

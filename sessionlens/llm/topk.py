@@ -11,6 +11,10 @@ Bounds are widened by far more than rounding can take, so the result is exact.
 
 The queries are a stated set against all rows, taken in blocks; a task holds a block of each.
 
+Whole components are kept divided by 1024, which is exact and finite for every finite component. Vectors of components
+beyond GIANT take no part in the basis and have no bounds: they are always multiplied out, in integers of any size. Scores
+are ranked as they are; those that 64 bits can't hold are returned as the nearest long.
+
 Nulls: vectors that are null, empty or hold null or non-finite components take no part, nor do rows without an id. Shorter
 vectors count as padded with zeros. A query leaves out its own row once; a repeated row is another row. Ties go to the
 smaller id. Fewer rows than k give fewer results; empty tables none. Extra columns are ignored.
@@ -33,6 +37,10 @@ from sessionlens.llm.common import local_path, own_columns, partitions, scratch,
 SCALE = 1024
 #: Rotated coordinates that the partial sums use.
 HEAD = 16
+#: Beyond this, squares could overflow.
+GIANT = 1e100
+#: A score in whole numbers of the components divided by SCALE.
+UNIT = float(SCALE * SCALE)
 #: Queries that one task multiplies at a time, and candidates of a block.
 QUERY_BLOCK, BLOCK = 64, 4096
 
@@ -61,12 +69,35 @@ def _gram(dims: int) -> Callable:
         total = np.zeros((dims, dims))
         for batch in batches:
             x = _matrix(batch.column("v"), dims)
+            x = x[np.abs(x).max(axis=1, initial=0) <= GIANT]
             total += x.T @ x
         yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], ["gram"])
 
     return run
 
 
+def _turned(x: np.ndarray, basis: np.ndarray, head: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Head coordinates, length of the rest, length. Giants have a rest that bounds nothing."""
+    most = np.abs(x).max(axis=1, initial=0)
+    length = most * np.sqrt(((x / np.maximum(most, 1e-300)[:, None]) ** 2).sum(1))
+    giant = most > GIANT
+    turned = np.where(giant[:, None], 0.0, x) @ basis
+    rest = np.sqrt(np.maximum((turned[:, head:] ** 2).sum(1), 0))
+    return turned[:, :head], np.where(giant, np.inf, rest), length
+
+
+def _whole(x: np.ndarray) -> list[int]:
+    return [int(a) * SCALE if abs(a) >= 2.0**53 else int(a * SCALE) for a in x.tolist()]
+
+
+def _floor(score: float | int) -> float:
+    """A float that is not above the score."""
+    try:
+        return float(score) * (1 - 1e-12 if score > 0 else 1 + 1e-12)
+    except OverflowError:
+        return 1.7e308 if score > 0 else -np.inf
+
+
 def _store(folder: str, dims: int, basis: np.ndarray, head: int) -> Callable:
     """Rows sorted by descending length -> array files of BLOCK vectors each, and a row about each block.
 
@@ -76,10 +107,9 @@ def _store(folder: str, dims: int, basis: np.ndarray, head: int) -> Callable:
 
     def block(ids: np.ndarray, x: np.ndarray) -> tuple:
         name = f"{folder}/{uuid.uuid4().hex}"
-        turned = x @ basis
-        rest = np.sqrt(np.maximum((turned[:, head:] ** 2).sum(1), 0))
-        length = np.sqrt((x**2).sum(1))
-        for what, values in (("ids", ids), ("whole", x), ("head", turned[:, :head]), ("rest", rest), ("length", length)):
+        with np.errstate(all="ignore"):
+            turned, rest, length = _turned(x, basis, head)
+        for what, values in (("ids", ids), ("whole", x), ("head", turned), ("rest", rest), ("length", length)):
             with open(f"{name}.{what}.part", "wb") as f:
                 np.save(f, values)
             os.replace(f"{name}.{what}.part", f"{name}.{what}.npy")
@@ -108,31 +138,35 @@ def _search(manifest: str, dims: int, basis: np.ndarray, head: int, k: int) -> C
     """Queries (vec_id, v) -> query_id, rank, vec_id, score."""
 
     def best(ids: np.ndarray, scores: np.ndarray) -> np.ndarray:
+        if scores.dtype == object:
+            return np.array(sorted(range(len(ids)), key=lambda j: (-scores[j], ids[j]))[:k], np.int64)
         return np.lexsort((ids, -scores))[:k]
 
     def answer(q_ids: np.ndarray, q: np.ndarray, blocks: list[dict]) -> list[tuple]:
-        turned = q @ basis
-        q_rest = np.sqrt(np.maximum((turned[:, head:] ** 2).sum(1), 0))
-        q_length = np.sqrt((q**2).sum(1))
+        turned, q_rest, q_length = _turned(q, basis, head)
         top: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * len(q)
         own = np.ones(len(q), bool)  # its own row is still to be left out
         floor = np.full(len(q), -np.inf)
         for b in blocks:  # by descending length
-            live = np.flatnonzero(floor <= q_length * b["length"] * (1 + 1e-9) + 1e-6)
+            # Written so that a bound that is no number leaves nothing out.
+            live = np.flatnonzero(~(UNIT * q_length * b["length"] * (1 + 1e-9) + 1 < floor))
             if not len(live):
                 break
             part = {what: np.load(f"{b['name']}.{what}.npy", mmap_mode="r") for what in ("ids", "whole", "head", "rest", "length")}
-            bound = turned[live, :head] @ part["head"].T + np.outer(q_rest[live], part["rest"])
-            slack = 1e-9 * q_length[live, None] * part["length"][None, :] + 1e-6
-            reach = bound + slack >= floor[live, None]
+            bound = turned[live] @ part["head"].T + np.outer(q_rest[live], part["rest"])
+            slack = 1e-9 * q_length[live, None] * part["length"][None, :]
+            reach = ~(UNIT * (bound + slack) + 1 < floor[live, None])
             for r, i in enumerate(live):
                 at = np.flatnonzero(reach[r])
                 if not len(at):
                     continue
                 ids, x = part["ids"][at], part["whole"][at]
                 # Products of whole numbers below 2**53 are exact in floating point; larger ones go through integers.
-                exact = q_length[i] * b["length"] < 2.0**52
-                scores = x @ q[i] if exact else np.array([sum(int(u) * int(v) for u, v in zip(y, q[i], strict=True)) for y in x], object)
+                if UNIT * q_length[i] * b["length"] < 2.0**52:
+                    scores = (x @ q[i]) * UNIT
+                else:
+                    whole, scores = _whole(q[i]), np.empty(len(x), object)
+                    scores[:] = [sum(u * v for u, v in zip(_whole(y), whole, strict=True)) for y in x]
                 if own[i] and len(same := np.flatnonzero(ids == q_ids[i])):
                     same = same[(x[same] == q[i]).all(1)]
                     if len(same):
@@ -142,8 +176,8 @@ def _search(manifest: str, dims: int, basis: np.ndarray, head: int, k: int) -> C
                 order = best(ids, scores)
                 top[i] = (ids[order], scores[order])
                 if len(order) == k:
-                    floor[i] = float(scores[order[-1]])
-        return [(int(q_ids[i]), r + 1, int(a), int(s)) for i in range(len(q)) for r, (a, s) in enumerate(zip(*top[i], strict=True))]
+                    floor[i] = _floor(scores[order[-1]])
+        return [(int(q_ids[i]), r + 1, int(a), min(max(int(s), -(1 << 63)), (1 << 63) - 1)) for i in range(len(q)) for r, (a, s) in enumerate(zip(*top[i], strict=True))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = None
@@ -153,7 +187,8 @@ def _search(manifest: str, dims: int, basis: np.ndarray, head: int, k: int) -> C
                     blocks = [json.loads(line) for line in f]
             ids, x = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), dims)
             for lo in range(0, len(ids), QUERY_BLOCK):
-                rows = answer(ids[lo : lo + QUERY_BLOCK], x[lo : lo + QUERY_BLOCK], blocks)
+                with np.errstate(all="ignore"):
+                    rows = answer(ids[lo : lo + QUERY_BLOCK], x[lo : lo + QUERY_BLOCK], blocks)
                 cols = zip(*rows, strict=True) if rows else ((), (), (), ())
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], ["query_id", "rank", "vec_id", "score"])
@@ -162,11 +197,12 @@ def _search(manifest: str, dims: int, basis: np.ndarray, head: int, k: int) -> C
 
 
 def whole_vectors(embeddings: DataFrame) -> DataFrame:
-    """vec_id, v (array of whole doubles), of the rows that take part."""
+    """vec_id, v (array of whole doubles divided by SCALE), of the rows that take part."""
     rows = own_columns(embeddings, "vec_id", "embedding").where("vec_id IS NOT NULL AND size(embedding) > 0")
     x = F.transform("embedding", lambda e: e.cast("double"))
     finite = F.forall(x, lambda e: F.coalesce(~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))), F.lit(False)))
-    whole = F.transform(x, lambda e: F.rint(e * SCALE - F.pmod(e * SCALE, F.lit(1.0))))
+    # From 2 ** 43 on, a double times SCALE is whole.
+    whole = F.transform(x, lambda e: F.when(F.abs(e) >= 2.0**43, e).otherwise(F.rint(e * SCALE - F.pmod(e * SCALE, F.lit(1.0))) / SCALE))
     return rows.where(finite).select(F.col("vec_id").cast("long"), whole.alias("v"))
 
 

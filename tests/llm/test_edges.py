@@ -6,9 +6,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-import corpus_pipeline
 from sessionlens.llm import catalog, decontam, kneser_ney, line_dedup, mixing, near_dup, sharding, span_dedup, topk, toxicity, url_filter
 
+from sessionlens.llm import pipeline as corpus_pipeline
+
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use inside, as extra columns of the input.
@@ -89,6 +90,28 @@ def test_stages_keep_columns(spark):
         stage(spark, docs.limit(0), SF).count()
 
 
+def test_the_script_has_the_stages():
+    import corpus_pipeline as script
+
+    assert script.STAGES is corpus_pipeline.STAGES and script.run is corpus_pipeline.run and script.ORACLE_SQL is None
+
+
+def test_scratch_tables_go(spark):
+    """What an operator wrote on its way is gone; what its result reads is not."""
+    from pathlib import Path
+
+    from sessionlens.llm.common import disposable, local_path, shared_dir, written
+
+    folder = Path(local_path(shared_dir(spark)))
+    with disposable(spark) as keep:
+        a, b = written(spark.range(3), "one"), written(spark.range(4), "two")
+        keep(b)
+    assert b.count() == 4 and Path(local_path(b.scratch_path)).exists() and not Path(local_path(a.scratch_path)).exists()
+    before = set(folder.iterdir())
+    near_dup.near_duplicates(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")).count()
+    assert len(set(folder.iterdir()) - before) == 2
+
+
 def test_pipeline_decisions(spark):
     """run() against the stages' rules, told from the operators' own brute-force tests."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")

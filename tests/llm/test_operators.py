@@ -371,18 +371,21 @@ def test_segment():
 def test_topk_bounds_are_exact(spark):
     rng = random.Random(3)
     rows = [(i, [rng.gauss(0, 1 + (i % 7)) for _ in range(8)]) for i in range(6000)] + [(100, rng_list) for rng_list in ([1.0] * 8, [1.0] * 8)]
-    rows += [(7000, None), (7100, []), (7200, [float("nan")] * 8), (7300, [None, 1.0]), (None, [1.0] * 8), (7400, [2.0, 3.0]), (7500, [float("inf")] * 8), (7600, [1e300] * 8)]
+    rows += [(7000, None), (7100, []), (7200, [float("nan")] * 8), (7300, [None, 1.0]), (None, [1.0] * 8), (7400, [2.0, 3.0]), (7500, [float("inf")] * 8)]
+    rows += [(7600, [1e300] * 8), (7700, [-1e307] * 8), (7800, [1e150, *[0.0] * 7]), (7900, [0.0] * 8), (8000, [3e9] * 8), (8001, [1e17] * 8)]
     got = defaultdict(list)
-    df = topk.top_k(spark.createDataFrame(rows[:-1], "vec_id long, embedding array<double>"))
+    df = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("v", F.lit("clash")).withColumn("length", F.lit(None)))
     for r in df.collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     import math
 
-    whole = [(i, [math.floor(1024 * x) for x in v] + [0] * (8 - len(v))) for i, v in rows[:-1] if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
-    for q in (0, 300, 5900, 7400):
+    component = lambda x: int(x) * 1024 if abs(x) > 2**53 else math.floor(1024 * x)
+    whole = [(i, [component(x) for x in v] + [0] * (8 - len(v))) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    held = lambda s: min(max(s, -(2**63)), 2**63 - 1)
+    for q in (0, 300, 5900, 7400, 7600, 7700, 7800, 7900, 8000):
         v = next(v for i, v in whole if i == q)
         best = sorted(((-sum(a * b for a, b in zip(v, x, strict=True)), i) for i, x in whole if i != q))[:10]
-        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+        assert sorted(got[q]) == [(k + 1, i, held(-s)) for k, (s, i) in enumerate(best)]
     assert len(got[100]) == 30
 
 

@@ -1,70 +1,5 @@
-"""The corpus pipeline: toxicity, near duplicates, contamination, mixing, sharding, each over all that the stage before kept.
+"""The corpus pipeline: STAGES, run(spark, sf_dir) and ORACLE_SQL of sessionlens.llm.pipeline."""
 
-STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
-the columns of documents. run() applies them to documents, each result written as Parquet and read again.
-"""
+from sessionlens.llm.pipeline import ORACLE_SQL, STAGES, run
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from sessionlens.llm import catalog, decontam, mixing, near_dup, sharding
-from sessionlens.llm import toxicity as tox
-from sessionlens.llm.common import hash128, table, written
-
-
-def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain doesn't reject."""
-    catalog.with_package(spark)
-    return tox.non_toxic(docs, table(spark, sf_dir, "labels"))
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: a row of the text that stands for the group, of smallest doc_id."""
-    catalog.with_package(spark)
-    classes = near_dup.near_duplicates(docs)
-    kept = written(classes.where(F.col("t") == F.col("class_t")).select("t").distinct(), "kept-texts")
-    own = docs.withColumn("__t", hash128(docs["text"])).join(kept.withColumnRenamed("t", "__t"), "__t", "left_semi")
-    row = F.struct(*docs.columns)
-    first = own.groupBy("__t").agg(F.min_by(row, F.struct(F.col("doc_id").isNull(), "doc_id", F.xxhash64(*docs.columns))).alias("row"))
-    return first.select("row.*")
-
-
-def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the benchmark doesn't contaminate."""
-    catalog.with_package(spark)
-    judged = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = written(judged.where("contaminated").select(F.col("t").alias("__t")).distinct(), "contaminated-texts")
-    return docs.withColumn("__t", hash128(docs["text"])).join(bad, "__t", "left_anti").select(*docs.columns)
-
-
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: not at all, once or twice."""
-    catalog.with_package(spark)
-    return mixing.mixed_rows(docs)
-
-
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row."""
-    catalog.with_package(spark)
-    return sharding.shard_documents(docs)
-
-
-STAGES = [
-    ("toxicity", toxicity),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontamination),
-    ("mixing", mix),
-    ("sharding", shard),
-]
-
-#: SQL can't express trained classifiers, balanced sampling and the ring's walk; the tests hold run() against brute force.
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "run"]

@@ -462,15 +462,15 @@ def train(texts: DataFrame) -> Model:
         part = F.shiftright(F.col("shard").cast("long") * n, bits).cast("int")
         dealt = texts.mapInArrow(send, _PACKED).repartitionById(n, part).sortWithinPartitions("shard", "kind", "n", "data")
         sums = dealt.mapInArrow(_reduced(parts, add_up, counted), _COUNTS)
-        out = sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums.columns]).first()
-        release_shuffles(spark)
-        return out
+        return sums.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums.columns]).first()
 
     of = lambda r: (r.n1, r.n2, r.n3, r.n4)
     trigrams = Parts(layout, "3", {"c": "count"})
     d3 = discounts(*of(level(_send_trigrams(bits), trigrams, _add_trigrams, "c")))
+    release_shuffles(spark)  # nothing refers to the level's plan any more
     bigrams = Parts(layout, "2", {"c": "count", "a": "count", "back": "u2"})
     d2 = discounts(*of(level(_send_bigrams(trigrams), bigrams, _add_bigrams(d3), "a")))
+    release_shuffles(spark)
     words = Parts(layout, "1", {"c": "f8", "a": "f8", "follow": "f8", "back": "f8"})
     r = level(_send_words(bigrams), words, _add_words(d2), "a")
     d1 = discounts(*of(r))

@@ -132,11 +132,13 @@ BATCH_BYTES = 16 << 20
 
 
 def with_package(spark: SparkSession) -> None:
-    """Settings that the Python side needs: batches of bounded size, and the package's path.
+    """Settings that the operators need: Arrow batches of bounded size, shuffle files that go early, and the package's path.
 
     Workers import the package from where the driver has it; clusters without a shared install use --py-files.
     """
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    # What an action shuffled goes when it ends: everything that is used again is written to the shared folder.
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)

@@ -127,6 +127,26 @@ def ensure_dir(path: str) -> str:
     return path
 
 
+#: Copies of a row that one row makes at once.
+COPIES = 4096
+
+
+def repeated(rows: DataFrame, times: str, few: bool = False) -> DataFrame:
+    """rows without times (long), each so often, with __copy (long, from 0). Rows of very many copies are dealt out first.
+
+    few: no row has more than COPIES.
+    """
+    each = lambda df, base, n: df.withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).withColumn("__copy", F.col("__copy") + base)
+    times_ = F.col(times)
+    out = each(rows.where((times_ > 0) & (times_ <= COPIES)), F.lit(0), times_).drop(times)
+    if few:
+        return out
+    blocks = rows.where(times_ > COPIES).withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(times_ / COPIES) - 1)))
+    blocks = blocks.repartition(partitions(rows.sparkSession), "__block")
+    many = each(blocks, F.col("__block") * COPIES, F.least(F.lit(COPIES).cast("long"), times_ - F.col("__block") * COPIES))
+    return out.unionByName(many.drop(times, "__block"))
+
+
 #: Texts that a Python worker gets at a time. Whole texts vary too much for a number of rows to bound its memory.
 BATCH_BYTES = 16 << 20
 

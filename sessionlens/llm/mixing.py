@@ -20,13 +20,15 @@ empty result. Extra columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from random import Random
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sessionlens.llm.common import SPACED_WORD, disposable, own_columns, partitions, written
+from sessionlens.llm.common import SPACED_WORD, own_columns, partitions, repeated, written
 
 WEIGHTS = (3, 1, 2)
 #: Documents that one run of the flight decides about.
@@ -62,7 +64,8 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_sha
 class Flight:
     """The flight phase of one run: add() documents one by one, take decided ones from done; left holds the undecided."""
 
-    def __init__(self) -> None:
+    def __init__(self, seed: str = "") -> None:
+        self.draw = Random(seed).random
         self.left: list[list] = []
         self.done: list[tuple[int, float]] = []
         self.reserve: list[list] = []
@@ -93,10 +96,8 @@ class Flight:
         ps = (p, q, r)
         up = min((1 - x) / d if d > 0 else x / -d for x, d in zip(ps, u, strict=True) if d)
         down = min(x / d if d > 0 else (1 - x) / -d for x, d in zip(ps, u, strict=True) if d)
-        # The cube method draws the side at random with odds down : up, which keeps each document's probability. The draw
-        # here is a hash of the three sizes and probabilities' digits: reruns agree.
-        draw = (hash((round(a), round(b), round(c), round(p * 1e6), round(q * 1e6), round(r * 1e6))) & 0xFFFFFF) / 0x1000000
-        step = up if draw * (up + down) < down else -down
+        # The side is drawn at random with odds down : up, which keeps each document's probability.
+        step = up if self.draw() * (up + down) < down else -down
         for unit, x, d in zip(self.left, ps, u, strict=True):
             unit[2] = x + step * d
 
@@ -109,11 +110,15 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
-def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of s, run, size, ..., p, sorted by run -> the same rows with p moved: 0 or 1, or in between for at most RESERVE + 2 rows a run."""
+def _fly(batches: Iterator[pa.RecordBatch], seed: str) -> Iterator[pa.RecordBatch]:
+    """Rows of s, run, size, ..., p, sorted by run -> the same rows with p moved: 0 or 1, or in between for at most RESERVE + 2 rows a run.
+
+    A run has draws of its own, and its rows come in a fixed order: reruns agree.
+    """
     run, flight, held, n, schema = None, Flight(), {}, 0, None
 
     def decided() -> list[tuple]:
+        nonlocal flight
         out = [(*held.pop(k)[:-1], p) for k, p in flight.done]
         flight.done = []
         return out
@@ -128,7 +133,7 @@ def _fly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batch):
             if row[:2] != run:
                 out += decided() + undecided()
-                run = row[:2]
+                run, flight = row[:2], Flight(f"{seed}/{row[0]}/{row[1]}")
             held[n] = row
             flight.add(n, float(row[2]), row[-1])
             n += 1
@@ -165,8 +170,12 @@ def _land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(landed(), schema)
 
 
-def sample_extra(units: DataFrame) -> DataFrame:
-    """units: s (source number), size, p (0 <= p < 1) and others, which order equal rows -> the same with p 0 or 1."""
+def sample_extra(units: DataFrame, seed: int = 0) -> DataFrame:
+    """units: s (source number), size, p (0 <= p < 1) and others, which order equal rows -> the same with p 0 or 1.
+
+    Other seeds deal and draw otherwise: over seeds, a document is taken as often as its p says, but for the last few of a
+    source, whose choice is the nearest to the totals.
+    """
     spark = units.sparkSession
     others = [c for c in units.columns if c not in ("s", "size", "p")]
     cols = ["s", "run", "size", *others, "p"]
@@ -177,10 +186,10 @@ def sample_extra(units: DataFrame) -> DataFrame:
         # Runs a source: what stays undecided shrinks by RUN / (RESERVE + 2) each time, so this ends after a few levels.
         runs = written(still.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / RUN).cast("int").alias("runs")), f"runs-{level}")
         most = runs.agg(F.max("runs")).first()[0] or 0
-        run = F.pmod(F.xxhash64(*others, "size", F.lit(level)), F.col("runs")).cast("int")
+        run = F.pmod(F.xxhash64(*others, "size", F.lit(level), F.lit(seed)), F.col("runs")).cast("int")
         dealt = still.join(runs, "s").withColumn("run", run).select(*cols).repartition(partitions(spark), "s", "run")
-        dealt = dealt.sortWithinPartitions("s", "run", F.xxhash64(*others), "size", *others, "p")
-        flown = written(dealt.mapInArrow(_fly, kind), f"flight-{level}").drop("run")
+        dealt = dealt.sortWithinPartitions("s", "run", F.xxhash64(*others, F.lit(seed)), "size", *others, "p")
+        flown = written(dealt.mapInArrow(partial(_fly, seed=f"{seed}/{level}"), kind), f"flight-{level}").drop("run")
         between = (F.col("p") > 0) & (F.col("p") < 1)
         out, still = out.unionByName(flown.where(~between)), flown.where(between)
         level += 1
@@ -195,7 +204,7 @@ def _text_hash(text: Column) -> list[Column]:
     return [F.xxhash64(data).alias("t1"), F.xxhash64(F.lit(1), data).alias("t2")]
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target, copies (int: times the document is taken), source and t1, t2 (the text's hash) of every document."""
     docs = own_columns(documents, "doc_id", "text", "source")
     size = F.coalesce(F.regexp_count("text", F.lit(SPACED_WORD)), F.lit(0)).cast("long")
@@ -209,28 +218,31 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: flo
     # A row a source: Spark broadcasts the table below its size limit and shuffles it, splitting a hot source, beyond.
     near = rows.alias("r").join(targets.select("source", "s", "p").alias("t"), F.col("r.source").eqNullSafe(F.col("t.source")))
     units = near.select("t.s", "r.size", "r.doc_id", "r.t1", "r.t2", "t.p")
-    taken = sample_extra(units)
+    taken = sample_extra(units, seed)
     out = taken.withColumnRenamed("p", "extra").join(targets, "s")
     return out.select("doc_id", "size", "source_size", "target", (F.col("sure") + F.col("extra")).cast("int").alias("copies"), "source", "t1", "t2")
 
 
-def mix_documents(documents: DataFrame) -> DataFrame:
+def mix_documents(documents: DataFrame, seed: int = 0) -> DataFrame:
     """doc_id, size, source_size, target and taken (words, repeats counted) of every document."""
-    mixed = mix(documents)
+    mixed = mix(documents, seed=seed)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
-def mixed_rows(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0) -> DataFrame:
+def mixed_rows(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, mix_share: float = 1.5, max_repeat: float = 2.0, seed: int = 0) -> DataFrame:
     """The documents' rows, all columns, each as often as the mix takes it."""
     names = ["__doc_id", "__source", "t1", "t2"]
-    mixed = mix(documents, weights, mix_share, max_repeat)
+    mixed = mix(documents, weights, mix_share, max_repeat, seed)
     taken = mixed.groupBy(F.col("doc_id").alias("__doc_id"), F.col("source").alias("__source"), "t1", "t2").agg(F.count(F.lit(1)).alias("rows"), F.sum("copies").alias("copies"))
     taken = written(taken.where("copies > 0"), "taken")
     own = documents.select(F.struct(*documents.columns).alias("row"), documents["doc_id"].alias("__doc_id"), documents["source"].alias("__source"), *_text_hash(documents["text"]))
     a, b = own.alias("a"), taken.alias("b")
     met = a.join(b, [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in names]).select("row", *[F.col(f"a.{c}") for c in names], "rows", "copies")
-    # Rows of one doc_id, source and text share what the mix takes of them; only these are numbered.
     single = met.where("rows = 1").select("row", F.col("copies").alias("times"))
-    number = F.row_number().over(Window.partitionBy(*names).orderBy(F.xxhash64("row")))
-    shared = met.where("rows > 1").withColumn("number", number).select("row", (F.expr("copies div rows") + (F.col("number") <= F.col("copies") % F.col("rows")).cast("long")).alias("times"))
-    return single.unionByName(shared).where("times > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    # Rows of one doc_id, source and text share what the mix takes of them; only these are numbered. Rows that are equal in
+    # all columns are one row with a count, before anything is shuffled.
+    shared = met.where("rows > 1").groupBy("row", *names, "rows", "copies").agg(F.count(F.lit(1)).alias("m"))
+    before = F.sum("m").over(Window.partitionBy(*names).orderBy(F.xxhash64("row"), "m").rowsBetween(Window.unboundedPreceding, -1))
+    more = F.greatest(F.lit(0), F.least("m", F.col("copies") % F.col("rows") - F.coalesce(before, F.lit(0))))
+    shared = repeated(shared.select("row", (F.expr("m * (copies div rows)") + more).alias("times")), "times")
+    return repeated(single, "times", few=True).unionByName(shared).select("row.*")

@@ -23,7 +23,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shard_documents(table(spark, sf_dir, "documents"), shards=16, vnodes=64)
+    return shard_documents(table(spark, sf_dir, "documents"), shards=16)
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontam, line_dedup, near_dup, topk
+from sessionlens.llm import decontam, line_dedup, near_dup, span_dedup, topk
 from sessionlens.llm import pipeline as corpus
 from sessionlens.llm.common import table, with_package
 from sessionlens.llm.decontam import contamination
@@ -15,7 +15,6 @@ from sessionlens.llm.kneser_ney import score_documents
 from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
-from sessionlens.llm.span_dedup import dedup_spans
 from sessionlens.llm.toxicity import toxicity
 from sessionlens.llm.url_filter import filter_urls
 
@@ -31,7 +30,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_spans(table(spark, sf_dir, "documents"), span=200)
+    return span_dedup.dedup_spans(table(spark, sf_dir, "documents"), span=200)
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,4 +79,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": near_dup.SQL, "op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}
+    return {"op2_jaccard_join": near_dup.SQL, "op3_suffix_dedup": span_dedup.SQL, "op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}

@@ -49,6 +49,21 @@ CROWD = 1024
 #: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
 ARRAY_BYTES = 1 << 14
 
+#: DuckDB SQL for the digest with spans of 200 bytes, over the texts' bytes in hexadecimal, 256 windows of a text at a time.
+SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS (SELECT rid, o, substr(h, 2 * o + 1, 910) AS h FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 199, 256)) AS o FROM d)),
+w AS (SELECT rid, o + q AS p, md5_number(substr(h, 2 * q + 1, 400)) AS g FROM (SELECT rid, o, h, unnest(range(0, len(h) // 2 - 199)) AS q FROM part)),
+again AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+hit AS (SELECT rid, p, p > coalesce(lag(p) OVER (PARTITION BY rid ORDER BY p) + 200, -1) AS opens FROM w WHERE g IN (SELECT g FROM again)),
+run AS (SELECT rid, min(p) AS lo, max(p) + 200 AS hi FROM (SELECT rid, p, sum(CAST(opens AS INT)) OVER (PARTITION BY rid ORDER BY p) AS k FROM hit) GROUP BY rid, k),
+gap AS (SELECT rid, lo, hi, coalesce(lag(hi) OVER (PARTITION BY rid ORDER BY lo), 0) AS since FROM run),
+cut AS (SELECT gap.rid, sum(hi - lo) AS n_removed, count(*) AS n_spans, max(hi) AS upto, string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS kept FROM gap JOIN d ON d.rid = gap.rid GROUP BY gap.rid)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(upto, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.rid = cut.rid
+"""
+
 U = np.uint64
 _POSITION_BITS = 28
 _rng = np.random.default_rng(20240131)

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sessionlens.llm import decontam, line_dedup, near_dup, span_dedup, topk
+from sessionlens.llm import decontam, kd_clusters, line_dedup, near_dup, prefix_trie, span_dedup, topk
 from sessionlens.llm import pipeline as corpus
 from sessionlens.llm.common import table, with_package
 from sessionlens.llm.decontam import contamination
@@ -15,6 +15,7 @@ from sessionlens.llm.kneser_ney import score_documents
 from sessionlens.llm.line_dedup import dedup_lines
 from sessionlens.llm.mixing import mix_documents
 from sessionlens.llm.sharding import shard_documents
+from sessionlens.llm.token_counts import count_tokens
 from sessionlens.llm.toxicity import toxicity
 from sessionlens.llm.url_filter import filter_urls
 
@@ -61,6 +62,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_kd_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_clusters.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
@@ -75,8 +90,8 @@ def _packaged(f: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: _packaged(f) for f in (op1_sharding, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity, pipeline)}
+    return {f.__name__: _packaged(f) for f in (op1_sharding, op2_jaccard_join, op3_suffix_dedup, op4_mixing, op5_lm_scoring, op6_url_filter, op7_topk, op8_line_dedup, op9_decontamination, op10_toxicity, op11_token_counts, op12_prefix_trie, op13_kd_clusters, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_jaccard_join": near_dup.SQL, "op3_suffix_dedup": span_dedup.SQL, "op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL}
+    return {"op2_jaccard_join": near_dup.SQL, "op3_suffix_dedup": span_dedup.SQL, "op7_topk": topk.SQL, "op8_line_dedup": line_dedup.SQL, "op9_decontamination": decontam.SQL, "op12_prefix_trie": prefix_trie.SQL, "op13_kd_clusters": kd_clusters.SQL}

@@ -39,7 +39,7 @@ def package(spark):
 def test_sql(spark, name):
     df = catalog.queries()[name](spark, SF)
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "embeddings", "pages", "labels"):
+    for t in ("documents", "benchmark", "embeddings", "pages", "labels", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = con.execute(catalog.oracle_sql()[name])
     names = [c[0] for c in got.description]

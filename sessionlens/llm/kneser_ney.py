@@ -17,7 +17,8 @@ text's start have no predecessors and keep their counts. There are three discoun
 passes all mass on.
 
 Arrays are cut into buckets by the hash's leading bits, about BUCKET n-grams each, and hold the next 32 bits: a wrong match
-has a chance of BUCKET / 2 ** 32, whatever the input's size. Back-off weights of bigrams are kept in steps of 1 / 65535.
+has a chance of BUCKET / 2 ** 32, whatever the input's size. Back-off weights are 32-bit floats, so that a context of any
+number of occurrences leaves something to words that never followed it.
 
 Nulls: a null text is empty (only the end); a null doc_id counts as an empty text in the split, so it trains. Repeated
 rows count again. Without training texts every token has p = 1 / (V + 1) = 1. An empty table gives an empty result. Extra
@@ -49,8 +50,6 @@ RANGES, RANGE_BYTES = 4, 32 << 20
 BUCKET = 8
 #: Files of parts that a reader keeps open.
 OPEN = 256
-#: Steps of a bigram's back-off weight.
-STEPS = 65535
 
 
 class Layout(NamedTuple):
@@ -368,7 +367,7 @@ def _add_bigrams(d: tuple[float, float, float]) -> Callable:
         s = follows / np.maximum(after, 1)
         keys, (c, a, follows, s1, s2, s3) = _grouped(keys, times, a, follows, s * (after == 1), s * (after == 2), s * (after >= 3))
         back = (d[0] * s1 + d[1] * np.rint(s2) + d[2] * np.rint(s3)) / np.maximum(follows, 1)
-        return keys, {"c": c.astype(np.int64), "a": np.rint(a).astype(np.int64), "back": np.rint(np.minimum(back, 1) * STEPS)}
+        return keys, {"c": c.astype(np.int64), "a": np.rint(a).astype(np.int64), "back": back.astype(np.float32)}
 
     return add
 
@@ -428,7 +427,7 @@ def _score(m: Model) -> Callable:
                 own, start = at[:-1], np.zeros(len(t.token), bool)
                 start[t.first[:-1]] = True
                 context = np.where(start, at[-1], np.concatenate([own[:1], own[:-1]]))
-                c2, back3, a2 = c[context], back[context] / STEPS, a[own]
+                c2, back3, a2 = c[context], back[context], a[own]
                 keys, at = np.unique(np.concatenate([t.previous, t.token]), return_inverse=True)
                 c, a, follow, back = m.words.get(keys)
                 v, w = at[: len(c2)], at[len(c2) :]
@@ -468,7 +467,7 @@ def train(texts: DataFrame) -> Model:
     trigrams = Parts(layout, "3", {"c": "count"})
     d3 = discounts(*of(level(_send_trigrams(bits), trigrams, _add_trigrams, "c")))
     release_shuffles(spark)  # nothing refers to the level's plan any more
-    bigrams = Parts(layout, "2", {"c": "count", "a": "count", "back": "u2"})
+    bigrams = Parts(layout, "2", {"c": "count", "a": "count", "back": "f4"})
     d2 = discounts(*of(level(_send_bigrams(trigrams), bigrams, _add_bigrams(d3), "a")))
     release_shuffles(spark)
     words = Parts(layout, "1", {"c": "f8", "a": "f8", "follow": "f8", "back": "f8"})

@@ -10,8 +10,8 @@ the rule's path; the longest rule wins. Urls without a rule get the method's ver
   rules' own verdicts, the only judgement that the table comes with: it is trained on all pages that a rule fits, and so
   carries over to other hosts what blocked and allowed urls are made of. held_out() tells how well it foresees them.
 
-Both tables of counts stay on Spark and are whole. Words of 2 to MAX_WORD letters enter the dictionary; a run of letters is
-joined by its substrings to the words that it holds, so a task's search needs no dictionary but each run's own. Odds are
+Both tables of counts stay on Spark and are whole. All words of two letters or more enter the dictionary; a run of letters is
+joined by its substrings, of the lengths that the dictionary has, to the words that it holds, so a task's search needs no dictionary but each run's own. Odds are
 joined to the pages' words and added up by page. The joins' left sides repeat common runs and words: plain sort-merge joins
 with one row a key on the right, which AQE may split. Only sums and class counts reach the driver.
 
@@ -36,7 +36,6 @@ from sessionlens.llm.common import ascii_lower, own_columns, written
 
 #: (verdict, rule) in any order.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-MAX_WORD = 20
 #: Rows that leave a task at a time.
 ROWS = 50_000
 _LETTERS = np.zeros(256, bool)
@@ -74,7 +73,7 @@ def _word_counts() -> Callable:
             for _, _, data, offsets in tv.slices(batch.column("text"), 4 << 20):
                 w = tv.words(data, offsets, _LETTERS)
                 size = w.end - w.start
-                ok = np.flatnonzero((size >= 2) & (size <= MAX_WORD))
+                ok = np.flatnonzero(size >= 2)
                 _, at, n = np.unique(w.hash[ok], return_index=True, return_counts=True)
                 low = tv._LOWER[data].tobytes()
                 words = [low[a:b].decode() for a, b in zip(w.start[ok][at].tolist(), w.end[ok][at].tolist(), strict=True)]
@@ -88,17 +87,19 @@ def dictionary(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_word_counts(), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def segment(run: str, log_p: dict[str, float], max_word: int = MAX_WORD) -> list[str]:
+def segment(run: str, log_p: dict[str, float]) -> list[str]:
     """The likeliest split of a run of letters into words; log_p[""] is the base cost of an unknown word."""
-    best, cut = [0.0], [0]
     unknown, letter = log_p[""], math.log(10)
+    lengths = sorted({len(w) for w in log_p if w}, reverse=True)
+    best, cut = [0.0], [0]
+    lost, since = -math.inf, 0  # the best split that ends in an unknown word, and where that word starts
     for j in range(1, len(run) + 1):
-        top, at = -math.inf, j - 1
-        for i in range(max(0, j - max_word), j):
-            p = log_p.get(run[i:j])
-            score = best[i] + (p if p is not None else unknown - letter * (j - i))
-            if score > top:
-                top, at = score, i
+        lost, since = max((lost - letter, since), (best[j - 1] + unknown - letter, j - 1), key=lambda x: x[0])
+        top, at = lost, since
+        for n in lengths:
+            p = log_p.get(run[j - n : j]) if n <= j else None
+            if p is not None and best[j - n] + p > top:
+                top, at = best[j - n] + p, j - n
         best.append(top)
         cut.append(at)
     out, j = [], len(run)
@@ -123,8 +124,8 @@ def _parts() -> Callable:
     return run
 
 
-def _substrings() -> Callable:
-    """rid, run -> rid, word: its substrings of 2 to MAX_WORD letters, repeats included."""
+def _substrings(lengths: list[int]) -> Callable:
+    """rid, run -> rid, word: its substrings of the given lengths, repeats included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rid: list[int] = []
@@ -133,7 +134,7 @@ def _substrings() -> Callable:
         for batch in batches:
             for own, name in zip(batch.column("rid").to_pylist(), batch.column("run").to_pylist(), strict=True):
                 for i in range(len(name) - 1):
-                    ends = range(i + 2, min(i + MAX_WORD, len(name)) + 1)
+                    ends = [i + n for n in lengths if i + n <= len(name)]
                     rid += [own] * len(ends)
                     words += [name[i:j] for j in ends]
                     if len(words) >= ROWS:
@@ -159,9 +160,10 @@ def _segmented(total: int) -> Callable:
 
 def segmented(runs: DataFrame, counts: DataFrame) -> DataFrame:
     """run, words of distinct runs of letters, by all words of counts (word, n)."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    by_length = counts.groupBy(F.length("word").alias("length")).agg(F.sum("n").alias("n")).collect()  # a row a length of words
+    total, lengths = sum(r.n for r in by_length), sorted(r.length for r in by_length)
     runs = written(runs.withColumn("rid", F.monotonically_increasing_id()), "runs")
-    found = runs.select("rid", "run").mapInArrow(_substrings(), "rid long, word string").join(counts, "word")
+    found = runs.select("rid", "run").mapInArrow(_substrings(lengths), "rid long, word string").join(counts, "word")
     own = runs.join(found.groupBy("rid").agg(F.collect_set(F.struct("word", "n")).alias("own")), "rid", "left").select("run", "own")
     return own.mapInArrow(_segmented(total), "run string, words array<string>")
 

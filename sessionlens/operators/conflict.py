@@ -7,7 +7,7 @@ previous record without A or B. A and B leave the clean records, C and D stay an
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.operators.fold import ordered_fold
@@ -25,28 +25,49 @@ def mark_a(records: DataFrame, seq: str = "seq") -> DataFrame:
     return records.withColumn("is_a", (F.col("acct_status_type") != "Start") & differs)
 
 
-def mark_b(records: DataFrame, seq: str = "seq") -> DataFrame:
-    """records with is_a plus is_b: one slot for an open session an imsi.
+def overlaps(records: DataFrame, seq: str = "seq") -> DataFrame:
+    """imsi and __pos of every Start of another session while the imsi has one open. records: with is_a.
 
-    Only Starts and Stops without A count. Where an imsi's Starts and Stops take turns, each Stop that of the session before
-    it, nothing overlaps; only the others' Starts and Stops are folded.
+    A Start may be open until the next Stop of its session. Where no Start before may still be open, the slot is empty
+    whatever came before; so an imsi's history is cut there, by a running maximum, and only pieces with Starts of several
+    sessions are folded, each by itself.
     """
+    status = F.col("acct_status_type")
+    rows = records.where(~F.col("is_a") & status.isin("Start", "Stop") & F.col("imsi").isNotNull())
+    rows = rows.select("imsi", F.col("acct_session_id").alias("session"), (status == "Start").alias("start"), _position(seq).alias("pos"))
+    after = Window.partitionBy("imsi", "session").orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1)
+    stop = F.last(F.when(~F.col("start"), F.col("pos")), ignorenulls=True).over(after)
+    never = F.struct(F.lit(2).alias("late"), F.col("pos.at"), F.col("pos.seq"))
+    rows = rows.withColumn("open_to", F.when(F.col("start"), F.coalesce(stop, never)))
+    own = Window.partitionBy("imsi").orderBy("pos")
+    reach = F.max("open_to").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("new", reach.isNull() | (reach < F.col("pos")))
+    rows = rows.withColumn("piece", F.last(F.when(F.col("new"), F.col("pos")), ignorenulls=True).over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    started = F.when(F.col("start"), F.col("session"))
+    pieces = rows.groupBy("imsi", "piece").agg(F.min(started).alias("a"), F.max(started).alias("b"), F.array_sort(F.collect_list(F.struct("pos", "start", "session"))).alias("events"))
 
-    def step(open_session: str | None, row: tuple) -> tuple[str | None, bool]:
-        session, status = row
-        if status == "Start":
-            return (session, False) if open_session is None else (open_session, open_session != session)
-        return (None if open_session == session else open_session), False
+    def step(slot: Column, x: Column) -> Column:
+        return F.when(x.start, F.coalesce(slot, x.session)).when(slot == x.session, F.lit(None)).otherwise(slot)
 
-    status = F.col("acct_status_type")
-    timed = records.withColumn("__late", F.col("event_ts").isNull()).withColumn("__counts", ~F.col("is_a") & status.isin("Start", "Stop"))
-    own = Window.partitionBy("imsi", "__counts")
-    order = own.orderBy("__late", "event_ts", seq)
-    turn = F.when(F.row_number().over(order) % 2 == 1, status == "Start").otherwise((status == "Stop") & F.col("acct_session_id").eqNullSafe(F.lag("acct_session_id").over(order)))
-    timed = timed.withColumn("__turn", turn).withColumn("__calm", F.min("__turn").over(own))
-    timed = timed.withColumn("is_b", F.when(~F.col("__counts") | F.col("__calm"), F.lit(False)))
-    folded = ordered_fold(timed.where("is_b IS NULL"), ["imsi", "__counts"], ["__late", "event_ts", seq], ["acct_session_id", "acct_status_type"], "is_b", step)
-    return timed.where("is_b IS NOT NULL").unionByName(folded).drop("__late", "__counts", "__turn", "__calm")
+    found = ordered_fold(F.col("events"), F.lit(None).cast("string"), step, lambda slot, x: F.when(x.start & (slot != x.session), x.pos), rows.schema["pos"].dataType.simpleString())
+    return pieces.where("a <> b").select("imsi", F.explode(found).alias("__pos"))
+
+
+def _position(seq: str) -> Column:
+    """Sorts as records without a time last, then by time and arrival."""
+    return F.struct(F.col("event_ts").isNull().cast("int").alias("late"), F.coalesce(F.unix_micros("event_ts"), F.lit(0).cast("bigint")).alias("at"), F.col(seq).alias("seq"))
+
+
+def mark_b(records: DataFrame, seq: str = "seq") -> DataFrame:
+    """records with is_a plus is_b: one slot for an open session an imsi; only Starts and Stops without A count.
+
+    records are read twice: give a table, or the plan runs twice.
+    """
+    found = overlaps(records, seq).select("imsi", F.col("__pos.late").alias("__late"), F.col("__pos.at").alias("__at"), F.col("__pos.seq").alias("__seq"), F.lit(True).alias("__b"))
+    own = records.withColumn("__p", _position(seq)).select("*", F.col("__p.late").alias("__late"), F.col("__p.at").alias("__at"), F.col("__p.seq").alias("__seq"))
+    out = own.join(found, ["imsi", "__late", "__at", "__seq"], "left")
+    is_b = F.col("__b").isNotNull() & ~F.col("is_a") & (F.col("acct_status_type") == "Start")
+    return out.withColumn("is_b", is_b).select(*[records[c] for c in records.columns], "is_b")
 
 
 def mark_cd(records: DataFrame, seq: str = "seq") -> DataFrame:

@@ -12,30 +12,42 @@ TTL = 3600
 REASON = "LATE_DUPLICATE_LONG_TERM"
 
 
+def accepted_times(records: DataFrame, ttl: int = TTL) -> DataFrame:
+    """The key and at (epoch seconds) of every accepted record: the first of a key, then each first one more than ttl after.
+
+    Accepted times are more than ttl apart, so a bucket of ttl + 1 seconds holds one at most, and it depends on nothing but
+    the one before. Rows meet by key and bucket (map-side first), never by key: of a key only its distinct seconds travel on,
+    four bytes each, in one array a bucket, and one fold a key goes from bucket to bucket.
+    """
+    width = ttl + 1
+    at = F.unix_seconds("event_ts")
+    bucket = F.floor(at / width)
+    offset = (at - bucket * width).cast("int")
+    seconds = records.where(at.isNotNull()).groupBy(*KEY, bucket.alias("bucket")).agg(F.array_sort(F.collect_set(offset)).alias("offsets"))
+    history = seconds.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("bucket", "offsets"))).alias("history"))
+
+    def first(last: Column, x: Column) -> Column:
+        """The bucket's first time that is late enough, if any."""
+        base = x.bucket * width
+        return base + F.array_min(F.filter(x.offsets, lambda o: last.isNull() | (base + o >= last + width)))
+
+    times = ordered_fold(F.col("history"), F.lit(None).cast("bigint"), lambda last, x: F.coalesce(first(last, x), last), first, "bigint")
+    return history.select(*KEY, F.explode(times).alias("at"))
+
+
 def mark_ttl(records: DataFrame, ttl: int = TTL, seq: str = "seq") -> DataFrame:
     """records plus is_duplicate: not more than ttl seconds after the last accepted record of its key, in order of event time.
 
-    A duplicate does not move the last accepted time. A record without a readable time is accepted and changes nothing.
-
-    Records with no more than ttl between neighbours are a burst. Its first record is accepted, as the last accepted one is
-    no later than the record before; what follows within ttl of it are duplicates. Only a burst's later records depend on
-    each other, so only these are folded, from the burst's start on.
+    A duplicate does not move the last accepted time. A record without a readable time, or with a null in its key, is accepted
+    and changes nothing. records are read twice: give a table, or the plan runs twice.
     """
-
-    def step(last: int | None, row: tuple) -> tuple[int, bool]:
-        at, burst = row
-        last = burst if last is None else last
-        return (last, True) if at - last <= ttl else (at, False)
-
-    timed = records.withColumn("__at", F.unix_seconds("event_ts"))
-    order = Window.partitionBy(*KEY).orderBy("__at", seq)
-    at, before = F.col("__at"), F.lag("__at").over(order)
-    timed = timed.withColumn("__first", at.isNotNull() & (before.isNull() | (at - before > ttl)))
-    timed = timed.withColumn("__burst", F.last(F.when(F.col("__first"), at), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    settled = F.when(at.isNull() | F.col("__first"), F.lit(False)).when(at - F.col("__burst") <= ttl, F.lit(True))
-    timed = timed.withColumn("is_duplicate", settled)
-    folded = ordered_fold(timed.where("is_duplicate IS NULL"), [*KEY, "__burst"], ["__at", seq], ["__at", "__burst"], "is_duplicate", step)
-    return timed.where("is_duplicate IS NOT NULL").unionByName(folded).drop("__at", "__first", "__burst")
+    own = records.withColumn("__at", F.unix_seconds("event_ts"))
+    rank = F.row_number().over(Window.partitionBy(*KEY, "__at").orderBy(seq))
+    own = own.withColumn("__rank", rank)
+    times = accepted_times(records, ttl).withColumnRenamed("at", "__at").withColumn("__accepted", F.lit(True))
+    counts = F.col("__at").isNotNull() & F.col(KEY[0]).isNotNull() & F.col(KEY[1]).isNotNull()
+    first = F.col("__accepted").isNotNull() & (F.col("__rank") == 1)
+    return own.join(times, [*KEY, "__at"], "left").withColumn("is_duplicate", counts & ~first).select(*[records[c] for c in records.columns], "is_duplicate")
 
 
 def drop_ttl(records: DataFrame, ttl: int = TTL, seq: str = "seq") -> DataFrame:

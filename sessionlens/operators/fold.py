@@ -1,37 +1,31 @@
-"""Ordered folds: a state machine over each key's rows in order, for the few rows whose rule no window frame can express.
+"""Ordered folds in the JVM: a state machine over a sorted array, for rules that no window frame can express.
 
-Callers settle what windows can settle and send only contested rows. These come as the window left them: whole keys in one
-partition, sorted there (Spark spills). They stream through the machine an Arrow batch at a time; a task holds one state and
-one batch, whatever a key's number of rows.
+Callers cut a key's history first where its state is known whatever came before, so an array holds what depends on each
+other and no more. What a fold gives is gathered CHUNK items at a time, so long arrays aren't copied item by item.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from typing import Any
+from collections.abc import Callable
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
+CHUNK = 256
 
-def ordered_fold(rows: DataFrame, key: list[str], order: list[str], inputs: list[str], flag: str, step: Callable[[Any, tuple], tuple[Any, bool]]) -> DataFrame:
-    """rows with the boolean column flag filled in. step(state, inputs of a row) -> (new state, flag); a key starts at state None.
 
-    rows come from a window partitioned by key, or by some of its columns.
-    """
+def ordered_fold(items: Column, start: Column, step: Callable[[Column, Column], Column], give: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What give(state, item) returns that isn't null (of type kind), in order; each item turns the state to step(state, item)."""
+    none = F.array().cast(f"array<{kind}>")
+    both = lambda state, out: F.struct(state.alias("state"), out.alias("out"))
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / CHUNK).cast("int")), lambda i: F.slice(items, i * CHUNK + 1, F.lit(CHUNK)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, state = None, None
-        for batch in batches:
-            flags = []
-            keys = zip(*(batch.column(c).to_pylist() for c in key), strict=True)
-            values = zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)
-            for k, v in zip(keys, values, strict=True):
-                if k != last:
-                    last, state = k, None
-                state, out = step(state, v)
-                flags.append(out)
-            place = batch.schema.get_field_index(flag)
-            yield batch.set_column(place, pa.field(flag, pa.bool_()), pa.array(flags, pa.bool_()))
+    def one(acc: Column, item: Column) -> Column:
+        given = F.filter(F.array(give(acc.state, item)), lambda x: x.isNotNull())
+        return both(step(acc.state, item), F.concat(acc.out, given))
 
-    return rows.sortWithinPartitions(*key, *order).mapInArrow(run, rows.schema)
+    def some(acc: Column, chunk: Column) -> Column:
+        folded = F.aggregate(chunk, both(acc.state, none), one)
+        return F.transform(F.array(folded), lambda x: both(x.state, F.concat(acc.out, x.out)))[0]  # folded once
+
+    return F.aggregate(chunks, both(start, none), some).out

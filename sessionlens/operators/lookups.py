@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import E164_PLAN, trimmed
+from sessionlens.sources.files import delete, materialised
 
-#: Rows from a list's start that a page may end at.
-DEEPEST = 1_000_000
+#: Rows from a list's start up to which a page is a plain top-k; further ones go by the index of ranks.
+SHALLOW = 10_000
 
 
 def number_plan(df: DataFrame, number: str, countries: DataFrame, prefixes: DataFrame) -> DataFrame:
@@ -59,10 +60,14 @@ def batch_lookup(requests: DataFrame, key: str, table: DataFrame, table_key: str
     return out.drop("__found", "__key")
 
 
-def lookup_totals(looked_up: DataFrame, requests: DataFrame, key: str) -> DataFrame:
-    """AGG-10: total counts the request's rows, repeats too; found and not_found are such rows. looked_up has a row or more a key."""
-    asked = requests.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    both = asked.join(looked_up.select(key, "found").distinct(), key)
+def lookup_totals(looked_up: DataFrame, requests: DataFrame, *keys: str) -> DataFrame:
+    """AGG-10: total counts the request's rows, repeats too; found and not_found are such rows. looked_up has a row or more a key.
+
+    Both sides are added up by key before they meet; a null key meets a null key.
+    """
+    asked = requests.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("f"))
+    known = looked_up.groupBy(*keys).agg(F.lit(0).cast("long").alias("n"), F.max("found").alias("f"))
+    both = asked.unionByName(known).groupBy(*keys).agg(F.sum("n").alias("n"), F.max("f").alias("found"))
     count = lambda which: F.coalesce(F.sum(F.when(which, F.col("n"))), F.lit(0)).cast("long")
     return both.agg(count(F.lit(True)).alias("total"), count(F.col("found")).alias("found"), count(~F.col("found")).alias("not_found"))
 
@@ -103,22 +108,50 @@ def tac_lookup(requests: DataFrame, tac: DataFrame) -> DataFrame:
     return looked.withColumn("http_status", status).drop("__found")
 
 
+class Ranked:
+    """A list in order, stored by rank, so that any page is a read of its own rows.
+
+    Rows are dealt by range of the order and sorted there; a row's number is its range and its place in it, which is also how
+    the files are sorted. Counts a range (one row a partition) turn a rank into numbers, and the scan skips what lies outside.
+    """
+
+    def __init__(self, rows: DataFrame, order: list[str], parts: int | None = None) -> None:
+        spark = rows.sparkSession
+        dealt = rows.repartitionByRange(*([parts] if parts else []), *order).sortWithinPartitions(*order)
+        self.rows = materialised(dealt.withColumn("__at", F.monotonically_increasing_id()), "ranked")
+        counts = self.rows.groupBy(F.shiftright("__at", 33).alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()
+        self.counts = [(r.part, r.n) for r in sorted(counts)]
+        self.total = sum(n for _, n in self.counts)
+        self.delete = lambda: delete(spark, self.rows.scratch_path)
+
+    def between(self, first: int, after: int) -> DataFrame:
+        """The rows of ranks first to after - 1 (from 0)."""
+        wanted, before = F.lit(False), 0
+        for part, n in self.counts:
+            lo, hi = max(first - before, 0), min(after - before, n)
+            if lo < hi:
+                wanted = wanted | F.col("__at").between((part << 33) + lo, (part << 33) + hi - 1)
+            before += n
+        return self.rows.where(wanted).drop("__at")
+
+
 def page(rows: DataFrame, order: list[str], page_number: int = 1, page_size: int = 50, filters: dict[str, str] | None = None) -> DataFrame:
     """LKP-5, LKP-6: a page of the rows that match the filters (case-insensitive), with total and pages on each row.
 
-    Sorting stops at the page's last row (a top-k), so no task sorts or numbers the whole table. That holds up to DEEPEST
-    rows; to go on from there, filter on the last page's keys, which pages by key at any depth.
+    Up to SHALLOW rows a page is a top-k. Beyond, the list is ranked, at any depth; who asks for many pages keeps a Ranked.
     """
     if page_number < 1 or not 1 <= page_size <= 200:
         raise ValueError("page >= 1 and 1 <= page_size <= 200")
-    if page_number * page_size > DEEPEST:
-        raise ValueError(f"page by key beyond {DEEPEST} rows")
     for c, value in (filters or {}).items():
         if value is not None:
             rows = rows.where(F.lower(c) == value.lower())
-    total = rows.agg(F.count(F.lit(1)).alias("total")).withColumn("pages", F.ceil(F.col("total") / page_size).cast("long"))
-    part = rows.orderBy(*order).offset((page_number - 1) * page_size).limit(page_size)
-    return part.join(F.broadcast(total))  # one row
+    first, after = (page_number - 1) * page_size, page_number * page_size
+    pages = lambda total: F.ceil(total / page_size).cast("long")
+    if after > SHALLOW:
+        ranked = Ranked(rows, order)
+        return ranked.between(first, after).withColumn("total", F.lit(ranked.total).cast("long")).withColumn("pages", pages(F.col("total")))
+    total = rows.agg(F.count(F.lit(1)).alias("total")).withColumn("pages", pages(F.col("total")))
+    return rows.orderBy(*order).offset(first).limit(page_size).join(F.broadcast(total))  # one row
 
 
 def identity_history(rows: DataFrame, key: str, value: str, at: str) -> DataFrame:

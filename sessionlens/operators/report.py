@@ -45,6 +45,28 @@ def missing_top(invalid: DataFrame, n: int = 5) -> DataFrame:
     return own.groupBy("details").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "details").limit(n)
 
 
+#: Counts that batches keep and a report adds up (AGG-1 to AGG-6): name, and which rows count.
+COUNTED = {
+    "kept": lambda: F.lit(True),
+    "clean": lambda: ~F.col("is_a") & ~F.col("is_b"),
+    "type_a": lambda: F.col("is_a"),
+    "type_b": lambda: F.col("is_b") & ~F.col("is_a"),
+    "swaps_c": lambda: F.col("is_c"),
+    "swaps_d": lambda: F.col("is_d"),
+}
+
+
+def batch_counts(marked: DataFrame) -> DataFrame:
+    """day (of arrival), name, n: what a batch adds to the report, a few rows."""
+    names = F.explode(F.filter(F.array(*[F.when(which(), F.lit(k)) for k, which in COUNTED.items()]), lambda x: x.isNotNull())).alias("name")
+    return marked.select(F.to_date("ingest_ts").alias("day"), names).groupBy("day", "name").agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_counts(partial: DataFrame) -> DataFrame:
+    """The batches' counts added up; the same as batch_counts of all their records together."""
+    return partial.groupBy("day", "name").agg(F.sum("n").alias("n"))
+
+
 PAGE = Template("<!DOCTYPE html><html><head><meta charset='utf-8'><title>Data quality</title></head><body><h1>Data quality</h1>$sections</body></html>")
 
 

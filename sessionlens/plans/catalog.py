@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import epoch, tac_of
-from sessionlens.operators import conflict, dedup, late, lookups, report, serve, validate
+from sessionlens.operators import dedup, keystore, late, lookups, report, serve, validate
 from sessionlens.plans import oracle
 from sessionlens.plans import pipeline as chain
 from sessionlens.sources import files, projection, sinks
@@ -70,7 +70,7 @@ def late_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.mark_ttl(_valid(spark, sf_dir)).select("seq", "is_duplicate")
+    return dedup.mark_ttl(files.materialised(_valid(spark, sf_dir), "valid")).select("seq", "is_duplicate")
 
 
 def dedup_long_term(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,12 +125,12 @@ def _swap_query(kind: str, date: bool) -> Query:
 
 
 def active_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = dedup.drop_ttl(_valid(spark, sf_dir))
+    sessions = dedup.drop_ttl(files.materialised(_valid(spark, sf_dir), "valid"))
     return serve.active_sessions(sessions, _as_of()).select("seq", "msisdn", F.col("acct_session_id").alias("sess"), epoch(F.col("event_ts")).alias("ev"))
 
 
 def number_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sessions = dedup.drop_ttl(_valid(spark, sf_dir))
+    sessions = dedup.drop_ttl(files.materialised(_valid(spark, sf_dir), "valid"))
     return serve.number_verify(_requests(spark, sf_dir), sessions, _as_of()).select("request_id", "phone", "request_error", "verified")
 
 
@@ -154,6 +154,7 @@ def csv_chain_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = files.scratch_folder(spark, "csv")
     sinks.write_csv(raw.orderBy("seq"), folder)
     out = chain.process(files.read_csv(spark, folder), projection.dims(spark, sf_dir), projection.sim_history(spark, sf_dir), projection.device_history(spark, sf_dir))
+    files.delete(spark, folder)
     return chain.counts(out)
 
 
@@ -191,6 +192,38 @@ def subscriber_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookups.subscriber_batch(_subscriber_requests(spark, sf_dir), profiles.withColumn("at", F.col("assigned_at")), ["at"])
 
 
+def subscriber_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of requests of two key types, every fourth asked twice: how many rows were found."""
+    asked = _subscriber_requests(spark, sf_dir)
+    requests = asked.unionByName(asked.where("request_id % 4 = 0"))
+    profiles = projection.sim_history(spark, sf_dir).withColumn("at", F.col("assigned_at"))
+    return lookups.lookup_totals(lookups.subscriber_batch(requests, profiles, ["at"]), requests, "type", "value")
+
+
+def order_page_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page in the middle of all orders by date, wherever that is, by rank."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", epoch(F.col("o_orderdate").cast("timestamp")).alias("at"))
+    ranked = lookups.Ranked(orders, ["at", "o_orderkey"])
+    first = ranked.total // 2
+    return ranked.between(first, first + 50).select("o_orderkey", "o_custkey", "at", F.lit(ranked.total).cast("long").alias("total"))
+
+
+def dedup_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs over one key store: the odd records after the even ones, whose keys the store has."""
+    records = files.materialised(_valid(spark, sf_dir), "valid")
+    path = files.scratch_folder(spark, "keys")
+    store = keystore.KeyStore(spark, f"keys_{path.rpartition('-')[2]}", path, max(8, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    store.add(dedup.new_keys(dedup.mark_long_term(records.where("seq % 2 = 0"))))
+    return dedup.mark_long_term(records.where("seq % 2 = 1"), store.keys()).select("seq", "is_duplicate")
+
+
+def rpt_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's counts from three parts' partial counts, each part kept apart until the last step."""
+    marked = _outputs(spark, sf_dir).marked
+    part = lambda k: report.batch_counts(marked.where(F.col("seq") % 3 == k))
+    return report.merged_counts(part(0).unionByName(part(1)).unionByName(part(2))).withColumn("day", epoch(F.col("day").cast("timestamp")))
+
+
 def rpt_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _outputs(spark, sf_dir)
     return report.with_rate(report.conflict_section(out.conflicts), out.stored)
@@ -256,7 +289,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (
         val_first_error, val_error_counts, e164_plan, late_split, late_buckets, dedup_ttl, dedup_long_term, dup_log, conflict_log_rows, identity_history, msisdn_history, latest_profile, swap_verified,
-        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, chain_duplicates, csv_chain_counts, e164_totals, history_batch, history_batch_totals, subscriber_batch, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
+        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, chain_duplicates, csv_chain_counts, e164_totals, history_batch, history_batch_totals, subscriber_batch, subscriber_totals, order_page_deep, dedup_seen, rpt_batch_counts, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
     )
     return {f.__name__: f for f in own} | {
         "conflict_a": _conflict("is_a", "acct_session_id", "imsi", "msisdn"),

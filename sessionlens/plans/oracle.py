@@ -138,6 +138,12 @@ QUERIES = {
     "subscriber_batch": SWAP_CHAIN + f""", q AS (SELECT c_custkey AS request_id, CASE c_custkey % 3 WHEN 0 THEN 'imsi' WHEN 1 THEN 'msisdn' ELSE 'email' END AS type, CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS who FROM customer),
 q1 AS (SELECT request_id, type, CASE WHEN type = 'imsi' THEN '452010' || {PADDED.format("who", 9)} ELSE '+8497' || {PADDED.format("who", 7)} END AS value FROM q)
 SELECT q1.*, p.msisdn IS NOT NULL AS found, p.msisdn, p.imsi, p."at" AS assigned_at FROM q1 LEFT JOIN LATERAL (SELECT * FROM sim WHERE (q1.type = 'imsi' AND sim.imsi = q1.value) OR (q1.type = 'msisdn' AND sim.msisdn = q1.value) ORDER BY "at" DESC LIMIT 1) p ON true""",
+    "subscriber_totals": """WITH q AS (SELECT CASE c_custkey % 3 WHEN 0 THEN 'imsi' WHEN 1 THEN 'msisdn' ELSE 'email' END AS type, c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 1 END AS n FROM customer),
+f AS (SELECT n, CASE type WHEN 'email' THEN false WHEN 'msisdn' THEN k % 7 <> 0 ELSE k % 7 <> 0 END AS found FROM q)
+SELECT CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (WHERE found), 0) AS BIGINT) AS found, CAST(coalesce(sum(n) FILTER (WHERE NOT found), 0) AS BIGINT) AS not_found FROM f""",
+    "order_page_deep": "SELECT o_orderkey, o_custkey, epoch(o_orderdate)::BIGINT AS \"at\", (SELECT count(*) FROM orders) AS total FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 50 OFFSET (SELECT count(*) // 2 FROM orders)",
+    "dedup_seen": _with(BASE) + "SELECT seq, r > 1 OR (sess, status) IN (SELECT (sess, status) FROM ok WHERE seq % 2 = 0) AS is_duplicate FROM (SELECT *, row_number() OVER (PARTITION BY sess, status ORDER BY ev, seq) AS r FROM ok WHERE seq % 2 = 1)",
+    "rpt_batch_counts": CHAIN + ", k AS (SELECT ing - ing % 86400 AS day, unnest(['kept', CASE WHEN NOT is_a AND NOT is_b THEN 'clean' END, CASE WHEN is_a THEN 'type_a' END, CASE WHEN is_b AND NOT is_a THEN 'type_b' END, CASE WHEN is_c THEN 'swaps_c' END, CASE WHEN is_d THEN 'swaps_d' END]) AS name FROM cm) SELECT day, name, count(*) AS n FROM k WHERE name IS NOT NULL GROUP BY ALL",
     "rpt_conflict": CHAIN + f"SELECT type_a, type_b, type_c, total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) FILTER (WHERE is_a) AS type_a, count(*) FILTER (WHERE is_b AND NOT is_a) AS type_b, 0::BIGINT AS type_c, count(*) FILTER (WHERE is_a OR is_b) AS total, count(DISTINCT (sess, status)) FILTER (WHERE NOT is_a AND NOT is_b) AS stored FROM cm)",
     "rpt_late": CHAIN + f"SELECT total, {_rate('total', 'stored')} AS rate FROM (SELECT count(*) AS total FROM val WHERE error = 'ERR_LATE_ARRIVAL'), (SELECT count(DISTINCT (sess, status)) AS stored FROM cm WHERE NOT is_a AND NOT is_b)",
     "rpt_missing_top5": _with(BASE) + "SELECT CASE WHEN msisdn = '' THEN 'msisdn is required' ELSE 'event_timestamp is required' END AS details, count(*) AS n FROM val WHERE error = 'ERR_MISSING_FIELD' GROUP BY 1",

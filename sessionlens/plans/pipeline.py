@@ -1,4 +1,8 @@
-"""The whole chain as one plan: normalise, validate, late, duplicates, conflicts, swaps, long-term duplicates; and its outputs."""
+"""The whole chain: normalise, validate, late, duplicates, conflicts, swaps, long-term duplicates; and its outputs.
+
+Two tables are written on the way, the annotated records and the marked ones, as all outputs read one or both: the rules'
+joins run once, whatever is asked for.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sessionlens.operators import conflict, dedup, late, report, swap, validate
+from sessionlens.sources.files import delete, materialised
 
 
 @dataclass(frozen=True)
@@ -22,6 +27,11 @@ class Outputs:
     stored: DataFrame
     repeated: DataFrame
 
+    def delete(self) -> None:
+        """Deletes the tables that the outputs read, once these are written elsewhere."""
+        for table in (self.annotated, self.marked):
+            delete(table.sparkSession, table.scratch_path)
+
     def duplicate_log(self, detected_at: Column) -> DataFrame:
         return dedup.duplicate_log(self.repeated.withColumn("is_duplicate", F.lit(True)), detected_at)
 
@@ -36,10 +46,11 @@ class Outputs:
 
 
 def process(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, ttl: int = dedup.TTL, late_after: int = late.THRESHOLD, seen: DataFrame | None = None) -> Outputs:
-    """raw: the raw columns and seq, as readers give them; seen: keys stored before (acct_session_id, acct_status_type). Nothing runs yet."""
-    annotated = late.mark_late(validate.annotate(validate.normalised(raw), dims), late_after)
-    once = dedup.drop_ttl(validate.valid(annotated), ttl)
-    marked = conflict.mark_conflicts(once)
+    """raw: the raw columns and seq, as readers give them; seen: keys stored before (acct_session_id, acct_status_type)."""
+    annotated = materialised(late.mark_late(validate.annotate(validate.normalised(raw), dims), late_after), "annotated")
+    once = materialised(conflict.mark_a(dedup.drop_ttl(validate.valid(annotated), ttl)), "once")
+    marked = materialised(conflict.mark_cd(conflict.mark_b(once)), "marked")
+    delete(raw.sparkSession, once.scratch_path)
     clean = conflict.clean(marked)
     kept = dedup.mark_long_term(clean, seen)
     stored, repeated = (kept.where(x).drop("is_duplicate") for x in (~F.col("is_duplicate"), F.col("is_duplicate")))
@@ -47,7 +58,7 @@ def process(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_
 
 
 def counts(out: Outputs) -> DataFrame:
-    """AGG-12: one row a stage. The two scans share no work; Spark reuses their exchanges where plans agree."""
+    """AGG-12: one row a stage, from the two tables."""
     marked = out.marked
     flags = marked.agg(F.count(F.lit(1)).alias("deduplicated"), F.count_if(~F.col("is_a") & ~F.col("is_b")).alias("clean"), F.count_if(F.col("is_a") | F.col("is_b")).alias("conflict_ab"), F.count_if("is_c").alias("conflict_c"), F.count_if("is_d").alias("conflict_d"))
     code = F.col("error_code")

@@ -54,12 +54,27 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """A new folder in the one that driver and executors share (spark.checkpoint.dir; a temporary one in local runs without it)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="sessionlens-")
     return f"{path.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def materialised(df: DataFrame, label: str) -> DataFrame:
+    """df as a table in the shared folder: what reads it more than once doesn't run its plan again, and lost executors reread it."""
+    spark, path = df.sparkSession, scratch_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder or file through Hadoop's file systems."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def topic_options(servers: str, topic: str, max_offsets: int | None = 20_000) -> dict[str, str]:
     """SRC-3, SRC-4: options of a topic source: from the earliest offset, going on over lost data, so many offsets a trigger."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false", "kafka.metadata.max.age.ms": "10000"}

@@ -17,10 +17,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from sessionlens.operators import conflict, dedup, late, swap, validate
+from sessionlens.operators import conflict, dedup, late, report, swap, validate
 from sessionlens.schemas import CLEAN
-from sessionlens.sources.files import decode
+from sessionlens.sources.files import decode, delete, materialised
 from sessionlens.sources.sinks import clean_projection, to_messages, write_clean
+from sessionlens.streaming.commits import CommitLog, Snapshots, at_batch
 
 
 class LastAccepted(StatefulProcessor):
@@ -38,19 +39,22 @@ class LastAccepted(StatefulProcessor):
         self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]), self.keep_ms)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["event_epoch", self.order], na_position="last")
         last = before = self.last.get()[0] if self.last.exists() else None
+        held: pd.DataFrame | None = None
+        for pdf in rows:
+            untimed = pdf["event_epoch"].isna()
+            yield pdf[untimed]
+            # Of equal times only the first in order can be accepted, so a key's distinct seconds are held and no more.
+            held = pd.concat([x for x in (held, pdf[~untimed]) if x is not None]).sort_values(["event_epoch", self.order]).drop_duplicates("event_epoch")
         keep = []
-        for at in pdf["event_epoch"]:
-            if pd.isna(at):
-                keep.append(True)
-                continue
+        for at in held["event_epoch"] if held is not None else []:
             fresh = last is None or at - last > self.ttl
             keep.append(fresh)
             last = int(at) if fresh else last
         if last != before:
             self.last.update((last,))
-        yield pdf[keep]
+        if keep:
+            yield held[keep]
 
     def close(self) -> None:
         pass
@@ -66,11 +70,15 @@ class EverSeen(StatefulProcessor):
         self.seen = handle.getValueState("seen", T.StructType([T.StructField("yes", T.BooleanType())]))
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows)).sort_values(["event_timestamp", self.order], na_position="first")
-        known = self.seen.exists()
-        if not known:
+        known, first = self.seen.exists(), None
+        for pdf in rows:
+            if not known:  # the first row so far is held back
+                pdf = pd.concat([x for x in (first, pdf) if x is not None]).sort_values(["event_timestamp", self.order], na_position="first")
+                first, pdf = pdf.iloc[:1], pdf.iloc[1:]
+            yield pdf.assign(is_duplicate=True)
+        if first is not None:
             self.seen.update((True,))
-        yield pdf.assign(is_duplicate=[known or i > 0 for i in range(len(pdf))])
+            yield first.assign(is_duplicate=False)
 
     def close(self) -> None:
         pass
@@ -88,28 +96,61 @@ def annotated_stream(raw: DataFrame, dims: validate.Dims) -> DataFrame:
     return late.mark_late(validate.annotate(validate.normalised(raw), dims))
 
 
-def batch_writer(path: str, sim_history: DataFrame, device_history: DataFrame) -> Callable[[DataFrame, int], None]:
-    """STR-7: a foreachBatch function with one folder a sink and batch; a repeated batch overwrites its own folders, so each
-    batch counts once. A sink that fails fails the batch: nothing is swallowed, and the batch is run again."""
+def batch_writer(path: str, sim_history: DataFrame | Snapshots, device_history: DataFrame | Snapshots) -> Callable[[DataFrame, int], None]:
+    """STR-7: a foreachBatch function whose sinks appear together, once a batch (see commits). Histories given as Snapshots are
+    read as the batch first met them. A sink that fails fails the batch: nothing is swallowed, and the batch is run again."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marked = conflict.mark_conflicts(batch)
-        folder = f"{path}/marked/batch={batch_id}"
-        marked.write.mode("overwrite").parquet(folder)
-        marked = spark.read.parquet(folder)
-        sinks = {"clean": clean_projection(conflict.clean(marked)), "conflict_log": conflict.conflict_log(marked), "swap_event": swap.swap_events(marked, sim_history, device_history)}
-        for name, rows in sinks.items():
-            rows.write.mode("overwrite").parquet(f"{path}/{name}/batch={batch_id}")
-        to_messages(clean_projection(conflict.clean(marked), "seq")).write.mode("overwrite").json(f"{path}/clean_messages/batch={batch_id}")
+        once = f"{path}/_once/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(once)  # the stream's state moves once; what follows reads the batch several times
+        marked = materialised(conflict.mark_conflicts(spark.read.schema(batch.schema).parquet(once)), "marked")
+        histories = [at_batch(x, "swaps", batch_id) for x in (sim_history, device_history)]
+        rows = {"marked": marked, "clean": clean_projection(conflict.clean(marked)), "conflict_log": conflict.conflict_log(marked), "swap_event": swap.swap_events(marked, *histories), "counts": report.batch_counts(marked)}
+        sinks = {name: df.write.parquet for name, df in rows.items()}
+        sinks["clean_messages"] = to_messages(clean_projection(conflict.clean(marked), "seq")).write.json
+        CommitLog(spark, path).write(batch_id, sinks, streamed=["clean_messages"])
+        delete(spark, once)
+        delete(spark, marked.scratch_path)
 
     return write
 
 
+def check_writer(path: str, dims: dict[str, DataFrame | Snapshots], late_after: int = late.THRESHOLD) -> Callable[[DataFrame, int], None]:
+    """SRC-10: a foreachBatch function that checks raw records against the reference tables as the batch first met them.
+
+    dims: Dims' tables by name. Sinks: invalid_log, and valid records as files that the next stage streams.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = validate.Dims(**{k: at_batch(x, "checks", batch_id) for k, x in dims.items()})
+        annotated = materialised(late.mark_late(validate.annotate(validate.normalised(batch), own), late_after), "annotated")
+        valid = validate.valid(annotated).drop("error_code", "error_details", "warn_code")
+        sinks = {"invalid_log": validate.invalid_log(annotated, F.col("ingest_ts")).write.parquet, "valid": valid.write.parquet}
+        CommitLog(spark, path).write(batch_id, sinks, streamed=["valid"])
+        delete(spark, annotated.scratch_path)
+
+    return write
+
+
+def start_checked(raw: DataFrame, dims: dict[str, DataFrame | Snapshots], path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The first of two stages with pinned reference tables; start_valid is the second."""
+    return raw.writeStream.foreachBatch(check_writer(path, dims)).option("checkpointLocation", f"{checkpoint}/checks").queryName("checks").trigger(**(trigger or {"availableNow": True})).start()
+
+
+def start_valid(spark: SparkSession, path: str, schema: T.StructType, sim_history: DataFrame | Snapshots, device_history: DataFrame | Snapshots, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None) -> StreamingQuery:
+    """Duplicates, conflicts and swaps of what start_checked let through under path. schema: of its valid records."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # see session.py
+    valid = spark.readStream.schema(schema).parquet(f"{path}/valid").drop("batch")
+    return dedup_stream(valid, ttl).drop("event_epoch").writeStream.foreachBatch(batch_writer(path + "/chain", sim_history, device_history)).option("checkpointLocation", f"{checkpoint}/chain").queryName("chain").trigger(**(trigger or {"availableNow": True})).start()
+
+
 def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, path: str, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None) -> list[StreamingQuery]:
     """STR-6, STR-9: two queries, one for invalid records and one for the rest; trigger as in DataStreamWriter.trigger.
 
-    raw: the raw columns and seq, as the stream readers give them. The reference tables are read anew each batch (SRC-10).
+    raw: the raw columns and seq, as the stream readers give them. The reference tables are read anew each batch (SRC-10);
+    start_checked and start_valid pin them.
     """
     trigger = trigger or {"availableNow": True}
     raw.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # see session.py
@@ -126,15 +167,16 @@ def clean_message_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def storage_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """Stored records by month and the log of long-term duplicates. A repeated batch replaces its own folders."""
+    """Stored records by month and the log of long-term duplicates, in a commit log; path is its own."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.persist()
+        spark, once = batch.sparkSession, f"{path}/_keyed/batch={batch_id}"
+        batch.write.mode("overwrite").parquet(once)
+        marked = spark.read.schema(batch.schema).parquet(once)
         stored = marked.where(~F.col("is_duplicate")).select(*CLEAN.fieldNames())
-        write_clean(stored, f"{path}/stored/batch={batch_id}", "overwrite")
         log = dedup.duplicate_log(marked, F.col("ingest_timestamp"))
-        log.write.mode("overwrite").parquet(f"{path}/duplicate_log/batch={batch_id}")
-        marked.unpersist()
+        CommitLog(spark, path).write(batch_id, {"stored": lambda folder: write_clean(stored, folder), "duplicate_log": log.write.parquet})
+        delete(spark, once)
 
     return write
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import epoch, tac_of
-from sessionlens.operators import dedup, keystore, late, lookups, report, serve, validate
+from sessionlens.operators import dedup, keystore, late, lookups, report, serve, serving, validate
 from sessionlens.plans import oracle
 from sessionlens.plans import pipeline as chain
 from sessionlens.sources import files, projection, sinks
@@ -134,6 +134,29 @@ def number_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.number_verify(_requests(spark, sf_dir), sessions, _as_of()).select("request_id", "phone", "request_error", "verified")
 
 
+def _deltas(spark: SparkSession, sf_dir: str, of: Callable[[DataFrame], DataFrame], rows: DataFrame) -> DataFrame:
+    """The deltas of three batches, written and read as a serving table's are."""
+    folder = files.scratch_folder(spark, "deltas")
+    for k in range(3):
+        of(rows.where(F.pmod(F.xxhash64("msisdn", "event"), F.lit(3)) == k).drop("event")).write.mode("append").parquet(folder)
+    return spark.read.parquet(folder)
+
+
+def sim_swap_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The swap check from the serving table: no rule, window or history in its plan."""
+    swaps = files.materialised(_swaps(spark, sf_dir), "swaps")
+    table = serving.latest_swaps(_deltas(spark, sf_dir, serving.latest_swaps, swaps.withColumn("event", F.col("detected_at"))))
+    out = serve.swap_check(_requests(spark, sf_dir), table, "SIM_SWAP", _as_of())
+    return out.select("request_id", "phone", "max_age", "request_error", "swapped", epoch(F.col("latest_change")).alias("latest_change"))
+
+
+def number_verify_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number verification from merged session states."""
+    records = files.materialised(dedup.drop_ttl(files.materialised(_valid(spark, sf_dir), "valid")), "records")
+    table = serving.merged_sessions(_deltas(spark, sf_dir, serving.session_delta, records.withColumn("event", F.col("seq"))))
+    return serving.verified_numbers(_requests(spark, sf_dir), table, _as_of()).select("request_id", "phone", "request_error", "verified")
+
+
 def rpt_imei(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _outputs(spark, sf_dir)
     return report.with_rate(report.imei_section(validate.invalid(out.annotated)), out.stored)
@@ -289,7 +312,7 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     own = (
         val_first_error, val_error_counts, e164_plan, late_split, late_buckets, dedup_ttl, dedup_long_term, dup_log, conflict_log_rows, identity_history, msisdn_history, latest_profile, swap_verified,
-        active_sessions, number_verify, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, chain_duplicates, csv_chain_counts, e164_totals, history_batch, history_batch_totals, subscriber_batch, subscriber_totals, order_page_deep, dedup_seen, rpt_batch_counts, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
+        active_sessions, number_verify, sim_swap_served, number_verify_served, rpt_imei, rpt_duplicates_hourly, rpt_conflict, rpt_late, rpt_missing_top5, chain_duplicates, csv_chain_counts, e164_totals, history_batch, history_batch_totals, subscriber_batch, subscriber_totals, order_page_deep, dedup_seen, rpt_batch_counts, tac_page, tac_batch_lookup, tac_lookup_totals, clean_projection, clean_json, pipeline_counts, gen_sessions,
     )
     return {f.__name__: f for f in own} | {
         "conflict_a": _conflict("is_a", "acct_session_id", "imsi", "msisdn"),

@@ -21,12 +21,12 @@ e1 AS (SELECT seq, u, CASE WHEN wrong IN (0, 3) THEN NULL WHEN wrong = 1 THEN 94
   CASE WHEN wrong = 2 THEN NULL ELSE ev END + CASE WHEN seq % 20 = 3 THEN 3600 WHEN seq % 20 = 5 THEN 3601 WHEN seq % 20 = 7 THEN 10800 ELSE 2 END AS ing,
   CASE WHEN event_type IN ('signup', 'click') THEN 'Start' WHEN event_type = 'purchase' THEN 'Stop' WHEN event_type = 'view' THEN 'Interim-Update' ELSE 'Accounting-On' END AS status,
   'SESS_' || u || '_' || CAST(seq // 300 AS VARCHAR) AS sess,
-  CASE WHEN seq % 211 = 0 THEN '' WHEN seq % 97 = 0 THEN '090abc' WHEN seq % 101 = 0 THEN '+999' || {PADDED.format("u", 8)} WHEN seq % 103 = 0 THEN '+8410' || {PADDED.format("u", 7)} ELSE '+8497' || {PADDED.format("u", 7)} END AS msisdn,
+  CASE WHEN seq % 211 = 0 THEN '' WHEN seq % 97 = 0 THEN '090abc' WHEN seq % 101 = 0 THEN '+999' || {PADDED.format("u", 8)} WHEN seq % 103 = 0 THEN '+3110' || {PADDED.format("u", 7)} ELSE '+3165' || {PADDED.format("u", 7)} END AS msisdn,
   '452010' || {PADDED.format("CASE WHEN seq % 50 = 0 THEN u + 100000 WHEN seq % 37 = 0 THEN (u + 1) % 100 ELSE u END", 9)} AS imsi,
   {PADDED.format("CASE WHEN seq % 41 = 0 THEN 999999 ELSE u % 40 END", 6)} || '00' || {PADDED.format("(u * 7919 + CASE WHEN seq % 43 = 0 THEN 1 ELSE 0 END) % 1000000", 6)} AS body FROM e0),
 rec AS (SELECT *, body || CASE WHEN seq % 53 = 0 THEN CAST((CAST(d AS INTEGER) + 1) % 10 AS VARCHAR) ELSE d END AS imei FROM (SELECT *, {_digits("body")} AS d FROM e1)),
-country(cc, cname) AS (VALUES ('84', 'Vietnam'), ('1', 'USA'), ('44', 'UK'), ('61', 'Australia'), ('81', 'Japan'), ('82', 'Korea')),
-prefix AS (SELECT '84' AS cc, CAST(p AS VARCHAR) AS p FROM (SELECT unnest(range(30, 99)) AS p) UNION ALL VALUES ('1', '202'), ('1', '415'), ('44', '77'), ('44', '78')),
+country(cc, cname) AS (VALUES ('31', 'Netherlands'), ('351', 'Portugal'), ('420', 'Czechia'), ('52', 'Mexico'), ('7', 'Kazakhstan')),
+prefix(cc, p) AS (SELECT '31', CAST(60 + i AS VARCHAR) FROM range(1, 10) AS r(i) UNION ALL VALUES ('351', '91'), ('420', '601'), ('420', '777'), ('7', '70')),
 num AS (SELECT DISTINCT msisdn FROM rec),
 num1 AS (SELECT msisdn, CASE WHEN regexp_full_match(msisdn, '\\+[0-9]{{10,15}}') THEN substr(msisdn, 2) END AS n FROM num),
 num2 AS (SELECT msisdn, n, (SELECT cc FROM country WHERE starts_with(n, cc) ORDER BY length(cc) LIMIT 1) AS cc FROM num1),
@@ -34,7 +34,7 @@ num3 AS (SELECT msisdn, n, cc, substr(n, length(cc) + 1) AS rest FROM num2),
 num4 AS (SELECT *, (SELECT p FROM prefix WHERE prefix.cc = num3.cc AND starts_with(num3.rest, p) ORDER BY length(p) LIMIT 1) AS p FROM num3),
 plan AS (SELECT msisdn, cc, rest, p, CASE WHEN n IS NULL THEN 'INVALID_FORMAT' WHEN cc IS NULL THEN 'UNKNOWN_COUNTRY' WHEN length(rest) < 7 THEN 'INVALID_FORMAT' WHEN p IS NULL THEN 'UNKNOWN_OPERATOR' END AS plan_error FROM num4),
 tac AS (SELECT {PADDED.format("p_partkey", 6)} AS tac_code, p_brand AS manufacturer, p_name AS model, p_type AS device_type FROM part),
-sub AS (SELECT '452010' || {PADDED.format("c_custkey", 9)} AS imsi, '+8497' || {PADDED.format("c_custkey", 7)} AS msisdn FROM customer),
+sub AS (SELECT '452010' || {PADDED.format("c_custkey", 9)} AS imsi, '+3165' || {PADDED.format("c_custkey", 7)} AS msisdn FROM customer),
 val AS (SELECT rec.*, CASE
   WHEN rec.msisdn = '' OR wrong = 3 THEN 'ERR_MISSING_FIELD'
   WHEN NOT regexp_full_match(rec.msisdn, '\\+[1-9][0-9]{{1,14}}') OR plan.plan_error IS NOT NULL THEN 'ERR_INVALID_MSISDN'
@@ -63,10 +63,10 @@ cc AS (SELECT *, lag(imsi) OVER n AS previous_imsi, lag(imei) OVER n AS previous
 cm AS (SELECT cb.*, cc.previous_imsi, cc.previous_imei, coalesce(cc.previous_imsi <> cb.imsi, false) AS is_c, coalesce(cc.previous_imei <> cb.imei, false) AS is_d FROM cb LEFT JOIN cc ON cb.seq = cc.seq)
 """
 HISTORY = f"""
-sim AS (SELECT '+8497' || {PADDED.format("c_custkey", 7)} AS msisdn, '452010' || {PADDED.format("c_custkey", 9)} AS imsi, 1700000000 + c_custkey AS "at" FROM customer
-  UNION ALL SELECT '+8497' || {PADDED.format("c_custkey", 7)}, '452010' || {PADDED.format("(c_custkey + 1) % 100", 9)}, 1704000000 + c_custkey * 1000 FROM customer WHERE c_custkey % 5 = 0),
-dev0 AS (SELECT '+8497' || {PADDED.format("c_custkey", 7)} AS msisdn, {PADDED.format("c_custkey % 40", 6)} || '00' || {PADDED.format("(c_custkey * 7919) % 1000000", 6)} AS body, 1700000000 + c_custkey AS "at" FROM customer
-  UNION ALL SELECT '+8497' || {PADDED.format("c_custkey", 7)}, {PADDED.format("c_custkey % 40", 6)} || '00' || {PADDED.format("(c_custkey * 7919 + 1) % 1000000", 6)}, 1704000000 + c_custkey * 1000 FROM customer WHERE c_custkey % 4 = 0),
+sim AS (SELECT '+3165' || {PADDED.format("c_custkey", 7)} AS msisdn, '452010' || {PADDED.format("c_custkey", 9)} AS imsi, 1700000000 + c_custkey AS "at" FROM customer
+  UNION ALL SELECT '+3165' || {PADDED.format("c_custkey", 7)}, '452010' || {PADDED.format("(c_custkey + 1) % 100", 9)}, 1704000000 + c_custkey * 1000 FROM customer WHERE c_custkey % 5 = 0),
+dev0 AS (SELECT '+3165' || {PADDED.format("c_custkey", 7)} AS msisdn, {PADDED.format("c_custkey % 40", 6)} || '00' || {PADDED.format("(c_custkey * 7919) % 1000000", 6)} AS body, 1700000000 + c_custkey AS "at" FROM customer
+  UNION ALL SELECT '+3165' || {PADDED.format("c_custkey", 7)}, {PADDED.format("c_custkey % 40", 6)} || '00' || {PADDED.format("(c_custkey * 7919 + 1) % 1000000", 6)}, 1704000000 + c_custkey * 1000 FROM customer WHERE c_custkey % 4 = 0),
 dev AS (SELECT msisdn, body || {_digits("body")} AS imei, "at" FROM dev0),
 siml AS (SELECT * FROM (SELECT msisdn, imsi AS latest, lag(imsi) OVER w AS previous, "at", row_number() OVER (PARTITION BY msisdn ORDER BY "at" DESC, imsi DESC) AS r, count(*) OVER (PARTITION BY msisdn) AS n FROM sim WINDOW w AS (PARTITION BY msisdn ORDER BY "at", imsi)) WHERE r = 1 AND n >= 2),
 devl AS (SELECT * FROM (SELECT msisdn, imei AS latest, lag(imei) OVER w AS previous, "at", row_number() OVER (PARTITION BY msisdn ORDER BY "at" DESC, imei DESC) AS r, count(*) OVER (PARTITION BY msisdn) AS n FROM dev WINDOW w AS (PARTITION BY msisdn ORDER BY "at", imei)) WHERE r = 1 AND n >= 2),
@@ -74,7 +74,7 @@ swaps AS (SELECT cm.msisdn, previous AS old_imsi, latest AS new_imsi, CAST(NULL
   UNION ALL SELECT cm.msisdn, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), previous, latest, 'DEVICE_SWAP', ev, "at", 'RADIUS_CONFLICT_D' FROM cm JOIN devl ON cm.msisdn = devl.msisdn AND cm.imei = devl.latest WHERE is_d)
 """
 REQUESTS = f"""
-ask AS (SELECT c_custkey AS request_id, CASE WHEN c_custkey % 29 = 0 THEN '12345' ELSE ' +8497' || {PADDED.format("c_custkey", 7)} END AS phone_number, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 40 AS INTEGER) END AS max_age FROM customer),
+ask AS (SELECT c_custkey AS request_id, CASE WHEN c_custkey % 29 = 0 THEN '12345' ELSE ' +3165' || {PADDED.format("c_custkey", 7)} END AS phone_number, CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE CAST(c_custkey % 40 AS INTEGER) END AS max_age FROM customer),
 ask1 AS (SELECT *, trim(phone_number) AS phone, CASE WHEN NOT regexp_full_match(trim(phone_number), '\\+[1-9][0-9]{{6,14}}') OR coalesce(max_age < 0, false) THEN 'INVALID_ARGUMENT' END AS request_error FROM ask)
 """
 SESSIONS = f"""
@@ -136,7 +136,7 @@ QUERIES = {
     "history_batch": f"WITH {HISTORY_ORDERS}, i AS (SELECT o_custkey, o_orderkey, \"at\", lead(\"at\") OVER w AS unassigned_at, row_number() OVER (PARTITION BY o_custkey ORDER BY \"at\" DESC, o_orderkey DESC) = 1 AS is_current, CASE WHEN row_number() OVER w = 1 THEN 'initial_activation' ELSE 'customer_request' END AS swap_reason, count(*) OVER (PARTITION BY o_custkey) - 1 AS swap_count, CASE WHEN count(*) OVER (PARTITION BY o_custkey) > 1 THEN max(\"at\") OVER (PARTITION BY o_custkey) END AS latest_swap_at FROM h WINDOW w AS (PARTITION BY o_custkey ORDER BY \"at\", o_orderkey)) SELECT k AS o_custkey, o_orderkey, \"at\", unassigned_at, is_current, swap_reason, swap_count, latest_swap_at, i.o_custkey IS NOT NULL AS found FROM (SELECT CASE WHEN c_custkey % 11 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS k FROM customer) LEFT JOIN i ON k = i.o_custkey",
     "history_batch_totals": "SELECT CAST(sum(n) AS BIGINT) AS total, CAST(sum(n) FILTER (WHERE found) AS BIGINT) AS found, CAST(sum(n) FILTER (WHERE NOT found) AS BIGINT) AS not_found FROM (SELECT CASE WHEN c_custkey % 5 = 0 THEN 2 ELSE 1 END AS n, c_custkey % 11 <> 0 AND c_custkey IN (SELECT o_custkey FROM orders) AS found FROM customer)",
     "subscriber_batch": SWAP_CHAIN + f""", q AS (SELECT c_custkey AS request_id, CASE c_custkey % 3 WHEN 0 THEN 'imsi' WHEN 1 THEN 'msisdn' ELSE 'email' END AS type, CASE WHEN c_custkey % 7 = 0 THEN c_custkey + 1000000 ELSE c_custkey END AS who FROM customer),
-q1 AS (SELECT request_id, type, CASE WHEN type = 'imsi' THEN '452010' || {PADDED.format("who", 9)} ELSE '+8497' || {PADDED.format("who", 7)} END AS value FROM q)
+q1 AS (SELECT request_id, type, CASE WHEN type = 'imsi' THEN '452010' || {PADDED.format("who", 9)} ELSE '+3165' || {PADDED.format("who", 7)} END AS value FROM q)
 SELECT q1.*, p.msisdn IS NOT NULL AS found, p.msisdn, p.imsi, p."at" AS assigned_at FROM q1 LEFT JOIN LATERAL (SELECT * FROM sim WHERE (q1.type = 'imsi' AND sim.imsi = q1.value) OR (q1.type = 'msisdn' AND sim.msisdn = q1.value) ORDER BY "at" DESC LIMIT 1) p ON true""",
     "subscriber_totals": """WITH q AS (SELECT CASE c_custkey % 3 WHEN 0 THEN 'imsi' WHEN 1 THEN 'msisdn' ELSE 'email' END AS type, c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN 2 ELSE 1 END AS n FROM customer),
 f AS (SELECT n, CASE type WHEN 'email' THEN false WHEN 'msisdn' THEN k % 7 <> 0 ELSE k % 7 <> 0 END AS found FROM q)
@@ -153,6 +153,8 @@ SELECT CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (WHERE found
     "clean_projection": CHAIN + "SELECT seq, status AS acct_status_type, sess AS acct_session_id, CAST(seq % 3600 AS INTEGER) AS acct_session_time, ev AS event_timestamp, ing AS ingest_timestamp, msisdn, imsi, imei, CASE WHEN seq % 10 <> 0 THEN '10.100.' || ((u // 256) % 256) || '.' || (u % 256) END AS framed_ip, false AS late_arrival FROM cm WHERE NOT is_a AND NOT is_b",
     "clean_json": CHAIN + "SELECT seq, msisdn AS message_key, sess AS acct_session_id, imei FROM cm WHERE NOT is_a AND NOT is_b",
     "pipeline_counts": CHAIN + ", v AS (SELECT count(*) AS total, count(*) FILTER (WHERE error IS NULL OR error = 'ERR_LATE_ARRIVAL') AS valid, count(*) FILTER (WHERE error IS NOT NULL AND error <> 'ERR_LATE_ARRIVAL') AS invalid, count(*) FILTER (WHERE error = 'ERR_LATE_ARRIVAL') AS late FROM val), m AS (SELECT count(*) AS deduplicated, count(*) FILTER (WHERE NOT is_a AND NOT is_b) AS clean, count(*) FILTER (WHERE is_a OR is_b) AS conflict_ab, count(*) FILTER (WHERE is_c) AS conflict_c, count(*) FILTER (WHERE is_d) AS conflict_d FROM cm) SELECT 'total' AS stage, total AS n FROM v UNION ALL SELECT 'valid', valid FROM v UNION ALL SELECT 'invalid', invalid FROM v UNION ALL SELECT 'late', late FROM v UNION ALL SELECT 'deduplicated', deduplicated FROM m UNION ALL SELECT 'clean', clean FROM m UNION ALL SELECT 'conflict_ab', conflict_ab FROM m UNION ALL SELECT 'conflict_c', conflict_c FROM m UNION ALL SELECT 'conflict_d', conflict_d FROM m",
-    "gen_sessions": f"SELECT o_orderkey AS session, epoch(o_orderdate)::BIGINT AS start_at, epoch(o_orderdate)::BIGINT + 60 + o_orderkey % 3600 AS stop_at, '+8497' || {PADDED.format('o_custkey', 7)} AS msisdn, '452010' || {PADDED.format('o_custkey', 9)} AS imsi FROM orders",
+    "gen_sessions": f"SELECT o_orderkey AS session, epoch(o_orderdate)::BIGINT AS start_at, epoch(o_orderdate)::BIGINT + 60 + o_orderkey % 3600 AS stop_at, '+3165' || {PADDED.format('o_custkey', 7)} AS msisdn, '452010' || {PADDED.format('o_custkey', 9)} AS imsi FROM orders",
 }
+QUERIES["sim_swap_served"] = _swap_query("SIM_SWAP") + ", CASE WHEN a.request_error IS NULL THEN own.latest IS NOT NULL END AS swapped, own.latest AS latest_change FROM ask1 a LEFT JOIN own ON a.request_id = own.request_id"
+QUERIES["number_verify_served"] = QUERIES["number_verify"]
 QUERIES["csv_chain_counts"] = QUERIES["pipeline_counts"]

@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from sessionlens.functions.columns import luhn_digit
 from sessionlens.operators.validate import Dims
 
-#: Fixed values of the number plan: country names, and operator prefixes by country.
-COUNTRIES = [("84", "Vietnam"), ("1", "USA"), ("44", "UK"), ("61", "Australia"), ("81", "Japan"), ("82", "Korea")]
-PREFIXES = [("84", str(p)) for p in range(30, 99)] + [("1", "202"), ("1", "415"), ("44", "77"), ("44", "78")]
+#: A small number plan of our own choice: country names, and operator prefixes by country.
+COUNTRIES = [("31", "Netherlands"), ("351", "Portugal"), ("420", "Czechia"), ("52", "Mexico"), ("7", "Kazakhstan")]
+PREFIXES = [("31", str(p)) for p in range(61, 70)] + [("351", "91"), ("420", "601"), ("420", "777"), ("7", "70")]
 
 
 def _padded(c: Column, n: int) -> Column:
@@ -27,7 +27,7 @@ def imsi_of(number: Column) -> Column:
 
 
 def msisdn_of(number: Column) -> Column:
-    return F.concat(F.lit("+8497"), _padded(number, 7))
+    return F.concat(F.lit("+3165"), _padded(number, 7))
 
 
 def imei_body(tac: Column, serial: Column) -> Column:
@@ -48,7 +48,7 @@ def accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.unix_seconds(F.col("ts").cast("timestamp"))
     delay = F.when(e % 20 == 3, 3600).when(e % 20 == 5, 3601).when(e % 20 == 7, 10800).otherwise(2)
     status = F.when(F.col("event_type").isin("signup", "click"), "Start").when(F.col("event_type") == "purchase", "Stop").when(F.col("event_type") == "view", "Interim-Update").otherwise("Accounting-On")
-    abroad = F.when(e % 101 == 0, F.concat(F.lit("+999"), _padded(u, 8))).when(e % 103 == 0, F.concat(F.lit("+8410"), _padded(u, 7)))
+    abroad = F.when(e % 101 == 0, F.concat(F.lit("+999"), _padded(u, 8))).when(e % 103 == 0, F.concat(F.lit("+3110"), _padded(u, 7)))
     msisdn = F.when(e % 211 == 0, "").when(e % 97 == 0, "090abc").otherwise(F.coalesce(abroad, msisdn_of(u)))
     subscriber = F.when(e % 50 == 0, u + 100000).when(e % 37 == 0, (u + 1) % 100).otherwise(u)
     body = imei_body(F.when(e % 41 == 0, F.lit(999999)).otherwise(u % 40), u * 7919 + F.when(e % 43 == 0, 1).otherwise(0))

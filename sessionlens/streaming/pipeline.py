@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from sessionlens.operators import conflict, dedup, late, report, swap, validate
+from sessionlens.operators import conflict, dedup, late, report, serving, swap, validate
 from sessionlens.schemas import CLEAN
 from sessionlens.sources.files import decode, delete, materialised
 from sessionlens.sources.sinks import clean_projection, to_messages, write_clean
@@ -106,7 +106,9 @@ def batch_writer(path: str, sim_history: DataFrame | Snapshots, device_history:
         batch.write.mode("overwrite").parquet(once)  # the stream's state moves once; what follows reads the batch several times
         marked = materialised(conflict.mark_conflicts(spark.read.schema(batch.schema).parquet(once)), "marked")
         histories = [at_batch(x, "swaps", batch_id) for x in (sim_history, device_history)]
-        rows = {"marked": marked, "clean": clean_projection(conflict.clean(marked)), "conflict_log": conflict.conflict_log(marked), "swap_event": swap.swap_events(marked, *histories), "counts": report.batch_counts(marked)}
+        rows = {"marked": marked, "clean": clean_projection(conflict.clean(marked)), "conflict_log": conflict.conflict_log(marked), "counts": report.batch_counts(marked), "sessions": serving.session_delta(marked)}
+        rows["swap_event"] = swaps = swap.swap_events(marked, *histories)
+        rows["latest_swaps"] = serving.latest_swaps(swaps)
         sinks = {name: df.write.parquet for name, df in rows.items()}
         sinks["clean_messages"] = to_messages(clean_projection(conflict.clean(marked), "seq")).write.json
         CommitLog(spark, path).write(batch_id, sinks, streamed=["clean_messages"])

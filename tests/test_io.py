@@ -23,9 +23,9 @@ def texts(df, *columns):
 def test_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "r.csv")
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.csv").write_text(" msisdn , acct_status_type,other\n +84970000001 , Start ,1,overflow\n")
+    (tmp_path / "in" / "a.csv").write_text(" msisdn , acct_status_type,other\n +31650000001 , Start ,1,overflow\n")
     got = files.read_csv(spark, str(tmp_path / "in")).first()
-    assert (got.msisdn, got.acct_status_type, got.imsi) == ("+84970000001", "Start", None)
+    assert (got.msisdn, got.acct_status_type, got.imsi) == ("+31650000001", "Start", None)
     made = projection.order_sessions(spark, SF)
     sinks.write_csv(made, path)
     assert files.count_csv(spark, path) == made.count()
@@ -116,7 +116,7 @@ def test_streams_equal_batch(spark, tmp_path):
     at = {k: str(tmp_path / k) for k in ("in", "out", "chk", "store")}
     # A batch holds every record of its subscribers, so conflicts within batches are all conflicts.
     group = F.pmod(F.xxhash64("imsi", "msisdn"), F.lit(3))
-    one = raw.where("msisdn LIKE '+8497%' AND imsi = concat('452010', lpad(user, 9, '0'))")
+    one = raw.where("msisdn LIKE '+3165%' AND imsi = concat('452010', lpad(user, 9, '0'))")
     for i in range(3):
         one.where(group == i).select(*RAW_COLUMNS).coalesce(1).write.mode("append").json(at["in"])
     queries = stream.start(files.file_stream(spark, at["in"], files_per_trigger=1), dims, sim, dev, at["out"], at["chk"])

@@ -85,13 +85,13 @@ def test_swaps_need_history(spark):
 
 
 DAY = 86400
-SWAPS = [("+84970000001", AS_OF - DAY), ("+84970000002", AS_OF - 7 * DAY), ("+84970000003", AS_OF - 31 * DAY), ("+84970000005", AS_OF - 30), ("+84970000006", AS_OF - 30 * DAY + 60), ("+84970000007", None), ("+84970000008", AS_OF - 30 * DAY - 5), ("+84970000010", AS_OF - 30 * DAY)]
+SWAPS = [("+31650000001", AS_OF - DAY), ("+31650000002", AS_OF - 7 * DAY), ("+31650000003", AS_OF - 31 * DAY), ("+31650000005", AS_OF - 30), ("+31650000006", AS_OF - 30 * DAY + 60), ("+31650000007", None), ("+31650000008", AS_OF - 30 * DAY - 5), ("+31650000010", AS_OF - 30 * DAY)]
 
 
 @pytest.mark.parametrize("kind", ["SIM_SWAP", "DEVICE_SWAP"])
 def test_swap_check(spark, kind):
     swaps = spark.createDataFrame([(n, kind, at) for n, at in SWAPS], "msisdn string, swap_type string, at long").withColumn("confirmed_at", F.timestamp_seconds("at"))
-    asks = [(f"+8497000000{i}", 30) for i in range(1, 9)] + [("+84970000010", 30), ("+84970000001", 0), ("+84970000001", None), ("84970", 30), (None, 30), ("+84970000001", -1)]
+    asks = [(f"+3165000000{i}", 30) for i in range(1, 9)] + [("+31650000010", 30), ("+31650000001", 0), ("+31650000001", None), ("31650", 30), (None, 30), ("+31650000001", -1)]
     asked = spark.createDataFrame(asks, "phone_number string, max_age int").withColumn("n", F.monotonically_increasing_id())
     got = [(r.swapped, r.request_error) for r in serve.swap_check(asked, swaps, kind, F.timestamp_seconds(F.lit(AS_OF))).orderBy("n").collect()]
     bad = (None, "INVALID_ARGUMENT")
@@ -100,10 +100,10 @@ def test_swap_check(spark, kind):
 
 def test_number_verify(spark):
     rows = [
-        row("A", at=AS_OF - 3600, msisdn="+84970000001"), row("B", at=AS_OF - 7200, msisdn="+84970000002"), row("B", "Stop", AS_OF - 3600, msisdn="+84970000002"), row("C", at=AS_OF - 10, msisdn="+84970000003"),
-        row("C", "Stop", AS_OF - 10, msisdn="+84970000003"), row("D", at=AS_OF - DAY, msisdn="+84970000004"), row("E", at=AS_OF - DAY - 1, msisdn="+84970000005"), row("F", "Stop", AS_OF - 9, msisdn="+84970000006"), row("F", at=AS_OF - 5, msisdn="+84970000006"),
+        row("A", at=AS_OF - 3600, msisdn="+31650000001"), row("B", at=AS_OF - 7200, msisdn="+31650000002"), row("B", "Stop", AS_OF - 3600, msisdn="+31650000002"), row("C", at=AS_OF - 10, msisdn="+31650000003"),
+        row("C", "Stop", AS_OF - 10, msisdn="+31650000003"), row("D", at=AS_OF - DAY, msisdn="+31650000004"), row("E", at=AS_OF - DAY - 1, msisdn="+31650000005"), row("F", "Stop", AS_OF - 9, msisdn="+31650000006"), row("F", at=AS_OF - 5, msisdn="+31650000006"),
     ]
-    asks = spark.createDataFrame([(f"+8497000000{i}",) for i in range(1, 8)] + [("12",)], "phone_number string").withColumn("n", F.monotonically_increasing_id())
+    asks = spark.createDataFrame([(f"+3165000000{i}",) for i in range(1, 8)] + [("12",)], "phone_number string").withColumn("n", F.monotonically_increasing_id())
     got = [r.verified for r in serve.number_verify(asks, records(spark, rows), F.timestamp_seconds(F.lit(AS_OF))).orderBy("n").collect()]
     assert got == [True, False, False, True, False, True, False, None]
 
@@ -150,8 +150,8 @@ def test_batches_with_totals(spark):
 
 
 def test_default_age(spark):
-    swaps = spark.createDataFrame([("+84970000001", "SIM_SWAP", AS_OF - 29 * DAY), ("+84970000002", "SIM_SWAP", AS_OF - 31 * DAY)], "msisdn string, swap_type string, at long").withColumn("confirmed_at", F.timestamp_seconds("at"))
-    asked = spark.createDataFrame([("+84970000001",), ("+84970000002",)], "phone_number string")
+    swaps = spark.createDataFrame([("+31650000001", "SIM_SWAP", AS_OF - 29 * DAY), ("+31650000002", "SIM_SWAP", AS_OF - 31 * DAY)], "msisdn string, swap_type string, at long").withColumn("confirmed_at", F.timestamp_seconds("at"))
+    asked = spark.createDataFrame([("+31650000001",), ("+31650000002",)], "phone_number string")
     got = serve.swap_check(asked, swaps, "SIM_SWAP", F.timestamp_seconds(F.lit(AS_OF))).orderBy("phone").collect()
     assert [(r.swapped, r.max_age) for r in got] == [(True, 30), (False, 30)]
 

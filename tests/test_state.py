@@ -9,7 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from sessionlens.operators import conflict, dedup, fold, keystore, late, lookups, report, validate
+from sessionlens.operators import conflict, dedup, fold, keystore, late, lookups, report, serve, serving, validate
 from sessionlens.plans import pipeline
 from sessionlens.sources import files, projection, sinks
 from sessionlens.streaming import pipeline as stream
@@ -207,6 +207,12 @@ def test_stages_with_pinned_tables(spark, tmp_path):
     assert marked.count() == dedup.drop_ttl(validate.valid(annotated)).count()
     kept = lambda df: {(str(r.day), r.name): r.n for r in df.collect()}
     assert kept(report.merged_counts(chain.read("counts", "day date, name string, n long"))) == kept(report.batch_counts(marked))
+    sessions = serving.merged_sessions(chain.read("sessions", "msisdn string, acct_session_id string, started timestamp, stopped timestamp"))
+    as_of = F.timestamp_seconds(F.lit(1706659200))
+    asked = marked.select(F.col("msisdn").alias("phone_number")).distinct()
+    answers = lambda df: {(r.phone, r.verified) for r in df.collect()}
+    assert answers(serving.verified_numbers(asked, sessions, as_of)) == answers(serve.number_verify(asked, marked, as_of))
+    assert answers(serving.verified_numbers(asked, serving.still_needed(sessions, as_of), as_of)) == answers(serve.number_verify(asked, marked, as_of))
     rows, waits = [], 0
     while sum(r.status == "STOPPED" for r in rows) < 4 and waits < 50:  # events come after the fact
         rows, waits = progress.progress_table(spark, str(tmp_path / "log")).collect(), waits + 1

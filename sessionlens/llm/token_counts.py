@@ -14,7 +14,7 @@ So the earlier chunk's tokens up to there and the later chunk's from there on ar
 place fails: its text is cut anew with four times the chunk and the overlap, until one chunk holds it. That always ends, with
 a whole encoding at worst, as a text that is one single word needs.
 
-Equal long texts are encoded once. Only positions and counts in the overlaps leave a task, and each seam is settled apart.
+Equal long texts are encoded once, equal short ones once a task. Only positions and counts in the overlaps leave a task, and each seam is settled apart.
 The proof holds for byte-level BPE without a normaliser; other tokenizers (sentencepiece models among them) encode whole texts.
 
 A null text is empty and has no tokens. A null doc_id and repeated rows are rows like others. An empty table gives an empty
@@ -28,6 +28,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from pathlib import Path
 from typing import Any
 
@@ -41,6 +42,8 @@ from sessionlens.llm.common import hash128, own_columns, partitions, written
 CHUNK, OVERLAP = 1 << 16, 1 << 12
 #: Bytes of text that are encoded at a time.
 AT_ONCE = 1 << 20
+#: Texts whose counts a task remembers before it starts anew.
+KNOWN = 200_000
 #: A seam keeps off the earlier chunk's end by so much: more than a special token or a contraction is long.
 MARGIN = 64
 #: Places where a byte-level BPE's pattern ends a piece whatever came before.
@@ -99,19 +102,29 @@ def _count(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Record
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(path)
+        known: dict[bytes, int] = {}
+
+        def learn(texts: dict[bytes, str]) -> None:
+            known.update(zip(texts, own.counts(list(texts.values())), strict=True))
+            texts.clear()
+
         for batch in batches:
             place = batch.schema.get_field_index("text")
-            counts: list[int] = []
-            held: list[str] = []
+            if len(known) >= KNOWN:
+                known.clear()
+            keys: list[bytes] = []
+            new: dict[bytes, str] = {}
             size = 0
             for text in (x.as_py() or "" for x in batch.column(place)):
-                held.append(text)
-                size += len(text)
-                if size >= AT_ONCE:
-                    counts += own.counts(held)
-                    held, size = [], 0
-            counts += own.counts(held)
-            yield batch.set_column(place, "n_tokens", pa.array(counts, pa.int64()))
+                keys.append(key := blake2b(text.encode(), digest_size=16).digest())
+                if key not in known and key not in new:
+                    new[key] = text
+                    size += len(text)
+                    if size >= AT_ONCE:
+                        learn(new)
+                        size = 0
+            learn(new)
+            yield batch.set_column(place, "n_tokens", pa.array([known[k] for k in keys], pa.int64()))
 
     return run
 

@@ -9,8 +9,10 @@ COPY_KEYS minima finds the pairs to compare, all but 3 in a million at 0.8) one
 category goes for a negative. Only words whose association with the category stands out of chance (a G statistic of MIN_G or more; there are
 tens of thousands of words) get a weight, so that the words of a few mislabelled texts don't turn clean texts toxic.
 
-Training takes at most MAX_TRAIN labelled documents, the first by a hash of their id: the documented bound of what reaches
-the driver. Every document of the input is scored, over its whole text.
+Training takes at most MAX_TRAIN labelled documents, the first by a hash of their id, whose texts have MAX_BYTES together at
+most: the documented bound of what reaches the driver, whatever the texts' length. A text that would pass MAX_BYTES doesn't
+train, later ones that fit do. Which texts train is settled from ids, sizes and hashes; only then are texts read for the
+driver. Every document of the input is scored, over its whole text.
 
 Nulls: a null text has no words and gets the models' bias; labels with a null in a category don't train; labels of unknown
 documents are unused; of repeated labels of one document the largest value counts, of repeated documents of one id every
@@ -28,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sessionlens.llm import textvec as tv
 from sessionlens.llm.common import own_columns
@@ -36,6 +39,8 @@ from sessionlens.llm.common import own_columns
 CATEGORIES = ("quality", "toxic")
 BITS = 44
 MAX_TRAIN = 6000
+#: Of UTF-8: a mean of some 16 000 a text.
+MAX_BYTES = 96 << 20
 #: Words of fewer training texts get no weight.
 MIN_DOCS = 5
 MIN_G = 25.0
@@ -229,14 +234,30 @@ def _score(chain: list[Link]) -> Callable:
     return run
 
 
-def train(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, max_train: int = MAX_TRAIN) -> list[Link]:
-    """The chain, from at most max_train labelled documents."""
+def fitting(sizes: np.ndarray, max_bytes: int) -> np.ndarray:
+    """Which rows to take, in order, so that their sizes add up to max_bytes at most: each one that still fits."""
+    out, left = np.zeros(len(sizes), bool), max_bytes
+    for i, n in enumerate(sizes.tolist()):
+        out[i] = n <= left
+        left -= n if out[i] else 0
+    return out
+
+
+def train(documents: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, max_train: int = MAX_TRAIN, max_bytes: int = MAX_BYTES) -> list[Link]:
+    """The chain, from at most max_train labelled documents with texts of at most max_bytes together."""
     known = own_columns(labels, "doc_id", *categories).dropna().groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
-    # At most max_train rows: small enough to broadcast, by construction.
+    # At most max_train rows, here and below: small enough to broadcast, by construction.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_train)
-    docs = own_columns(documents, "doc_id", "text")
-    rows = docs.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_train)
-    got = rows.select(F.col("text"), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).alias("fold"), *categories).toArrow()
+    docs = own_columns(documents, "doc_id", "text").withColumn("key", F.xxhash64("text"))
+    order = [F.xxhash64("doc_id"), "doc_id", "key"]
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")
+    sizes = docs.join(F.broadcast(chosen.select("doc_id")), "doc_id").select("doc_id", "key", size).orderBy(*order).limit(max_train).toPandas()
+    taken = sizes[fitting(sizes["size"].to_numpy(), max_bytes)].groupby(["doc_id", "key"]).size().reset_index(name="times")
+    ids = documents.sparkSession.createDataFrame(taken, T.StructType([docs.schema["doc_id"], T.StructField("key", T.LongType()), T.StructField("times", T.LongType())]))
+    one = docs.join(F.broadcast(ids), ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    rows = one.join(F.broadcast(chosen), "doc_id").orderBy(*order)
+    got = rows.select("text", "times", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).alias("fold"), *categories).toArrow()
+    got = got.take(pa.array(np.repeat(np.arange(len(got)), got.column("times").to_numpy())))
     text = got.column("text").combine_chunks()
     text = text if isinstance(text, pa.Array) else pa.concat_arrays(text.chunks)
     y = {c: got.column(c).to_numpy() for c in categories}

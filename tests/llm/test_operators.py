@@ -618,6 +618,27 @@ def test_toxicity(spark):
     assert all(got[i] == (i % 6 == 0) for i in range(400, 600)) and got[901] and got[None] and not got[900]
 
 
+def test_training_bytes_are_bounded(spark, monkeypatch):
+    """A labelled text of 20 MB, repeats and nulls: the driver gets no more bytes than it may, and exactly the rows named."""
+    import numpy as np
+
+    assert toxicity.fitting(np.array([3, 9, 4, 0, 4]), 10).tolist() == [True, False, True, True, False]
+    rows = [(i, f"own{i} words here and idiot{i}") for i in range(50)] + [(7, "own7 words here and idiot7"), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.unionByName(spark.range(60, 61).select(F.col("id").alias("doc_id"), F.repeat(F.lit("very long text of idiot words "), 700_000).alias("text")))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(70)], "doc_id long, quality int, toxic int")
+    given = []
+    monkeypatch.setattr(toxicity, "one_of_copies", lambda text, y: given.append((text, y)) or np.arange(len(text)))
+    for limit, long in ((1 << 20, False), (toxicity.MAX_BYTES, True)):
+        chain = toxicity.train(docs, labels, max_bytes=limit)
+        text, y = given.pop()
+        got = Counter((t, int(v)) for t, v in zip(text.to_pylist(), y, strict=True) if t is None or len(t) < 100)
+        assert got == Counter((t, i % 2) for i, t in rows) and len(text) == len(rows) + long
+        assert sum(len(t or "") for t in text.to_pylist()) <= limit and len(chain) == 2
+    again = toxicity.train(docs.repartition(5), labels)
+    assert [(x.category, x.bias, x.weights.tolist()) for x in again] == [(x.category, x.bias, x.weights.tolist()) for x in chain]
+
+
 def test_only_near_copies_leave_training():
     import numpy as np
 

@@ -1,8 +1,9 @@
 """The chain over two streams (STR-1 to STR-13): checks, time-to-live dedup and batch-local conflicts up to the clean messages;
 then storage, which takes a key's first clean message ever and logs the others.
 
-No watermark is declared: late records are told by their arrival, not by the stream's progress, and none may be dropped
-unseen. Dedup keeps one number a key and forgets it by the clock (STR-4); the keys ever stored are kept for good (JOIN-4).
+Late records are told by their arrival, not by the stream's progress. Dedup keeps one number a key and forgets it by the
+clock (STR-4) or, given `disorder`, by a watermark over arrivals (STR-1), which stands still while a stream is down; the
+keys ever stored are kept for good (JOIN-4). No watermark is declared otherwise, so no record is ever dropped for it.
 Conflicts are judged within a micro-batch, so their counts depend on how the stream is cut; a batch run is one batch.
 """
 
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle
 
 from sessionlens.operators import conflict, dedup, late, report, serving, swap, validate
 from sessionlens.schemas import CLEAN
@@ -24,19 +25,36 @@ from sessionlens.sources.sinks import clean_projection, to_messages, write_clean
 from sessionlens.streaming.commits import CommitLog, Snapshots, at_batch
 
 
+#: STR-1: seconds by which arrivals may be out of order, where state goes by arrival.
+DISORDER = 86_400
+
+
 class LastAccepted(StatefulProcessor):
     """STR-3: per key the event time of the last accepted record; rows of a batch are taken in event-time order.
 
     State lives in the state store (STR-5), so restarts keep it. It expires keep_ms of the clock after its last change
     (STR-4). With keep_ms of ttl and the late threshold together that changes nothing in a live stream: a record that comes
     so much later and is on time is more than ttl past the last accepted one.
+
+    by_arrival: it expires keep_ms after the last accepted event time instead, by the watermark over arrivals, so neither an
+    outage nor the pace of a replay matters. A change leaves a timer; one that fires after a newer change does nothing.
     """
 
-    def __init__(self, ttl: int, order: str, keep_ms: int) -> None:
-        self.ttl, self.order, self.keep_ms = ttl, order, keep_ms
+    def __init__(self, ttl: int, order: str, keep_ms: int, by_arrival: bool = False) -> None:
+        self.ttl, self.order, self.keep_ms, self.by_arrival = ttl, order, keep_ms, by_arrival
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]), self.keep_ms)
+        self.handle = handle
+        self.last = handle.getValueState("last", T.StructType([T.StructField("at", T.LongType())]), None if self.by_arrival else self.keep_ms)
+
+    def expiry(self, last: int) -> int:
+        """Arrivals from here on that are on time are more than ttl past `last`, a whole second."""
+        return (last + 1) * 1000 + self.keep_ms
+
+    def handleExpiredTimer(self, key: tuple, timerValues: object, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.last.exists() and self.expiry(self.last.get()[0]) <= expiredTimerInfo.getExpiryTimeInMs():
+            self.last.clear()
+        return iter([])
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         last = before = self.last.get()[0] if self.last.exists() else None
@@ -53,6 +71,8 @@ class LastAccepted(StatefulProcessor):
             last = int(at) if fresh else last
         if last != before:
             self.last.update((last,))
+            if self.by_arrival:
+                self.handle.registerTimer(self.expiry(last))
         if keep:
             yield held[keep]
 
@@ -84,11 +104,20 @@ class EverSeen(StatefulProcessor):
         pass
 
 
-def dedup_stream(records: DataFrame, ttl: int = dedup.TTL, order: str = "seq", keep_ms: int | None = None) -> DataFrame:
-    """Valid records of a stream without duplicates within ttl; adds event_epoch. keep_ms: see LastAccepted."""
+def dedup_stream(records: DataFrame, ttl: int = dedup.TTL, order: str = "seq", keep_ms: int | None = None, disorder: int | None = None) -> DataFrame:
+    """Valid records of a stream without duplicates within ttl; adds event_epoch. keep_ms: see LastAccepted.
+
+    disorder (seconds): state goes by arrival, not by the clock; a replay finds then what a batch run finds, whenever it is
+    read. Spark drops rows that arrived longer than this before the latest arrival of earlier batches; the progress log
+    counts them as `dropped`, and DISORDER leaves a day for partitions that are read at different speeds. Rows without an
+    arrival are never dropped. A checkpoint keeps to the choice it was made with.
+    """
     timed = records.withColumn("event_epoch", F.unix_seconds("event_ts"))
     keep_ms = (ttl + late.THRESHOLD) * 1000 if keep_ms is None else keep_ms
-    return timed.groupBy(*dedup.KEY).transformWithStateInPandas(LastAccepted(ttl, order, keep_ms), timed.schema, "Append", "ProcessingTime")
+    by_arrival = disorder is not None
+    processor = LastAccepted(ttl, order, keep_ms, by_arrival)
+    rows = timed.withWatermark("ingest_ts", f"{disorder} seconds") if by_arrival else timed
+    return rows.groupBy(*dedup.KEY).transformWithStateInPandas(processor, timed.schema, "Append", "EventTime" if by_arrival else "ProcessingTime")
 
 
 def annotated_stream(raw: DataFrame, dims: validate.Dims) -> DataFrame:
@@ -141,24 +170,24 @@ def start_checked(raw: DataFrame, dims: dict[str, DataFrame | Snapshots], path:
     return raw.writeStream.foreachBatch(check_writer(path, dims)).option("checkpointLocation", f"{checkpoint}/checks").queryName("checks").trigger(**(trigger or {"availableNow": True})).start()
 
 
-def start_valid(spark: SparkSession, path: str, schema: T.StructType, sim_history: DataFrame | Snapshots, device_history: DataFrame | Snapshots, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None) -> StreamingQuery:
+def start_valid(spark: SparkSession, path: str, schema: T.StructType, sim_history: DataFrame | Snapshots, device_history: DataFrame | Snapshots, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None, disorder: int | None = None) -> StreamingQuery:
     """Duplicates, conflicts and swaps of what start_checked let through under path. schema: of its valid records."""
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # see session.py
     valid = spark.readStream.schema(schema).parquet(f"{path}/valid").drop("batch")
-    return dedup_stream(valid, ttl).drop("event_epoch").writeStream.foreachBatch(batch_writer(path + "/chain", sim_history, device_history)).option("checkpointLocation", f"{checkpoint}/chain").queryName("chain").trigger(**(trigger or {"availableNow": True})).start()
+    return dedup_stream(valid, ttl, disorder=disorder).drop("event_epoch").writeStream.foreachBatch(batch_writer(path + "/chain", sim_history, device_history)).option("checkpointLocation", f"{checkpoint}/chain").queryName("chain").trigger(**(trigger or {"availableNow": True})).start()
 
 
-def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, path: str, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None) -> list[StreamingQuery]:
+def start(raw: DataFrame, dims: validate.Dims, sim_history: DataFrame, device_history: DataFrame, path: str, checkpoint: str, ttl: int = dedup.TTL, trigger: dict | None = None, disorder: int | None = None) -> list[StreamingQuery]:
     """STR-6, STR-9: two queries, one for invalid records and one for the rest; trigger as in DataStreamWriter.trigger.
 
     raw: the raw columns and seq, as the stream readers give them. The reference tables are read anew each batch (SRC-10);
-    start_checked and start_valid pin them.
+    start_checked and start_valid pin them. disorder: see dedup_stream.
     """
     trigger = trigger or {"availableNow": True}
     raw.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")  # see session.py
     annotated = annotated_stream(raw, dims)
     bad = validate.invalid_log(annotated, F.col("ingest_ts")).writeStream.format("parquet").option("path", f"{path}/invalid_log")
-    good = dedup_stream(validate.valid(annotated), ttl).drop("event_epoch").writeStream.foreachBatch(batch_writer(path, sim_history, device_history))
+    good = dedup_stream(validate.valid(annotated), ttl, disorder=disorder).drop("event_epoch").writeStream.foreachBatch(batch_writer(path, sim_history, device_history))
     return [q.option("checkpointLocation", f"{checkpoint}/{n}").trigger(**trigger).start() for n, q in (("invalid", bad), ("valid", good))]
 
 

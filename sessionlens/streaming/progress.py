@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from sessionlens.streaming.commits import Folder
 
-SCHEMA = "query string, run string, batch long, at string, input_rows long, input_rows_per_second double, processed_rows_per_second double, batch_ms long, state_rows long, behind long, status string, error string"
+SCHEMA = "query string, run string, batch long, at string, input_rows long, input_rows_per_second double, processed_rows_per_second double, batch_ms long, state_rows long, dropped long, behind long, status string, error string"
 
 
 def behind(source: dict) -> int | None:
@@ -32,7 +32,8 @@ def row_of(progress: dict) -> dict:
     return {
         "query": progress.get("name") or progress["id"], "run": progress["runId"], "batch": progress["batchId"], "at": progress["timestamp"], "input_rows": progress.get("numInputRows"),
         "input_rows_per_second": progress.get("inputRowsPerSecond"), "processed_rows_per_second": progress.get("processedRowsPerSecond"), "batch_ms": (progress.get("durationMs") or {}).get("triggerExecution"),
-        "state_rows": sum(x.get("numRowsTotal", 0) for x in progress.get("stateOperators", [])), "behind": sum(lags) if lags else None, "status": "ACTIVE", "error": None,
+        "state_rows": sum(x.get("numRowsTotal", 0) for x in progress.get("stateOperators", [])), "dropped": sum(x.get("numRowsDroppedByWatermark", 0) for x in progress.get("stateOperators", [])),
+        "behind": sum(lags) if lags else None, "status": "ACTIVE", "error": None,
     }
 
 

@@ -221,6 +221,45 @@ def test_stages_with_pinned_tables(spark, tmp_path):
     assert sum(r.input_rows for r in rows if r.query == "checks") == raw.count()
 
 
+def test_backlog_after_an_outage(spark, tmp_path):
+    """STR-1: a backlog read in pieces, long after its time: by arrival the stream keeps what a batch keeps, by a short clock it doesn't.
+    State goes once arrivals are past it; rows behind the watermark are dropped and counted; those without an arrival stay."""
+    rng = random.Random(8)
+    delays = {f"k{k}": rng.randrange(3600) for k in range(40)}
+    at = [(k, rng.randrange(86_400)) for k in delays for _ in range(rng.choice([1, 30]))]
+    rows = [(k, "Start", t, t + delays[k]) for k, t in at] + [(k, "Start", t, t + delays[k]) for k, t in at[:50]]
+    rows.sort(key=lambda r: r[3])
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    schema = "seq long, acct_session_id string, acct_status_type string, at long, arrived long"
+    timed = lambda df: df.withColumn("event_ts", F.timestamp_seconds("at")).withColumn("ingest_ts", F.timestamp_seconds("arrived"))
+    want = {r.seq for r in dedup.drop_ttl(timed(spark.createDataFrame(rows, schema))).collect()}
+    folder = str(tmp_path / "in")
+
+    def step(part, name, **how):
+        """The rows that one more file adds to a stream that was down, and its last progress."""
+        if part:
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        live = timed(spark.readStream.schema(schema).parquet(folder))
+        q = stream.dedup_stream(live, **how).writeStream.format("parquet").option("path", str(tmp_path / name)).option("checkpointLocation", f"{tmp_path}/{name}-c").trigger(availableNow=True).start()
+        q.awaitTermination()
+        return progress.row_of(json.loads(q.lastProgress.json))
+
+    got = lambda name: {r.seq for r in spark.read.parquet(str(tmp_path / name)).collect()}
+    cut = [0, len(rows) // 3, 2 * len(rows) // 3, len(rows)]
+    for lo, hi in zip(cut, cut[1:], strict=False):
+        dropped = step(rows[lo:hi], "arrival", disorder=1)["dropped"]
+        assert dropped == 0
+        step([], "clock", keep_ms=1)
+    assert got("arrival") == want
+    assert got("clock") != want  # a forgotten key starts anew: other rows of it are kept from there on
+    day = 86_400 * 10
+    step([(9001, "far", "Start", day, day)], "arrival", disorder=1)
+    last = step([(9002, "far", "Start", day + 5000, day + 5000), (9003, "old", "Start", 5, 5), (9004, "none", "Start", 7, None)], "arrival", disorder=1)
+    assert last["dropped"] == 1 and got("arrival") == want | {9001, 9002, 9004}
+    left = spark.read.format("statestore").option("path", f"{tmp_path}/arrival-c").option("stateVarName", "last").load()
+    assert {r.id for r in left.select("key.acct_session_id").toDF("id").collect()} == {"far"}
+
+
 def test_behind_of_topics():
     source = {"endOffset": {"t": {"0": 5, "1": 7}}, "latestOffset": json.dumps({"t": {"0": 9, "1": 7, "2": 3}})}
     assert progress.behind(source) == 7

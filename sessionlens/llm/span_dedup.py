@@ -6,14 +6,18 @@ neighbours in it. suffix_array.py sorts by linear grouping. What makes this a Sp
 1. Equal texts are one text with a number of copies. Each window of SPAN bytes chooses, of the hashes of the KEY-byte strings
    in it, the smallest (of equal ones the last). Equal windows choose alike, so they meet under the same key. Consecutive
    windows with one choice are a place: about one every 85 bytes, a text of up to 2 * SPAN bytes, known by 128 bits of hash.
-2. A count by key leaves the keys with more than one place. Where all places of a key are equal, they are repeats as they
-   stand. The different places of the other keys are cut from the texts. Equal windows have equal cores: by where the key
-   string lies in the window (to a CORES-th of the rest), the bytes around it that all such windows hold. Places that share
-   no core with another place are done; the others are dealt out by key, and suffix arrays over whole keys' places mark
-   their windows. A place that stands more than once is a repeat, and counts for the others.
-3. A key with more than CROWD different places (a passage that very many texts share, with other text around it) doesn't go
-   to one task: the windows of its places are counted by 128 bits of hash, spread over all tasks.
-4. Each text gets its runs of marked windows, and the bytes they cover are removed at once.
+2. A count by key leaves the keys with more than one place. A place that stands in several spots gives two of them as
+   witnesses. Places that follow each other in both spots are one segment; both sides of a segment are cut from the texts,
+   and a suffix array over them marks the windows that repeat. All spots of the place get its marks.
+3. Different places under one key are cut from the texts. Equal windows have equal cores: by where the key string lies in the
+   window (to a CORES-th of the rest), the bytes around it that all such windows hold. Places that share no core with another
+   place are done; the others are dealt out by key, and suffix arrays over whole keys' places mark their windows.
+4. A key with more than CROWD different places (a passage that very many texts share, with other text around it) doesn't go
+   to one task: the windows of its places meet by 128 bits of hash, spread over all tasks, and two witnesses of each are
+   joined to segments and go through suffix arrays as in 2.
+5. Each text gets its runs of marked windows, and the bytes they cover are removed at once.
+
+So every mark comes from a suffix array, but for copies of whole texts.
 
 Matches never cross texts; spans are judged on the input. Whole texts are read; no window is left out.
 
@@ -29,8 +33,9 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sessionlens.llm import textvec as tv
 from sessionlens.llm.common import disposable, hash128, own_columns, partitions, written
@@ -48,6 +53,8 @@ CUTS = 1 << 14
 CROWD = 1024
 #: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
 ARRAY_BYTES = 1 << 14
+#: A segment starts anew where its first side passes a multiple of 2 to this.
+SEGMENT_BITS = 12
 
 #: DuckDB SQL for the digest with spans of 200 bytes, over the texts' bytes in hexadecimal, 256 windows of a text at a time.
 SQL = """
@@ -197,61 +204,109 @@ def _find_places(span: int, key: int) -> Callable:
     return run
 
 
-def _cut(span: int) -> Callable:
-    """text, cuts (structs of key, c1, c2, first, shape, total) -> key, c1, c2, shape, total, cut (bytes)."""
+#: What a cut is for: a segment (sid, members on its first side) or a place under a key.
+_FOR = "sid long, key long, c1 long, c2 long, shape int, total long, members array<struct<at: int, key: long, c1: long, c2: long, windows: int>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "c1", "c2", "shape", "total")
-        for batch in batches:
-            for text, cuts in zip(batch.column("text"), batch.column("cuts"), strict=True):
-                data, rows = text.as_buffer().to_pybytes(), cuts.values
-                for lo in range(0, len(rows), CUTS):
-                    part = rows.slice(lo, CUTS)
-                    own = dict(zip((f.name for f in part.type), part.flatten(), strict=True))
-                    spans = zip(own["first"].to_pylist(), own["shape"].to_pylist(), strict=True)
-                    cut = [data[first : first + (shape >> 16) - 1 + span] for first, shape in spans]
-                    yield pa.RecordBatch.from_arrays([*(own[c] for c in names), pa.array(cut, pa.binary())], [*names, "cut"])
 
-    return run
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """text, cuts (structs of first, bytes and what they are for) -> what they are for, cut (bytes)."""
+    names = ["sid", "key", "c1", "c2", "shape", "total", "members"]
+    for batch in batches:
+        for text, cuts in zip(batch.column("text"), batch.column("cuts"), strict=True):
+            data, rows = text.as_buffer().to_pybytes(), cuts.values
+            for lo in range(0, len(rows), CUTS):
+                part = rows.slice(lo, CUTS)
+                own = dict(zip((f.name for f in part.type), part.flatten(), strict=True))
+                cut = [data[first : first + size] for first, size in zip(own["first"].to_pylist(), own["bytes"].to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(own[c] for c in names), pa.array(cut, pa.binary())], [*names, "cut"])
 
 
-def _sort_places(span: int, array_bytes: int) -> Callable:
-    """Rows by key -> key, c1, c2, runs (of marked windows); only places with marks."""
+def _in_arrays(name: str, array_bytes: int, marked: Callable[[list[dict]], list[tuple]]) -> Callable:
+    """Rows sorted by the column `name` -> key, c1, c2, runs (of marked windows): arrays of whole values of it, about array_bytes each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[dict] = []
         size, last = 0, None
-
-        def out() -> pa.RecordBatch:
-            # Where every place of a key stands more than once, nothing is left to find.
-            open_keys = {r[0] for r in held if r[4] == 1}
-            rows = [(*r[:3], [0, r[3] - 1]) for r in held if r[4] > 1]
-            left = [r for r in held if r[0] in open_keys]
-            marks = repeated_windows([r[5] for r in left], [r[3] for r in left], span) if left else []
-            rows += [(*r[:3], _runs(m)) for r, m in zip(left, marks, strict=True) if r[4] == 1]
-            return _marked([r for r in rows if r[3]])
-
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "c1", "c2", "windows", "total", "cut")), strict=True):
-                if row[0] != last and size >= array_bytes:
-                    yield out()
+            for row in batch.to_pylist():
+                if row[name] != last and size >= array_bytes:
+                    yield _marked(marked(held))
                     held, size = [], 0
-                last = row[0]
+                last = row[name]
                 held.append(row)
-                size += len(row[5])
+                size += len(row["cut"])
         if held:
-            yield out()
+            yield _marked(marked(held))
 
     return run
 
 
+def _sort_places(span: int, array_bytes: int) -> Callable:
+    """Places by key -> key, c1, c2, runs: only of places that stand once, and only those with marks."""
+
+    def marked(held: list[dict]) -> list[tuple]:
+        # Where every place of a key stands more than once, nothing is left to find.
+        open_keys = {r["key"] for r in held if r["total"] == 1}
+        left = [r for r in held if r["key"] in open_keys]
+        marks = repeated_windows([r["cut"] for r in left], [r["windows"] for r in left], span) if left else []
+        return [(r["key"], r["c1"], r["c2"], _runs(m)) for r, m in zip(left, marks, strict=True) if r["total"] == 1 and m.any()]
+
+    return _in_arrays("key", array_bytes, marked)
+
+
+def _sort_segments(span: int, array_bytes: int) -> Callable:
+    """Sides of segments by sid -> key, c1, c2, runs of their members, where they have marks."""
+
+    def marked(held: list[dict]) -> list[tuple]:
+        marks = repeated_windows([r["cut"] for r in held], [len(r["cut"]) - span + 1 for r in held], span)
+        out = []
+        for r, m in zip(held, marks, strict=True):
+            at = 0
+            for x in r["members"] or ():
+                own = m[at : at + x["windows"]]
+                at += x["windows"]
+                if own.any():
+                    out.append((x["key"], x["c1"], x["c2"], _runs(own)))
+        return out
+
+    return _in_arrays("sid", array_bytes, marked)
+
+
 def _marked(rows: list[tuple]) -> pa.RecordBatch:
     key, c1, c2, runs = zip(*rows, strict=True) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(runs, pa.list_(pa.int32()))], ["key", "c1", "c2", "runs"])
 
 
+def _segments(pairs: DataFrame, span: int) -> DataFrame:
+    """src, cut (a request for _cut): both sides of each segment, from pairs of key, c1, c2, windows, a, b (structs of src, at).
+
+    Pairs of two sources at one distance whose windows follow each other are a segment.
+    """
+    line = ["a_src", "b_src", "off", "block"]
+    own = pairs.select("key", "c1", "c2", "windows", F.col("a.src").alias("a_src"), F.col("a.at").alias("at"), F.col("b.src").alias("b_src"), (F.col("b.at") - F.col("a.at")).alias("off"))
+    own = own.withColumn("block", F.shiftright("at", SEGMENT_BITS))
+    before = F.coalesce(F.sum("windows").over(Window.partitionBy(*line).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    members = F.array_sort(F.collect_list(F.struct("at", "key", "c1", "c2", "windows")))
+    found = own.withColumn("gap", F.col("at") - before).groupBy(*line, "gap").agg(F.min("at").alias("first"), F.sum("windows").alias("n"), members.alias("members"))
+    sid, none = F.xxhash64(*line, "gap"), F.lit(None)
+    side = lambda src, first, own: F.struct(F.col(src).alias("src"), _request(first, F.col("n") - 1 + span, sid, *[none] * 5, own).alias("cut"))
+    sides = F.array(side("a_src", F.col("first"), F.col("members")), side("b_src", F.col("first") + F.col("off"), none))
+    return found.select(F.explode(sides).alias("side")).select("side.src", "side.cut")
+
+
+def _request(first: Column, size: Column, *what: Column) -> Column:
+    named = zip(what, StructType.fromDDL(_FOR), strict=True)
+    return F.struct(first.cast("int").alias("first"), size.cast("int").alias("bytes"), *[c.cast(f.dataType).alias(f.name) for c, f in named])
+
+
+def _cuts(texts: DataFrame, requests: DataFrame) -> DataFrame:
+    """What the requests (src, cut) are for, and the bytes, from texts (src, text); each text is read once."""
+    asked = requests.groupBy("src").agg(F.collect_list("cut").alias("cuts"))
+    return texts.join(asked, "src").select("text", "cuts").mapInArrow(_cut, f"{_FOR}, cut binary")
+
+
 def _explode_windows(span: int) -> Callable:
-    """Places -> key, c1, c2, total, w (window), h1, h2 (its hash)."""
+    """Places -> key, c1, c2, src, w (window), h1, h2 (its hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -268,7 +323,7 @@ def _explode_windows(span: int) -> Callable:
             at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             take = pa.array(row)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(take) for c in ("key", "c1", "c2", "total")), pa.array(at.astype(np.int32)), *(pa.array(tv.signed(np.concatenate(h))) for h in hashes)], ["key", "c1", "c2", "total", "w", "h1", "h2"]
+                [*(batch.column(c).take(take) for c in ("key", "c1", "c2", "src")), pa.array(at.astype(np.int32)), *(pa.array(tv.signed(np.concatenate(h))) for h in hashes)], ["key", "c1", "c2", "src", "w", "h1", "h2"]
             )
 
     return run
@@ -328,28 +383,38 @@ def repeated_spans(texts: DataFrame, span: int = SPAN, key: int = KEY, crowd: in
     found = "tid long, copies long, key long, c1 long, c2 long, first int, shape int"
     windows = F.shiftright("shape", 16)
     everywhere = written(texts.where(F.octet_length("text") >= span).select("tid", "copies", "text").mapInArrow(_find_places(span, key), found), "places")
-    keys = everywhere.groupBy("key").agg(F.sum("copies").alias("n"), F.min("c1").alias("low"), F.max("c1").alias("high"))
-    keys = written(keys.where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
+    keys = written(everywhere.groupBy("key").agg(F.sum("copies").alias("n"), F.min("c1").alias("low"), F.max("c1").alias("high")).where("n > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
     met = written(everywhere.join(keys, "key"), "met")
-    cover = lambda lo, hi: F.struct(lo.cast("int").alias("lo"), (hi + span).cast("int").alias("hi"))
-    alike = met.where("NOT mixed").select("tid", cover(F.col("first"), F.col("first") + windows - 1).alias("span"))
-
-    one = F.struct("tid", "first", "shape")
-    different = written(met.where("mixed").groupBy(*place).agg(F.sum("copies").alias("total"), F.min(one).alias("one")), "different")
-    cuts = different.groupBy("one.tid").agg(F.collect_list(F.struct(*place, "one.first", "one.shape", "total")).alias("cuts"))
-    cut = texts.select("tid", "text").join(cuts, "tid").select("text", "cuts").mapInArrow(_cut(span), "key long, c1 long, c2 long, shape int, total long, cut binary")
-    cut = written(cut.withColumn("windows", windows), "cut")
-    cut = written(cut.join(_sharing(cut, span, key), place, "left_semi").drop("shape"), "sharing")
-    crowded = written(cut.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
+
+    spot = F.struct(F.col("tid").alias("src"), F.col("first").alias("at"))
+    different = met.groupBy(*place, "mixed", "shape").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("spots"), F.min(spot).alias("a"), F.max(spot).alias("b"))
+    different = written(different.withColumn("windows", windows), "different")
+    none = F.lit(None)
+    single = different.where("mixed").select(F.col("a.src").alias("src"), _request(F.col("a.at"), F.col("windows") - 1 + span, none, *[F.col(c) for c in (*place, "shape", "total")], none).alias("cut"))
+    cut = written(_cuts(texts.select(F.col("tid").alias("src"), "text"), single.unionByName(_segments(different.where("spots > 1"), span))), "cut")
     marked = "key long, c1 long, c2 long, runs array<int>"
-    sorted_places = cut.join(crowded, "key", "left_anti").repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_places(span, ARRAY_BYTES), marked)
-    many = written(cut.join(crowded, "key", "left_semi").mapInArrow(_explode_windows(span), "key long, c1 long, c2 long, total long, w int, h1 long, h2 long"), "windows")
-    again = written(many.groupBy("h1", "h2").agg(F.sum("total").alias("n")).where("n > 1").select("h1", "h2"), "again")
-    runs = written(sorted_places.unionByName(_windows_to_runs(many.join(again, ["h1", "h2"]).select(*place, "w"))), "runs")
+
+    def witnessed(sides: DataFrame) -> DataFrame:
+        return sides.select("sid", "members", "cut").repartition(n, "sid").sortWithinPartitions("sid").mapInArrow(_sort_segments(span, ARRAY_BYTES), marked)
+
+    under_keys = cut.where("sid IS NULL").withColumn("windows", windows)
+    sharing = written(under_keys.join(_sharing(under_keys, span, key), place, "left_semi").select(*place, "total", "windows", "cut"), "sharing")
+    crowded = written(sharing.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select("key"), "crowded")
+    sorted_places = sharing.join(crowded, "key", "left_anti").repartition(n, "key").sortWithinPartitions("key").mapInArrow(_sort_places(span, ARRAY_BYTES), marked)
+
+    crowds = written(sharing.join(crowded, "key", "left_semi").withColumn("src", F.monotonically_increasing_id()), "crowds")
+    many = written(crowds.mapInArrow(_explode_windows(span), "key long, c1 long, c2 long, src long, w int, h1 long, h2 long"), "windows")
+    spot = F.struct("src", F.col("w").alias("at"))
+    again = many.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("a"), F.max(spot).alias("b")).where("n > 1")
+    again = again.select(F.col("h1").alias("key"), F.col("h2").alias("c1"), F.lit(0).cast("long").alias("c2"), F.lit(1).alias("windows"), "a", "b")
+    again = written(witnessed(_cuts(crowds.select("src", F.col("cut").alias("text")), _segments(again, span))), "again")
+    of_crowds = _windows_to_runs(many.join(again.select(F.col("key").alias("h1"), F.col("c1").alias("h2")), ["h1", "h2"]).select(*place, "w"))
+
+    runs = written(witnessed(cut.where("sid IS NOT NULL")).unionByName(sorted_places).unionByName(of_crowds), "runs")
     pair = F.explode(F.sequence(F.lit(0), F.size("runs") - 2, F.lit(2)))
-    hits = met.where("mixed").select("tid", "first", *place).join(runs, place).select("tid", "first", "runs", pair.alias("k"))
-    apart = hits.select("tid", cover(F.col("first") + F.get("runs", F.col("k")), F.col("first") + F.get("runs", F.col("k") + 1)).alias("span"))
-    return written(alike.unionByName(apart).groupBy("tid").agg(F.collect_list("span").alias("spans")), "spans")
+    hits = met.select("tid", "first", *place).join(runs, place).select("tid", "first", "runs", pair.alias("k"))
+    cover = F.struct((F.col("first") + F.get("runs", F.col("k"))).alias("lo"), (F.col("first") + F.get("runs", F.col("k") + 1) + span).alias("hi"))
+    return written(hits.groupBy("tid").agg(F.collect_list(cover).alias("spans")), "spans")
 
 
 def _sharing(cut: DataFrame, span: int, key: int) -> DataFrame:
@@ -362,8 +427,8 @@ def _sharing(cut: DataFrame, span: int, key: int) -> DataFrame:
         low, high = g * step, rest if g == CORES - 1 else (g + 1) * step
         some = (at >= low) & (at - last <= high)
         cores.append(F.when(some, F.xxhash64(F.lit(g), F.col("cut").substr(at - low + 1, F.lit(low + key + rest - high)))))
-    sides = written(cut.select(*place, "total", F.explode(F.array(*cores)).alias("side")).where("side IS NOT NULL"), "sides")
-    again = written(sides.groupBy("key", "side").agg(F.sum("total").alias("n")).where("n > 1").select("key", "side"), "sides-again")
+    sides = written(cut.select(*place, F.explode(F.array(*cores)).alias("side")).where("side IS NOT NULL"), "sides")
+    again = written(sides.groupBy("key", "side").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "side"), "sides-again")
     return written(sides.join(again, ["key", "side"], "left_semi").select(*place).distinct(), "sharing-places")
 
 

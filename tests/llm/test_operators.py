@@ -261,6 +261,16 @@ def test_span_dedup_default(spark):
     same(tuples(span_dedup.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string"))), spans(rows, 200))
 
 
+def test_span_dedup_segments(spark):
+    """A shared passage over several segments, one met twice in its own text, and one that differs by a byte now and then."""
+    rng = random.Random(11)
+    passage, twice = letters(rng, 10_000, "abcdeé "), letters(rng, 700, "klmn ")
+    near = "".join(c if i % 450 else "#" for i, c in enumerate(passage))
+    rows = [(i, letters(rng, 150 + 90 * i, "vwxyz ") + passage[40 * i :] + letters(rng, 300, "vwxyz ")) for i in range(4)]
+    rows += [(4, twice + letters(rng, 250, "pq") + twice), (5, near), (6, near + "!"), (7, letters(rng, 5_000, "rst"))]
+    same(tuples(span_dedup.dedup_spans(spark.createDataFrame(rows, "doc_id long, text string"))), spans(rows, 200))
+
+
 # 4
 
 

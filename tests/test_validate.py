@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sessionlens.functions.columns import luhn_digit, parse_ts
-from sessionlens.operators import late, validate
+from sessionlens.operators import late, lookups, validate
 from sessionlens.schemas import RAW_COLUMNS
 from sessionlens.sources.projection import COUNTRIES, PREFIXES
 
@@ -75,3 +75,14 @@ def test_parse_ts(spark):
 
 def test_luhn_digit(spark):
     assert spark.sql("select '49015420323751' b").select(luhn_digit(F.col("b"))).first()[0] == "8"
+
+
+def test_number_plan_moves_no_records(spark):
+    """Records of one country share a prefix: a shuffle by it would bring them to one task, however small the plan is."""
+    numbers = spark.range(1000).select(F.format_string("+3165%07d", "id").alias("msisdn"))
+    countries = spark.createDataFrame([("31", "Netherlands")], "country_code string, country_name string")  # of unknown size
+    prefixes = spark.createDataFrame([("31", "65")], "country_code string, prefix string")
+    out = lookups.number_plan(numbers, "msisdn", countries, prefixes)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 5
+    assert out.where("plan_valid AND operator = 'Operator_65'").count() == 1000

@@ -35,6 +35,16 @@ def test_ttl_against_model(spark):
     assert {r.seq: r.is_duplicate for r in dedup.mark_ttl(records(spark, rows)).collect()} == want
 
 
+def test_ttl_folds_long_keys_only(spark):
+    """A key within the ttl needs its first time only, so what is folded is the other keys' seconds."""
+    rows = [row(f"S{i}", at=1000 + i) for i in range(50)] + [row(f"S{i}", at=4600 + i) for i in range(50)] + [row("L", at=x) for x in (0, 3600, 3601, 9000)]
+    rows += [(None, "Start", 5, "m", "i", "e"), (None, "Start", 6, "m", "i", "e")]
+    plan = dedup.accepted_times(records(spark, rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "Union" in plan
+    marked = {r.seq: r.is_duplicate for r in dedup.mark_ttl(records(spark, rows)).collect()}
+    assert [marked[i] for i in range(106)] == [False] * 50 + [True] * 50 + [False, True, False, False] + [False, False]
+
+
 def test_long_term(spark):
     rows = [row(at=0), row(at=93600), row(status="Stop", at=1), row("T", at=5)]
     seen = spark.createDataFrame([("T", "Start")], "acct_session_id string, acct_status_type string")

@@ -52,7 +52,7 @@ CUTS = 1 << 14
 #: Most different places of a key that one suffix array takes.
 CROWD = 1024
 #: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
-ARRAY_BYTES = 1 << 14
+ARRAY_BYTES = 1 << 12
 #: A segment starts anew where its first side passes a multiple of 2 to this.
 SEGMENT_BITS = 12
 
@@ -168,11 +168,12 @@ def repeated_windows(cut: list[bytes], windows: list[int], span: int) -> list[np
     order = np.array(suffix_array(symbols.tolist()), np.int64)
     order = order[is_window[order]]
     # Suffixes that share their first span bytes are neighbours.
-    view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(joined, np.uint8), span)
+    view = np.ndarray((len(joined) - span + 1,), f"V{span}", joined, strides=(1,))
+    word = next(w for w in (8, 4, 2, 1) if span % w == 0)
     marked = np.zeros(len(symbols), bool)
     for lo in range(0, len(order) - 1, 1 << 14):
         a, b = order[lo : lo + (1 << 14)][: len(order) - 1 - lo], order[lo + 1 : lo + 1 + (1 << 14)]
-        same = (view[a] == view[b]).all(1)
+        same = (view[a].view(f"u{word}") == view[b].view(f"u{word}")).reshape(len(a), -1).all(1)
         marked[a[same]] = True
         marked[b[same]] = True
     return [marked[o : o + w] for o, w in zip(offsets.tolist(), windows, strict=True)]

@@ -75,6 +75,24 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int],
                 p = smaller[p]
             smaller[i] = p
             moves = [(group_of[p], 1, [p])] if p >= 0 else []
+        elif len(own) == 2:  # most groups of a text that stands twice
+            i, j = own
+            p = i - 1
+            while finished[p]:
+                p = smaller[p]
+            smaller[i] = p
+            q = j - 1
+            while finished[q]:
+                q = smaller[q]
+            smaller[j] = q  # never left of p
+            if p == q:
+                moves = [(group_of[p], 2, [p])] if p >= 0 else []
+            elif p < 0:
+                moves = [(group_of[q], 1, [q])]
+            elif (h := group_of[p]) == (up := group_of[q]):
+                moves = [(h, 1, [p, q])]
+            else:
+                moves = [(h, 1, [p]), (up, 1, [q])]
         else:
             count: dict[int, int] = {}
             for i in own:

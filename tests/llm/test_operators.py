@@ -246,6 +246,19 @@ def spans(rows, span):
     return out
 
 
+def test_repeated_windows_of_pairs():
+    """Texts that stand twice, whose groups have two members each, with spans that are no multiple of a word."""
+    rng = random.Random(12)
+    for span in (5, 6, 8, 12):
+        for _ in range(40):
+            text = letters(rng, span + rng.randrange(60)).encode()
+            cut = [text, letters(rng, span + rng.randrange(20)).encode(), text[rng.randrange(2) :][: max(span, len(text) - 1)]]
+            cut = [c for c in cut if len(c) >= span]
+            windows = [c[i : i + span] for c in cut for i in range(len(c) - span + 1)]
+            marks = span_dedup.repeated_windows(cut, [len(c) - span + 1 for c in cut], span)
+            assert [bool(x) for m in marks for x in m] == [windows.count(w) > 1 for w in windows]
+
+
 @pytest.mark.parametrize("crowd", [1000, 3])
 def test_span_dedup(spark, crowd):
     rng = random.Random(3)

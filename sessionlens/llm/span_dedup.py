@@ -1,7 +1,7 @@
 """Operator 3, suffix-array dedup: removes every byte covered by a span of SPAN bytes that also starts anywhere else.
 
 A suffix array over each set of places that may share a span finds the equal spans: those of the same first SPAN bytes are
-neighbours in it. suffix_array.py sorts by linear grouping. What makes this a Spark job is how the places meet:
+neighbours in it. suffix_array.py sorts by linear grouping, of phrases rather than bytes. What makes this a Spark job is how the places meet:
 
 1. Equal texts are one text with a number of copies. Each window of SPAN bytes chooses, of the hashes of the KEY-byte strings
    in it, the smallest (of equal ones the last). Equal windows choose alike, so they meet under the same key. Consecutive
@@ -39,7 +39,7 @@ from pyspark.sql.types import StructType
 
 from sessionlens.llm import textvec as tv
 from sessionlens.llm.common import disposable, hash128, own_columns, partitions, written
-from sessionlens.llm.suffix_array import suffix_array
+from sessionlens.llm.suffix_array import byte_suffix_array
 
 SPAN = 200
 #: Bytes of a key string: a power of two, at most SPAN / 2.
@@ -52,7 +52,7 @@ CUTS = 1 << 14
 #: Most different places of a key that one suffix array takes.
 CROWD = 1024
 #: Places are sorted in suffix arrays of about this many bytes, whole keys each; small arrays stay in the cache.
-ARRAY_BYTES = 1 << 12
+ARRAY_BYTES = 1 << 14
 #: A segment starts anew where its first side passes a multiple of 2 to this.
 SEGMENT_BITS = 12
 
@@ -165,7 +165,7 @@ def repeated_windows(cut: list[bytes], windows: list[int], span: int) -> list[np
     counts = np.array(windows)
     is_window = np.zeros(len(symbols), bool)
     is_window[np.repeat(offsets, counts) + np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)] = True
-    order = np.array(suffix_array(symbols.tolist()), np.int64)
+    order = byte_suffix_array(symbols)
     order = order[is_window[order]]
     # Suffixes that share their first span bytes are neighbours.
     view = np.ndarray((len(joined) - span + 1,), f"V{span}", joined, strides=(1,))

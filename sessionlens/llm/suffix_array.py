@@ -9,12 +9,22 @@ Positions of one group that had k members appended form a new group just above t
 The second phase needs no further comparison and no names: within a group, suffixes follow the order of what comes after
 their common prefix, and that suffix is a smaller one. So the suffixes are taken in ascending order, and each one sends the
 positions whose Lyndon prefix ends at it to the next free place of their groups.
+
+Long texts of bytes are parsed first (prefix-free parsing), so that linear grouping, which is a loop in Python, sorts phrases:
+`byte_suffix_array`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+
+#: Of the 8-byte strings, one in 2 to this ends a phrase.
+PHRASE_BITS = 4
+#: Texts with longer phrases (long runs without such a string) are sorted symbol by symbol.
+LONGEST = 512
+
 
 def suffix_array(text: Sequence[int]) -> list[int]:
     """Start positions of the suffixes of text in ascending order; a suffix that ends sorts before one that goes on."""
@@ -131,3 +141,55 @@ def lyndon_groups(text: Sequence[int]) -> tuple[list[int], list[int], list[int],
         g = below[g]
     ascending.reverse()
     return group_of, ascending, length, size
+
+
+def byte_suffix_array(text: np.ndarray) -> np.ndarray:
+    """suffix_array of a text whose smallest symbol is also its last one (a separator).
+
+    A phrase ends at each separator and wherever the next 8 symbols hash to a chosen value. The piece of a position goes from it to
+    the next such end after it, with the 8 symbols there. No piece is the start of another one, as it would end there too; so
+    suffixes follow the order of their pieces first, then that of the suffixes at the pieces' ends. Pieces are sorted 8
+    symbols at a time, as far as they tie; the suffixes at the ends are those of the phrases' sequence, sorted by linear grouping.
+    """
+    n = len(text)
+    number = np.zeros(int(text.max()) + 1, np.int64)
+    number[text] = 1
+    number = np.cumsum(number)
+    if number[-1] > 255:
+        return np.array(suffix_array(text.tolist()), np.int64)
+    padded = np.zeros(n + 16, np.uint8)
+    padded[:n] = number[text]
+    words = np.ndarray((n + 9,), ">u8", padded, strides=(1,)).astype(np.uint64)  # the 8 symbols from each position on
+    ends = (words[:n] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - PHRASE_BITS) == 0
+    ends |= padded[:n] == 1
+    phrase = np.flatnonzero(ends)
+    after = np.cumsum(ends)  # the number of the first end after each position
+    size = np.append(phrase, n)[after] + 8 - np.arange(n)
+    if int(size.max()) > LONGEST:
+        return np.array(suffix_array(text.tolist()), np.int64)
+    # rank: how many positions have smaller pieces, as far as these are read.
+    rank = np.zeros(n, np.int64)
+    left, read = np.arange(n), 0
+    while len(left):
+        word, rest = words[np.minimum(left + read, n + 8)], size[left] - read
+        cut = rest < 8
+        word[cut] &= ~np.uint64(0) << (8 * (8 - rest[cut])).astype(np.uint64)
+        own = rank[left]
+        order = np.argsort(word)
+        if read:  # by rank first: two sorts by one number are faster than one by two
+            turn = np.empty(len(order), np.int64)
+            turn[order] = np.arange(len(order))
+            order = np.argsort(own * len(order) + turn)
+        left, word, own, rest = left[order], word[order], own[order], rest[order]
+        group = np.append(True, own[1:] != own[:-1])
+        part = group | np.append(True, word[1:] != word[:-1])
+        first = np.flatnonzero(part)
+        number = np.cumsum(part) - 1
+        rank[left] = own + first[number] - np.flatnonzero(group)[np.cumsum(group) - 1]
+        tied = np.diff(np.append(first, len(left)))[number] > 1
+        left = left[tied & (rest > 8)]
+        read += 8
+    _, parse = np.unique(rank[phrase], return_inverse=True)
+    place = np.zeros(len(phrase) + 1, np.int64)
+    place[suffix_array(parse.tolist())] = np.arange(1, len(phrase) + 1)
+    return np.argsort(rank * (len(phrase) + 1) + place[after])

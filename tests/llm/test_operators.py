@@ -2,17 +2,19 @@
 
 import random
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from sessionlens.llm import catalog, decontam, kneser_ney, line_dedup, mixing, near_dup, sharding, span_dedup, topk, toxicity, url_filter
-from sessionlens.llm.suffix_array import suffix_array
+from sessionlens.llm.suffix_array import byte_suffix_array, suffix_array
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, source string"
@@ -232,6 +234,25 @@ def test_suffix_array():
         assert suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def test_suffix_array_of_phrases():
+    """Texts of several pieces with separators, repeats, long runs and many symbols: linear grouping gets the phrases only."""
+    rng, sorted_symbols = random.Random(7), []
+    for k in range(400):
+        base = [rng.randint(1, rng.choice([1, 2, 4, 26, 240])) for _ in range(rng.randint(1, 150))]
+        t = []
+        for _ in range(rng.randint(1, 4)):
+            lo = rng.randrange(len(base))
+            t += (base[lo:] * rng.choice([1, 1, 6])) + [rng.randint(1, 9) for _ in range(rng.randrange(9))] + [0]
+        assert byte_suffix_array(np.array(t)).tolist() == suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:]), k
+    for t in ([0], [5, 0], [3] * 700 + [0], list(range(1, 257)) + [0]):
+        assert byte_suffix_array(np.array(t)).tolist() == suffix_array(t)
+    module = sys.modules["sessionlens.llm.suffix_array"]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(module, "suffix_array", lambda t: sorted_symbols.append(len(t)) or suffix_array(t))
+        byte_suffix_array(np.array([rng.randint(1, 26) for _ in range(8000)] + [0]))
+    assert sum(sorted_symbols) < 1000
+
+
 def spans(rows, span):
     data = [(i, (t or "").encode()) for i, t in rows]
     count = Counter(b[k : k + span] for _, b in data for k in range(len(b) - span + 1))
